@@ -105,11 +105,8 @@ def validate_requests(requests: DataFrame, defaults: RunDefaults = RunDefaults()
         )
     valid_number = {}
     for name, default in (("start_page", defaults.start_page), ("per_page", defaults.per_page)):
-        whole = (kind(name) == "BIGINT") | (
-            kind(name).rlike(r"^DECIMAL\(\d+,0\)$") & ~text(name).contains(".")
-        )
         valid_number[name] = F.when(~given(name), F.lit(default).cast("bigint")).when(
-            whole, F.try_variant_get(member(name), "$", "bigint")
+            kind(name) == "BIGINT", F.try_variant_get(member(name), "$", "bigint")
         )
 
     extra = F.sort_array(
