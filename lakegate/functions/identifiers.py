@@ -60,3 +60,11 @@ def source_fingerprint(
         F.lit("}"),
     )
     return content_sha256(body)
+
+
+def manifest_folder(root: str) -> str:
+    return f"{root.rstrip('/')}/{SOURCE_PREFIX}"
+
+
+def manifest_objects_folder(root: str) -> str:
+    return f"{root.rstrip('/')}/{SOURCE_PREFIX}_objects"

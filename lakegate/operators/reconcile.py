@@ -68,7 +68,8 @@ def expected_pages(runs: DataFrame) -> DataFrame:
     )
     first = start + F.col("block") * PAGE_BLOCK
     last = F.least(first + (PAGE_BLOCK - 1), end)
-    return blocks.select("run_id", F.explode(F.sequence(first, last)).cast("int").alias("page"))
+    pages = blocks.select("run_id", F.explode(F.sequence(first, last)).alias("page"))
+    return pages.withColumn("page", F.col("page").cast("int"))
 
 
 def missing_pages(runs: DataFrame, landed: DataFrame) -> DataFrame:

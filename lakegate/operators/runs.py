@@ -75,44 +75,59 @@ def validate_requests(requests: DataFrame, defaults: RunDefaults = RunDefaults()
         ),
     )
 
-    def member(name: str) -> Column:
-        return F.try_element_at(F.col("_members"), F.lit(name))
+    # Kind and text of every field first, so that each is computed once.
+    read = opened.withColumns(
+        {f"_{name}": F.try_element_at(F.col("_members"), F.lit(name)) for name in REQUEST_FIELDS}
+    ).withColumns(
+        {
+            **{
+                f"_{name}_kind": F.coalesce(F.schema_of_variant(f"_{name}"), F.lit("VOID"))
+                for name in REQUEST_FIELDS
+            },
+            **{
+                f"_{name}_text": F.try_variant_get(f"_{name}", "$", "string")
+                for name in REQUEST_FIELDS
+            },
+        }
+    )
 
-    def given(name: str) -> Column:
-        return F.array_contains(F.map_keys("_members"), name)
+    def kind(name: str) -> Column:
+        return F.col(f"_{name}_kind")
 
     def text(name: str) -> Column:
-        return F.try_variant_get(member(name), "$", "string")
+        return F.col(f"_{name}_text")
 
-    def kind(name: str) -> Column:
-        return F.coalesce(F.schema_of_variant(member(name)), F.lit("VOID"))
+    def absent(name: str) -> Column:
+        return F.col(f"_{name}").isNull()
 
     # An empty value of any kind counts as "no run named".
     names_no_run = (
-        kind("run_id").isin("VOID")
+        (kind("run_id") == "VOID")
         | text("run_id").isin("", "[]", "{}")
         | ((kind("run_id") == "BOOLEAN") & (text("run_id") == "false"))
-        | (kind("run_id").rlike("^(BIGINT|DECIMAL|DOUBLE)") & (text("run_id").try_cast("double") == 0))
+        | (
+            kind("run_id").rlike("^(BIGINT|DECIMAL|DOUBLE)")
+            & (text("run_id").try_cast("double") == 0)
+        )
     )
-    valid_text = {
+    settings = {
         "run_id": F.when(names_no_run, F.col("default_run_id")).when(
             kind("run_id") == "STRING", text("run_id")
         )
     }
     for name, default in (("country", defaults.country), ("indicator", defaults.indicator)):
-        valid_text[name] = F.when(~given(name), F.lit(default)).when(
+        settings[name] = F.when(absent(name), F.lit(default)).when(
             kind(name) == "STRING", text(name)
         )
-    valid_number = {}
     for name, default in (("start_page", defaults.start_page), ("per_page", defaults.per_page)):
-        valid_number[name] = F.when(~given(name), F.lit(default).cast("bigint")).when(
-            kind(name) == "BIGINT", F.try_variant_get(member(name), "$", "bigint")
+        settings[name] = F.when(absent(name), F.lit(default).cast("bigint")).when(
+            kind(name) == "BIGINT", text(name).try_cast("bigint")
         )
 
     extra = F.sort_array(
         F.array_except(F.map_keys("_members"), F.array(*[F.lit(n) for n in REQUEST_FIELDS]))
     )
-    read = opened.withColumns({**valid_text, **valid_number, "_extra": extra})
+    judged = read.withColumns({**settings, "_extra": extra})
 
     def breaks(name: str, pattern: str) -> Column:
         return ~F.coalesce(F.col(name).rlike(pattern), F.lit(False))
@@ -144,9 +159,7 @@ def validate_requests(requests: DataFrame, defaults: RunDefaults = RunDefaults()
             for name in ("start_page", "per_page")
         ],
     )
-    return read.withColumn("request_error", error).drop(
-        "_in_array", "_request", "_members", "_extra"
-    )
+    return judged.select(*requests.columns, *settings, error.alias("request_error"))
 
 
 def with_fingerprint(runs: DataFrame, defaults: RunDefaults = RunDefaults()) -> DataFrame:

@@ -122,8 +122,9 @@ def run_ingest(
     run id for another source is refused, and an interrupted one resumes: its
     pages that landed before come out as ``EXISTING``.
     """
-    checked = with_fingerprint(validate_requests(requests, defaults), defaults)
+    checked = stage(with_fingerprint(validate_requests(requests, defaults), defaults), "requests")
     valid = checked.filter(F.col("request_error").isNull())
+    # Staged because the manifests it is decided on are replaced further down.
     decisions = stage(admit_runs(valid, read_manifests(spark, manifest_root)), "decisions")
     active = decisions.filter(F.col("decision").isin(NEW, RESUME))
 

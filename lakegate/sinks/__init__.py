@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegate.functions.identifiers import SOURCE_PREFIX
+from lakegate.functions.identifiers import manifest_folder, manifest_objects_folder
 from lakegate.operators.curate import TransformResult
 from lakegate.operators.landing import CONFLICT, WRITTEN, LandingConflictError
 from lakegate.operators.quality import DataQualityResult, result_json
@@ -85,7 +85,7 @@ def write_manifests(manifests: DataFrame, root: str) -> None:
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("run_id")
-        .json(f"{root.rstrip('/')}/{SOURCE_PREFIX}")
+        .json(manifest_folder(root))
     )
 
 
@@ -96,5 +96,5 @@ def write_manifest_objects(objects: DataFrame, root: str) -> None:
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("run_id")
-        .parquet(f"{root.rstrip('/')}/{SOURCE_PREFIX}_objects")
+        .parquet(manifest_objects_folder(root))
     )

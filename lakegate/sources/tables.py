@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakegate.functions.identifiers import manifest_folder
 from lakegate.functions.json_text import object_at
 from lakegate.records import INDICATOR_OBSERVATIONS, RecordSpec
 
@@ -26,13 +27,15 @@ def read_processed(
     return spark.read.schema(schema).parquet(path).select(*spec.processed_columns)
 
 
-def read_manifests(spark: SparkSession, path: str) -> DataFrame:
-    """Run manifests, one row per run; an absent root holds none.
+def read_manifests(spark: SparkSession, manifest_root: str) -> DataFrame:
+    """Run manifests, one row per run; an absent folder holds none.
 
     A manifest file that is not a JSON object fails the read.
     """
     try:
-        files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+        files = spark.read.option("recursiveFileLookup", "true").text(
+            manifest_folder(manifest_root), wholetext=True
+        )
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -305,7 +305,8 @@ e AS (SELECT *, CASE
   WHEN m IN (4, 10, 14) THEN 'country contains unsupported characters'
   WHEN m = 13 THEN 'indicator contains unsupported characters'
   WHEN m IN (6, 11) THEN 'start_page must be a positive integer'
-  WHEN m IN (5, 7) THEN 'per_page must be a positive integer' END AS request_error FROM k)
+  -- Customer keys start at 0, which makes a page size of 0.
+  WHEN m IN (5, 7) OR c_custkey = 0 THEN 'per_page must be a positive integer' END AS request_error FROM k)
 SELECT c_custkey,
   CASE WHEN request_error IS NULL THEN
     CASE WHEN m IN (2, 8, 16) THEN 'req-' ELSE 'r-' END || c_custkey END AS run_id,
@@ -446,7 +447,7 @@ def clean_documents(spark: SparkSession, sf_dir: str, pages_per_run: int | None
     total = customer.agg(F.count(F.lit(1))).scalar()
     paged = (
         customer.select(
-            F.floor((F.col("c_custkey") - 1) / PAGE_SIZE).cast("bigint").alias("document"),
+            F.floor(F.col("c_custkey") / PAGE_SIZE).cast("bigint").alias("document"),
             "c_custkey",
             F.expr(
                 """'{"indicator":{"id":"SP.POP.TOTL","value":"Population, total"},"country":{"id":"'
@@ -527,7 +528,7 @@ def ingest_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_ingest(spark, requests("2024-01-01 00:00:00", F.lit(25)), pages.filter(~broken_off), **where)
     changed = F.when(number % 3 == 2, 50).otherwise(25)
     run_ingest(spark, requests("2024-01-02 00:00:00", changed), pages, **where)
-    return read_manifests(spark, f"{folder}/manifests/world_bank").select(
+    return read_manifests(spark, f"{folder}/manifests").select(
         "run_id", "status", "replayed", "pages_landed", _iso("started_at"), _iso("completed_at")
     )
 
@@ -665,7 +666,7 @@ QUERIES = {
     ),
     "ingest_manifests": (
         ingest_manifests,
-        """WITH d AS (SELECT DISTINCT (c_custkey - 1) // 25 AS document FROM customer),
+        """WITH d AS (SELECT DISTINCT c_custkey // 25 AS document FROM customer),
         r AS (SELECT document // 4 AS n, count(*) AS present FROM d GROUP BY ALL),
         -- A run of fewer than four pages never completes: its next page is absent.
         s AS (SELECT *, present = 4 AS whole FROM r)
