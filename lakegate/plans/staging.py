@@ -6,14 +6,19 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGING_SETTING = "spark.checkpoint.dir"
+SHARED_FOLDER_SETTING = "spark.checkpoint.dir"
+# For sessions whose cluster names no shared folder, such as a local test.
+FALLBACK_SETTING = "lakegate.staging.dir"
 
 
 def staging_root(spark: SparkSession) -> str:
     """The shared folder from the session; lost executors do not lose its tables."""
-    root = spark.conf.get(STAGING_SETTING, None)
+    root = spark.conf.get(SHARED_FOLDER_SETTING, None) or spark.conf.get(FALLBACK_SETTING, None)
     if not root:
-        raise ValueError(f"{STAGING_SETTING} must name a folder shared by all executors")
+        raise ValueError(
+            f"{SHARED_FOLDER_SETTING} (or {FALLBACK_SETTING}) must name a folder shared by "
+            "all executors"
+        )
     return root.rstrip("/")
 
 
