@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +23,7 @@ from lakegate.operators.quality import (
     DataQualityResult,
     evaluate_quality,
 )
-from lakegate.operators.reconcile import total_in_metadata
+from lakegate.operators.reconcile import declared_total, total_in_metadata
 from lakegate.plans.staging import stage
 from lakegate.records import INDICATOR_OBSERVATIONS, RecordSpec
 from lakegate.sinks import (
@@ -60,12 +61,20 @@ def stage_classified(
         name,
         partition_by="is_processed",
     )
-    totals = observed.get
     result = TransformResult(
         processed=select_processed(staged.filter("is_processed"), spec),
         rejected=select_rejected(staged.filter("NOT is_processed")),
     )
-    return result, totals["high"] if totals["low"] == totals["high"] else None
+    return result, _observed_total(observed, documents)
+
+
+def _observed_total(observed: Observation, documents: DataFrame) -> int | None:
+    try:
+        totals = observed.get
+    except Py4JJavaError:
+        # Without a single event Spark drops the branch that watched the documents.
+        return declared_total(documents).first().expected_rows
+    return totals["high"] if totals["low"] == totals["high"] else None
 
 
 def run_curation(
