@@ -94,12 +94,12 @@ def mark_duplicates(
 
     by_lane = Window.partitionBy("_valid", *spec.business_key, "_lane").orderBy(*order)
     by_key = Window.partitionBy("_contender", *spec.business_key, "_lane").orderBy(*order)
+    is_contender = F.col("_valid") & (F.col("_lane_rank") == 1)
+    lane = F.when(is_valid, F.pmod(origin, F.lit(lanes))).otherwise(origin)
     ranked = (
-        validated.withColumn("_valid", is_valid)
-        .withColumn("_lane", F.when(is_valid, F.pmod(origin, F.lit(lanes))).otherwise(origin))
+        validated.withColumns({"_valid": is_valid, "_lane": lane})
         .withColumn("_lane_rank", F.row_number().over(by_lane))
-        .withColumn("_contender", F.col("_valid") & (F.col("_lane_rank") == 1))
-        .withColumn("_lane", F.when(~F.col("_contender"), origin))
+        .withColumns({"_contender": is_contender, "_lane": F.when(~is_contender, origin)})
         .withColumn("_key_rank", F.row_number().over(by_key))
     )
     beaten = F.col("_valid") & ((F.col("_lane_rank") > 1) | (F.col("_key_rank") > 1))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakegate.functions.evaluation import with_computed
 from lakegate.functions.identifiers import (
     LANDING_PATH_PATTERN,
     SOURCE_PREFIX,
@@ -246,6 +247,6 @@ def page_contract(pages: DataFrame) -> DataFrame:
         *[_number_violation(field) for field in METADATA_NUMBERS],
         F.try_element_at(broken_records, F.lit(1)),
     )
-    return opened.withColumn("violation", violation).drop(
+    return with_computed(opened, {"violation": violation}).drop(
         "_in_array", "_document", "_metadata", "_records"
     )

@@ -8,11 +8,12 @@ a record row never carries the document it came from.
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakegate.functions.evaluation import with_computed
 from lakegate.functions.json_text import (
     allow_duplicate_keys,
     is_array_at,
@@ -92,12 +93,26 @@ def explode_records(split: DataFrame) -> DataFrame:
 
 
 def _drift_fields(spec: RecordSpec) -> Column:
-    extras = {"record": unexpected_keys(F.col("members"), spec.record_keys)}
+    """Sorted names of unexpected keys, prefixed with the object they are in.
+
+    Objects list their keys in order, so a record with exactly the expected ones
+    is told by comparing key arrays; only other records are searched.
+    """
+    levels = {"record": (F.col("members"), spec.record_keys)}
     for key, children in spec.nested_keys.items():
-        extras[key] = unexpected_keys(F.col(f"fields.{key}"), children)
+        levels[key] = (F.col(f"fields.{key}"), children)
+    as_expected = [
+        F.map_keys(members) == F.array(*[F.lit(key) for key in sorted(expected)])
+        for members, expected in levels.values()
+    ]
+    extras = {name: unexpected_keys(*level) for name, level in levels.items()}
     total = sum((F.size(extra) for extra in extras.values()), F.lit(0))
     named = [with_prefix(extra, f"{prefix}.") for prefix, extra in extras.items()]
-    return F.when(total > 0, F.sort_array(F.concat(*named))).otherwise(_no_names())
+    return (
+        F.when(reduce(and_, as_expected), _no_names())
+        .when(total > 0, F.sort_array(F.concat(*named)))
+        .otherwise(_no_names())
+    )
 
 
 def _no_names() -> Column:
@@ -106,14 +121,12 @@ def _no_names() -> Column:
 
 def read_records(split: DataFrame, spec: RecordSpec = INDICATOR_OBSERVATIONS) -> DataFrame:
     """Split documents -> parsed events (see :func:`parse_documents`)."""
-    read = explode_records(split).select(
-        "source_file",
-        "document_reason",
-        "document_evidence",
-        "position",
-        "record",
-        F.try_variant_get("record", "$", spec.struct_type).alias("fields"),
-        object_at(F.col("record")).alias("members"),
+    read = with_computed(
+        explode_records(split),
+        {
+            "fields": F.try_variant_get("record", "$", spec.struct_type),
+            "members": object_at(F.col("record")),
+        },
     )
     nested_missing = [F.col(f"fields.{key}").isNull() for key in spec.nested_keys]
     reason = F.when(F.col("members").isNull(), F.lit(RECORD_NOT_OBJECT)).when(

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakegate.functions.evaluation import with_computed
 from lakegate.functions.identifiers import (
     COUNTRY_PATTERN,
     INDICATOR_PATTERN,
@@ -127,7 +128,7 @@ def validate_requests(requests: DataFrame, defaults: RunDefaults = RunDefaults()
     extra = F.sort_array(
         F.array_except(F.map_keys("_members"), F.array(*[F.lit(n) for n in REQUEST_FIELDS]))
     )
-    judged = read.withColumns({**settings, "_extra": extra})
+    judged = with_computed(read, {**settings, "_extra": extra})
 
     def breaks(name: str, pattern: str) -> Column:
         return ~F.coalesce(F.col(name).rlike(pattern), F.lit(False))
