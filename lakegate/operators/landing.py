@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakegate.functions.evaluation import with_computed
@@ -28,6 +28,9 @@ WRITTEN = "WRITTEN"
 EXISTING = "EXISTING"
 CONFLICT = "CONFLICT"
 
+# Lanes the copies of one path are spread over.
+LANES = 16384
+
 # What a page must hold, in the order in which it is checked.
 METADATA_NUMBERS = ("page", "pages", "per_page", "total")
 RECORD_KEYS = ("country", "countryiso3code", "date", "indicator", "value")
@@ -98,7 +101,9 @@ def with_checksum(pages: DataFrame, text: str = "raw_text") -> DataFrame:
 # Disposition
 
 
-def disposition(incoming: DataFrame, landed: DataFrame, order_by: str = "arrival") -> DataFrame:
+def disposition(
+    incoming: DataFrame, landed: DataFrame, order_by: str = "arrival", lanes: int = LANES
+) -> DataFrame:
     """Decide for every incoming page what landing it would do.
 
     ``incoming`` holds ``path, sha256`` and an ``order_by`` column that orders
@@ -107,25 +112,29 @@ def disposition(incoming: DataFrame, landed: DataFrame, order_by: str = "arrival
     ``EXISTING`` if its checksum equals what the path then holds, and
     ``CONFLICT`` if not.
 
-    What a path holds is found by an aggregate that combines before its shuffle,
-    so a path with any number of copies costs one row per task there. The copies
-    meet it in an equi-join whose large side Spark's skew handling may split.
+    One path may have any number of copies, so the copies never meet in one
+    group. They are spread over lanes by a hash of their order; the first copy of
+    every lane is found by an aggregate that combines before its shuffle, the
+    lanes of a path (at most ``lanes`` rows) are compared with each other, and
+    the answer goes back to the copies by path *and* lane.
     """
     first = F.struct(F.col(order_by), F.col("sha256"))
+    spread = incoming.withColumn("_lane", F.pmod(F.xxhash64(order_by), F.lit(lanes)))
+    lane_firsts = spread.groupBy("path", "_lane").agg(F.min(first).alias("_lane_first"))
     held = (
-        incoming.groupBy("path")
-        .agg(F.min(first).alias("_first"))
+        lane_firsts.withColumn("_first", F.min("_lane_first").over(Window.partitionBy("path")))
         .join(landed.select("path", F.col("sha256").alias("_landed_sha")), "path", "left")
+        .drop("_lane_first")
     )
     is_first = F.col("_landed_sha").isNull() & (first == F.col("_first"))
     same = F.col("sha256") == F.coalesce(F.col("_landed_sha"), F.col("_first.sha256"))
     return (
-        incoming.join(held, "path", "left")
+        spread.join(held, ["path", "_lane"], "left")
         .withColumn(
             "disposition",
             F.when(is_first, WRITTEN).when(same, EXISTING).otherwise(CONFLICT),
         )
-        .drop("_first", "_landed_sha")
+        .select(*incoming.columns, "disposition")
     )
 
 

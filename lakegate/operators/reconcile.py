@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakegate.functions.casts import lenient_int, lenient_long
-from lakegate.functions.json_text import allow_duplicate_keys
+from lakegate.functions.json_text import allow_duplicate_keys, array_at, text_at
 
 # Pages one expansion step writes; a run of any length is cut into such blocks.
 PAGE_BLOCK = 10_000
@@ -36,14 +36,15 @@ def declared_total(documents: DataFrame) -> DataFrame:
 def page_metrics(documents: DataFrame) -> DataFrame:
     """Per page: declared page and page count, number of records, bytes of text."""
     allow_duplicate_keys(documents.sparkSession)
+    page = F.col("_page")
     parsed = documents.withColumn("_page", F.try_parse_json("raw_text"))
     return parsed.select(
         *documents.columns,
-        lenient_int(F.get_json_object("raw_text", "$[0].page")).alias("returned_page"),
-        lenient_int(F.get_json_object("raw_text", "$[0].pages")).alias("total_pages"),
-        F.coalesce(
-            F.array_size(F.try_variant_get("_page", "$[1]", "array<variant>")).cast("bigint"), F.lit(0)
-        ).alias("record_count"),
+        lenient_int(text_at(page, "$[0].page")).alias("returned_page"),
+        lenient_int(text_at(page, "$[0].pages")).alias("total_pages"),
+        F.coalesce(F.array_size(array_at(page, "$[1]")).cast("bigint"), F.lit(0)).alias(
+            "record_count"
+        ),
         F.octet_length("raw_text").cast("bigint").alias("source_bytes"),
     )
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import random
 from datetime import UTC, datetime
 
 import pytest
@@ -90,6 +91,29 @@ def test_disposition_of_new_repeated_and_changed_pages(spark):
     }
 
 
+@pytest.mark.parametrize("lanes", [1, 5, 16384])
+def test_disposition_equals_one_by_one_landing(spark, lanes):
+    rng = random.Random(11)
+    incoming, landed = [], {f"p{i}": "a" for i in range(20)}
+    for i in range(2000):
+        # A third of all copies are for one path.
+        path = "hot" if rng.random() < 0.34 else f"p{rng.randrange(300)}"
+        incoming.append((path, rng.choice("abc"), i))
+    held, expected = dict(landed), {}
+    for path, sha, arrival in incoming:
+        if path not in held:
+            held[path] = sha
+            expected[(path, arrival)] = "WRITTEN"
+        else:
+            expected[(path, arrival)] = "EXISTING" if held[path] == sha else "CONFLICT"
+    frame = disposition(
+        spark.createDataFrame(incoming, "path string, sha256 string, arrival int"),
+        spark.createDataFrame(list(landed.items()), "path string, sha256 string"),
+        lanes=lanes,
+    )
+    assert {(r.path, r.arrival): r.disposition for r in frame.collect()} == expected
+
+
 def test_disposition_of_a_hot_path(spark):
     incoming = [("hot", "a" if i % 10 else "b", i) for i in range(1, 2000)]
     found = disposed(spark, incoming + [("cold", "c", 1)])
