@@ -22,6 +22,7 @@ from lakegate.records import (
     RecordSpec,
 )
 
+# Fixed value: reason of every row but the first of its business key.
 DUPLICATE_BUSINESS_KEY = "DUPLICATE_BUSINESS_KEY"
 
 # Lanes a business key is spread over before its winners meet in one group. It

@@ -36,6 +36,21 @@ METADATA_NUMBERS = ("page", "pages", "per_page", "total")
 RECORD_KEYS = ("country", "countryiso3code", "date", "indicator", "value")
 NESTED_KEYS = ("country", "indicator")
 
+# Messages of the page contract.
+INVALID_JSON = "World Bank API returned invalid JSON"
+NOT_A_PAIR = "Expected a two-item World Bank response array"
+METADATA_NOT_OBJECT = "Expected response metadata to be an object"
+RECORDS_NOT_ARRAY = "Expected response records to be an array"
+METADATA_INCOMPLETE = "Response metadata is missing fields: "
+RECORD_NOT_OBJECT = "Expected every response record to be an object"
+NUMBER_NOT_INTEGER = "Response metadata field {field} must be an integer"
+NUMBER_TOO_SMALL = "Response metadata field {field} must be at least {minimum}"
+RECORD_PREFIX = "Record "
+RECORD_INCOMPLETE = " is missing required fields: "
+NESTED_NOT_STRING = " field {field} must contain a string {child}"
+TEXT_EMPTY = " field {field} must be a non-empty string"
+VALUE_NOT_NUMBER = " field value must be numeric or null"
+
 
 class LandingConflictError(RuntimeError):
     """Raised when a landing key would receive different content."""
@@ -166,9 +181,8 @@ def _number_violation(field: str) -> Column:
     enough = (
         F.when(is_number, number_ok).when(is_boolean, boolean_ok).when(is_whole_text, text_ok)
     )
-    label = f"Response metadata field {field} must be"
-    return F.when(enough.isNull(), F.lit(f"{label} an integer")).when(
-        ~enough, F.lit(f"{label} at least {minimum}")
+    return F.when(enough.isNull(), F.lit(NUMBER_NOT_INTEGER.format(field=field))).when(
+        ~enough, F.lit(NUMBER_TOO_SMALL.format(field=field, minimum=minimum))
     )
 
 
@@ -182,12 +196,12 @@ def _record_violation(record: Column, index: Column) -> Column:
         return variant_at(record, f"$.{path}")
 
     def message(text: str) -> Column:
-        return F.concat(F.lit("Record "), index.cast("string"), F.lit(f" {text}"))
+        return F.concat(F.lit(RECORD_PREFIX), index.cast("string"), F.lit(text))
 
     checks = [
         (
             F.size(missing) > 0,
-            F.concat(message("is missing required fields: "), F.array_join(missing, ", ")),
+            F.concat(message(RECORD_INCOMPLETE), F.array_join(missing, ", ")),
         )
     ]
     for key in NESTED_KEYS:
@@ -195,16 +209,15 @@ def _record_violation(record: Column, index: Column) -> Column:
             checks.append(
                 (
                     ~is_json_string(at(f"{key}.{child}")),
-                    message(f"field {key} must contain a string {child}"),
+                    message(NESTED_NOT_STRING.format(field=key, child=child)),
                 )
             )
     for key in ("countryiso3code", "date"):
         empty = ~is_json_string(at(key)) | (F.try_variant_get(record, f"$.{key}", "string") == "")
-        checks.append((empty, message(f"field {key} must be a non-empty string")))
+        checks.append((empty, message(TEXT_EMPTY.format(field=key))))
     value = at("value")
-    checks.append(
-        (~F.is_variant_null(value) & ~is_json_number(value), message("field value must be numeric or null"))
-    )
+    is_number_or_null = F.is_variant_null(value) | is_json_number(value)
+    checks.append((~is_number_or_null, message(VALUE_NOT_NUMBER)))
     return F.coalesce(*[F.when(failed, text) for failed, text in checks])
 
 
@@ -236,22 +249,17 @@ def page_contract(pages: DataFrame) -> DataFrame:
         F.transform("_records", _record_violation), lambda text: text.isNotNull()
     )
     violation = F.coalesce(
-        F.when(document.isNull(), F.lit("World Bank API returned invalid JSON")),
-        F.when(
-            ~is_array_at(document, "$") | ~is_pair,
-            F.lit("Expected a two-item World Bank response array"),
-        ),
-        F.when(F.col("_metadata").isNull(), F.lit("Expected response metadata to be an object")),
-        F.when(F.col("_records").isNull(), F.lit("Expected response records to be an array")),
+        F.when(document.isNull(), F.lit(INVALID_JSON)),
+        F.when(~is_array_at(document, "$") | ~is_pair, F.lit(NOT_A_PAIR)),
+        F.when(F.col("_metadata").isNull(), F.lit(METADATA_NOT_OBJECT)),
+        F.when(F.col("_records").isNull(), F.lit(RECORDS_NOT_ARRAY)),
         F.when(
             F.size(missing) > 0,
-            F.concat(
-                F.lit("Response metadata is missing fields: "), F.array_join(missing, ", ")
-            ),
+            F.concat(F.lit(METADATA_INCOMPLETE), F.array_join(missing, ", ")),
         ),
         F.when(
             F.exists("_records", lambda record: object_at(record).isNull()),
-            F.lit("Expected every response record to be an object"),
+            F.lit(RECORD_NOT_OBJECT),
         ),
         *[_number_violation(field) for field in METADATA_NUMBERS],
         F.try_element_at(broken_records, F.lit(1)),

@@ -26,14 +26,13 @@ from lakegate.functions.json_text import (
 )
 from lakegate.records import INDICATOR_OBSERVATIONS, RecordSpec
 
+# Rejection reasons of the parser, kinds of event, document columns.
 MALFORMED_JSON = "MALFORMED_JSON"
 INVALID_DOCUMENT_SHAPE = "INVALID_DOCUMENT_SHAPE"
 RECORD_NOT_OBJECT = "RECORD_NOT_OBJECT"
 INVALID_NESTED_OBJECT = "INVALID_NESTED_OBJECT"
-
 CANDIDATE = "candidate"
 REJECTED = "rejected"
-
 DOCUMENT_COLUMNS = ("source_file", "raw_text")
 
 

@@ -29,11 +29,19 @@ NEW, SKIP, RESUME, CONFLICT_RUN = "NEW", "SKIP", "RESUME", "CONFLICT"
 RUNNING, COMPLETED, FAILED = "RUNNING", "COMPLETED", "FAILED"
 MANIFEST_DATASET = "world_bank_indicator"
 
+# Messages of request validation.
+NOT_AN_OBJECT = "Lambda event must be a JSON object"
+UNSUPPORTED_FIELDS = "Lambda event contains unsupported fields: "
+BAD_RUN_ID = "run_id must be 1-64 characters using only letters, numbers, hyphens, and underscores"
+BAD_IDENTIFIER = "{field} contains unsupported characters"
+BAD_NUMBER = "{field} must be a positive integer"
+
 # Pages per manifest part. One row never holds more objects than this, however
 # long its run is; a run of up to this many pages is a single part.
 PAGES_PER_PART = 1000
 
 
+# Settings for whatever a request leaves out.
 @dataclass(frozen=True)
 class RunDefaults:
     """Source settings for whatever a request leaves out."""
@@ -134,28 +142,20 @@ def validate_requests(requests: DataFrame, defaults: RunDefaults = RunDefaults()
         return ~F.coalesce(F.col(name).rlike(pattern), F.lit(False))
 
     error = F.coalesce(
-        F.when(F.col("_members").isNull(), F.lit("Lambda event must be a JSON object")),
+        F.when(F.col("_members").isNull(), F.lit(NOT_AN_OBJECT)),
         F.when(
             F.size("_extra") > 0,
-            F.concat(
-                F.lit("Lambda event contains unsupported fields: "), F.array_join("_extra", ", ")
-            ),
-        ),
-        F.when(
-            breaks("run_id", RUN_ID_PATTERN),
-            F.lit(
-                "run_id must be 1-64 characters using only letters, numbers, hyphens, "
-                "and underscores"
-            ),
+            F.concat(F.lit(UNSUPPORTED_FIELDS), F.array_join("_extra", ", ")),
         ),
+        F.when(breaks("run_id", RUN_ID_PATTERN), F.lit(BAD_RUN_ID)),
         *[
-            F.when(breaks(name, pattern), F.lit(f"{name} contains unsupported characters"))
+            F.when(breaks(name, pattern), F.lit(BAD_IDENTIFIER.format(field=name)))
             for name, pattern in (("country", COUNTRY_PATTERN), ("indicator", INDICATOR_PATTERN))
         ],
         *[
             F.when(
                 ~F.coalesce(F.col(name) > 0, F.lit(False)),
-                F.lit(f"{name} must be a positive integer"),
+                F.lit(BAD_NUMBER.format(field=name)),
             )
             for name in ("start_page", "per_page")
         ],

@@ -97,6 +97,7 @@ class RecordSpec:
         return {**{f.name: f.sql_type for f in self.fields}, **LINEAGE_TYPES}
 
 
+# Columns of a rejected row.
 REJECTED_COLUMNS = (
     "source_file",
     "source_record_index",
@@ -106,6 +107,7 @@ REJECTED_COLUMNS = (
     "schema_drift_fields",
 )
 
+# Output columns, their source fields and the business key.
 INDICATOR_OBSERVATIONS = RecordSpec(
     fields=(
         Field("indicator_id", "indicator.id", TEXT, NOT_BLANK),

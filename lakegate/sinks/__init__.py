@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import urlparse
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +55,8 @@ def write_transform_result(
 
 def write_quality_result(spark: SparkSession, result: DataQualityResult, path: str) -> None:
     """One JSON text per run; an existing result is never replaced."""
+    if not urlparse(path).path.strip("/"):
+        raise ValueError(f"Expected a path below a bucket or folder, got {path!r}")
     body = spark.createDataFrame([(result_json(result),)], "value string")
     body.coalesce(1).write.mode(CREATE_ONLY).text(path)
 

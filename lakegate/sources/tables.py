@@ -10,6 +10,7 @@ from lakegate.functions.identifiers import manifest_folder
 from lakegate.functions.json_text import object_at
 from lakegate.records import INDICATOR_OBSERVATIONS, RecordSpec
 
+# Fields of a manifest.
 MANIFEST_SCHEMA = (
     "run_id string, dataset string, status string, started_at timestamp, "
     "completed_at timestamp, country string, indicator string, start_page bigint, "

@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from lakegate import DataQualityFailure, run_curation, run_ingest, run_output_path
-from lakegate import transform_documents, write_transform_result
+from lakegate import transform_documents, write_quality_result, write_transform_result
 from lakegate.operators.curate import classify_documents, select_processed
 from lakegate.operators.landing import page_contract
 from lakegate.operators.quality import INDICATOR_QUALITY_POLICY, row_metrics
@@ -37,6 +37,12 @@ def test_run_output_path():
     assert run_output_path("s3://b/processed/", "jr_1") == "s3://b/processed/run_id=jr_1"
 
 
+@pytest.mark.parametrize("path", ["", "/", "s3://bucket-only", "s3://bucket-only/"])
+def test_quality_result_needs_a_path_below_a_bucket(spark, path):
+    with pytest.raises(ValueError, match="Expected a path below a bucket"):
+        write_quality_result(spark, None, path)
+
+
 def test_round_trip_from_files(spark, tmp_path):
     landing = tmp_path / "landing" / "deep"
     landing.mkdir(parents=True)

@@ -32,6 +32,7 @@ from lakegate.operators.runs import (
     admit_runs,
     manifest_objects,
     run_manifests,
+    run_summaries,
     validate_requests,
     with_fingerprint,
 )
@@ -335,7 +336,7 @@ def _run_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def run_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.substring("run_id", 5, 5).cast("int")
     runs = (
         _run_pages(spark, sf_dir)
@@ -354,7 +355,11 @@ def run_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
             }
         )
     )
-    manifests = run_manifests(with_fingerprint(runs), _run_objects(spark, sf_dir))
+    return run_manifests(with_fingerprint(runs), _run_objects(spark, sf_dir))
+
+
+def run_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifests = _manifests(spark, sf_dir)
     return manifests.select(
         *[c for c in manifests.columns if c not in ("started_at", "completed_at", "error")],
         _iso("started_at"),
@@ -364,6 +369,10 @@ def run_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_summaries(_manifests(spark, sf_dir), "manifests")
+
+
 def run_manifest_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = manifest_objects(_run_objects(spark, sf_dir))
     line = F.transform(
@@ -640,6 +649,17 @@ QUERIES = {
             CASE WHEN n % 4 = 2 THEN 'page failed' END AS error_message FROM runs""",
         ),
     ),
+    "run_summary": (
+        run_summary,
+        _with_pages(
+            f"""SELECT CASE WHEN n % 4 = 2 THEN 'FAILED' WHEN n % 5 = 3 THEN 'RUNNING' ELSE 'COMPLETED' END AS status,
+            run_id, 'USA' AS country, 'SP.POP.TOTL' AS indicator, pages, records, source_bytes,
+            'manifests/world_bank/run_id=' || run_id AS manifest_uri, n % 2 = 1 AS replayed
+            FROM (SELECT run_id, page // {PAGES_PER_RUN} AS n, count(*) AS pages,
+              CAST(sum(record_count) AS BIGINT) AS records,
+              CAST(sum(strlen(raw_text)) AS BIGINT) AS source_bytes FROM pages GROUP BY ALL)"""
+        ),
+    ),
     "run_manifest_objects": (
         run_manifest_objects,
         _with_pages(
