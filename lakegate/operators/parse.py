@@ -35,6 +35,9 @@ CANDIDATE = "candidate"
 REJECTED = "rejected"
 DOCUMENT_COLUMNS = ("source_file", "raw_text")
 
+# Bytes a VARIANT can hold; a longer document cannot be parsed as one value.
+VARIANT_BYTES = 128 * 1024 * 1024
+
 
 def require_document_columns(documents: DataFrame) -> None:
     missing = sorted(set(DOCUMENT_COLUMNS) - set(documents.columns))
@@ -65,9 +68,12 @@ def split_documents(documents: DataFrame) -> DataFrame:
         ),
     )
     readable = F.col("is_json") & F.col("is_page")
+    detail = F.when(
+        F.octet_length(raw_text) > VARIANT_BYTES, F.lit("document exceeds the size of a VARIANT")
+    ).otherwise(F.lit("text is not a single JSON value"))
     return shaped.select(
         "source_file",
-        F.when(~F.col("is_json"), F.lit(f"{MALFORMED_JSON}: text is not a single JSON value"))
+        F.when(~F.col("is_json"), F.concat(F.lit(f"{MALFORMED_JSON}: "), detail))
         .when(~F.col("is_page"), F.lit(INVALID_DOCUMENT_SHAPE))
         .alias("document_reason"),
         F.when(~F.col("is_json"), raw_text)

@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from lakegate.operators.parse import parse_documents
 from tests.conftest import document, record, without
@@ -149,6 +150,16 @@ def test_last_of_duplicate_keys_wins(documents):
     assert row["observation_year_raw"] == "2"
 
 
+def test_a_document_beyond_the_parser_says_so(spark):
+    numbers = F.repeat(F.lit("1,"), 70_000_000)
+    frame = spark.range(1).select(
+        F.lit("a").alias("source_file"),
+        F.concat(F.lit("[{},["), numbers, F.lit("1]]")).alias("raw_text"),
+    )
+    (row,) = parse_documents(frame).select("rejection_reason").collect()
+    assert row.rejection_reason == "MALFORMED_JSON: document exceeds the size of a VARIANT"
+
+
 def test_requires_document_columns(spark):
     frame = spark.createDataFrame([("a",)], "source_file string")
     with pytest.raises(ValueError, match=r"Documents DataFrame is missing columns: \['raw_text'\]"):

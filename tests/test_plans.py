@@ -14,9 +14,10 @@ from lakegate import transform_documents, write_quality_result, write_transform_
 from lakegate.operators.curate import classify_documents, select_processed
 from lakegate.operators.landing import page_contract
 from lakegate.operators.quality import INDICATOR_QUALITY_POLICY, row_metrics
+from lakegate.operators.runs import admit_runs
+from lakegate.plans.staging import stage
 from lakegate.sources.documents import landed_documents, read_documents, read_landing_table
 from lakegate.sources.tables import read_manifests, read_processed
-from lakegate.sinks import write_manifests
 from tests.conftest import document, record, without
 
 
@@ -230,6 +231,41 @@ def test_page_contract_does_not_shuffle(documents):
     assert "Exchange" not in plan(page_contract(documents(("a", document(record())))))
 
 
+def test_hot_runs_are_split_by_adaptive_joins(spark):
+    """A run with most of the rows is joined by several tasks on every run-keyed join."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        run_id = F.when(F.col("id") % 10 < 8, "hot").otherwise(F.concat(F.lit("r"), F.col("id") % 97))
+        requests = spark.range(0, 40000, 1, 8).select(
+            run_id.alias("run_id"),
+            F.sha2(F.col("id").cast("string"), 256).alias("config_fingerprint"),
+            F.lit(FIRST).cast("timestamp").alias("requested_at"),
+        )
+        manifests = requests.select("run_id").distinct().select(
+            "run_id",
+            F.lit("f").alias("config_fingerprint"),
+            F.lit("FAILED").alias("status"),
+            F.lit(FIRST).cast("timestamp").alias("started_at"),
+        )
+        admitted = admit_runs(requests, stage(manifests, "known-runs"))
+        assert admitted.count() == 40000
+        final = admitted.select("run_id", "decision")
+        final.collect()
+        assert "skew=true" in plan(final)
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+
+
 def test_quality_counts_before_its_shuffle(spark):
     frame = spark.range(10).select(F.col("id").alias("k"), F.lit("x").alias("schema"))
     config = replace(

@@ -19,7 +19,6 @@ from lakegate.operators.landing import (
 from lakegate.operators.quality import (
     INDICATOR_QUALITY_POLICY,
     DataQualityFailure,
-    evaluate_quality,
 )
 from lakegate.operators.reconcile import (
     declared_total,
@@ -28,7 +27,6 @@ from lakegate.operators.reconcile import (
     page_metrics,
 )
 from lakegate.operators.runs import (
-    RunDefaults,
     admit_runs,
     manifest_objects,
     run_manifests,
