@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakegate.functions.evaluation import with_computed
+from lakegate.functions.hot_keys import LANES, with_first_of_key
 from lakegate.functions.identifiers import (
     LANDING_PATH_PATTERN,
     SOURCE_PREFIX,
@@ -28,9 +29,6 @@ WRITTEN = "WRITTEN"
 EXISTING = "EXISTING"
 CONFLICT = "CONFLICT"
 
-# Lanes the copies of one path are spread over.
-LANES = 16384
-
 # What a page must hold, in the order in which it is checked.
 METADATA_NUMBERS = ("page", "pages", "per_page", "total")
 RECORD_KEYS = ("country", "countryiso3code", "date", "indicator", "value")
@@ -127,24 +125,18 @@ def disposition(
     ``EXISTING`` if its checksum equals what the path then holds, and
     ``CONFLICT`` if not.
 
-    One path may have any number of copies, so the copies never meet in one
-    group. They are spread over lanes by a hash of their order; the first copy of
-    every lane is found by an aggregate that combines before its shuffle, the
-    lanes of a path (at most ``lanes`` rows) are compared with each other, and
-    the answer goes back to the copies by path *and* lane.
+    One path may have any number of copies: see :func:`with_first_of_key`. The
+    landed checksums meet the incoming pages in an equi-join with one row per
+    path on their side, which Spark may split for a hot path.
     """
-    first = F.struct(F.col(order_by), F.col("sha256"))
-    spread = incoming.withColumn("_lane", F.pmod(F.xxhash64(order_by), F.lit(lanes)))
-    lane_firsts = spread.groupBy("path", "_lane").agg(F.min(first).alias("_lane_first"))
-    held = (
-        lane_firsts.withColumn("_first", F.min("_lane_first").over(Window.partitionBy("path")))
-        .join(landed.select("path", F.col("sha256").alias("_landed_sha")), "path", "left")
-        .drop("_lane_first")
+    firsts = with_first_of_key(incoming, "path", [order_by, "sha256"], "_first", lanes)
+    held = landed.select("path", F.col("sha256").alias("_landed_sha"))
+    is_first = F.col("_landed_sha").isNull() & (
+        F.struct(F.col(order_by), F.col("sha256")) == F.col("_first")
     )
-    is_first = F.col("_landed_sha").isNull() & (first == F.col("_first"))
     same = F.col("sha256") == F.coalesce(F.col("_landed_sha"), F.col("_first.sha256"))
     return (
-        spread.join(held, ["path", "_lane"], "left")
+        firsts.join(held, "path", "left")
         .withColumn(
             "disposition",
             F.when(is_first, WRITTEN).when(same, EXISTING).otherwise(CONFLICT),

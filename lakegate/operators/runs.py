@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakegate.functions.evaluation import with_computed
+from lakegate.functions.hot_keys import with_first_of_key
 from lakegate.functions.identifiers import (
     COUNTRY_PATTERN,
     INDICATOR_PATTERN,
@@ -182,7 +183,13 @@ def admit_runs(requests: DataFrame, manifests: DataFrame) -> DataFrame:
     ``requests`` holds ``run_id, config_fingerprint, requested_at``; ``manifests``
     one row per run with ``run_id, config_fingerprint, status, started_at``. A
     resumed run keeps its first start, and with it its landing date.
+
+    Requests for one run in the same batch take their turns: the earliest decides
+    as above, a later one finds the run taken and is skipped, or refused if it
+    names another source.
     """
+    turn = ["requested_at", "config_fingerprint"]
+    queued = with_first_of_key(requests, "run_id", turn, "_first")
     known = manifests.select(
         "run_id",
         F.col("config_fingerprint").alias("_known_fingerprint"),
@@ -190,23 +197,28 @@ def admit_runs(requests: DataFrame, manifests: DataFrame) -> DataFrame:
         F.col("started_at").alias("_known_start"),
         F.lit(True).alias("_known"),
     )
-    same = F.col("_known_fingerprint").eqNullSafe(F.col("config_fingerprint"))
+    is_known = F.col("_known").isNotNull()
+    is_first = F.struct(*turn) == F.col("_first")
+    owner = F.when(is_known, F.col("_known_fingerprint")).otherwise(
+        F.col("_first.config_fingerprint")
+    )
     decision = (
-        F.when(F.col("_known").isNull(), NEW)
-        .when(~same, CONFLICT_RUN)
-        .when(F.col("_known_status") == COMPLETED, SKIP)
-        .otherwise(RESUME)
+        F.when(~owner.eqNullSafe(F.col("config_fingerprint")), CONFLICT_RUN)
+        .when(~is_first | (F.col("_known_status") == COMPLETED), SKIP)
+        .when(is_known, RESUME)
+        .otherwise(NEW)
     )
-    return (
-        requests.join(known, "run_id", "left")
-        .withColumns(
-            {
-                "decision": decision,
-                "replayed": decision.isin(SKIP, RESUME),
-                "started_at": F.coalesce(F.col("_known_start"), F.col("requested_at")),
-            }
-        )
-        .drop("_known", "_known_fingerprint", "_known_status", "_known_start")
+    decided = queued.join(known, "run_id", "left").withColumns(
+        {
+            "decision": decision,
+            "started_at": F.coalesce(F.col("_known_start"), F.col("_first.requested_at")),
+        }
+    )
+    return decided.select(
+        *requests.columns,
+        "decision",
+        F.col("decision").isin(SKIP, RESUME).alias("replayed"),
+        "started_at",
     )
 
 

@@ -116,8 +116,8 @@ def run_ingest(
 ) -> IngestOutcome:
     """Admit requests, land their pages and write the manifests.
 
-    ``requests``: ``request_text, default_run_id, requested_at, finished_at``,
-    one row per run. ``pages``: ``run_id, page`` (as requested), ``raw_text``,
+    ``requests``: ``request_text, default_run_id, requested_at, finished_at``.
+    ``pages``: ``run_id, page`` (as requested), ``raw_text``,
     each page once. A run that is already complete is skipped, one that reuses a
     run id for another source is refused, and an interrupted one resumes: its
     pages that landed before come out as ``EXISTING``.
@@ -126,7 +126,8 @@ def run_ingest(
     valid = checked.filter(F.col("request_error").isNull())
     # Staged because the manifests it is decided on are replaced further down.
     decisions = stage(admit_runs(valid, read_manifests(spark, manifest_root)), "decisions")
-    active = decisions.filter(F.col("decision").isin(NEW, RESUME))
+    # Identical requests at the same moment are all let in, and make one run.
+    active = decisions.filter(F.col("decision").isin(NEW, RESUME)).dropDuplicates(["run_id"])
 
     judged = stage(judge_pages(pages, active), "judged-pages")
     landed = _landed_index(spark, landing_path)

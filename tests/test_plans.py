@@ -170,6 +170,15 @@ def test_ingest_lands_skips_resumes_and_refuses(spark, tmp_path):
     assert classify_documents(landed_documents(landed)).count() == 4
 
 
+def test_repeated_requests_make_one_run(spark, tmp_path):
+    outcome = ingest(
+        spark, tmp_path, [{"run_id": "r"}] * 3, [("r", 1, page_text(1, 1))], FIRST
+    )
+    assert [r.decision for r in outcome.decisions.collect()] == ["NEW"] * 3
+    assert [r.pages_landed for r in outcome.manifests.collect()] == [1]
+    assert read_landing_table(spark, str(tmp_path / "landing")).count() == 1
+
+
 def test_ingest_stops_a_run_at_its_first_broken_page(spark, tmp_path):
     pages = [
         ("contract", 1, page_text(1, 3)),

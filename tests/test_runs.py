@@ -120,6 +120,28 @@ def test_admission(spark):
     assert rows["failed"].started_at == EARLY and rows["failed"].replayed is True
 
 
+def test_requests_for_one_run_take_their_turns(spark):
+    requests = spark.createDataFrame(
+        [("n", "f", EARLY), ("n", "f", LATE), ("n", "g", LATE), ("k", "f", EARLY), ("k", "f", LATE)],
+        "run_id string, config_fingerprint string, requested_at timestamp",
+    )
+    manifests = spark.createDataFrame(
+        [("k", "f", "FAILED", EARLY)],
+        "run_id string, config_fingerprint string, status string, started_at timestamp",
+    )
+    found = {
+        (r.run_id, r.config_fingerprint, r.requested_at): (r.decision, r.replayed)
+        for r in admit_runs(requests, manifests).collect()
+    }
+    assert found == {
+        ("n", "f", EARLY): ("NEW", False),
+        ("n", "f", LATE): ("SKIP", True),
+        ("n", "g", LATE): ("CONFLICT", False),
+        ("k", "f", EARLY): ("RESUME", True),
+        ("k", "f", LATE): ("SKIP", True),
+    }
+
+
 RUN = (
     "run_id string, started_at timestamp, completed_at timestamp, country string, "
     "indicator string, start_page bigint, per_page bigint, config_fingerprint string, "
