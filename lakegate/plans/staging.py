@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,14 +13,22 @@ FALLBACK_SETTING = "lakegate.staging.dir"
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The shared folder from the session; lost executors do not lose its tables."""
+    """The shared folder from the session; lost executors do not lose its tables.
+
+    Without either setting the warehouse folder is used, which must then be one
+    that all executors see: a local path is refused unless the master is local.
+    """
     root = spark.conf.get(SHARED_FOLDER_SETTING, None) or spark.conf.get(FALLBACK_SETTING, None)
-    if not root:
+    if root:
+        return root.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    master = spark.conf.get("spark.master", "local")
+    if warehouse.startswith(("file:", "/")) and not re.fullmatch(r"local(\[.*\])?", master):
         raise ValueError(
             f"{SHARED_FOLDER_SETTING} (or {FALLBACK_SETTING}) must name a folder shared by "
             "all executors"
         )
-    return root.rstrip("/")
+    return f"{warehouse}/_staging"
 
 
 def stage(frame: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
