@@ -1,5 +1,5 @@
 """Queries of the training-data operators: name to (query, SQL or None)."""
 
-from lakegate.llm import exact_dedup
+from lakegate.llm import exact_dedup, minhash
 
-QUERIES = {**exact_dedup.QUERIES}
+QUERIES = {**exact_dedup.QUERIES, **minhash.QUERIES}
