@@ -249,14 +249,14 @@ SQL = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
-         x -> x <> '') AS words
+         lambda x: x <> '') AS words
   FROM documents
 ), s AS (
   SELECT doc_id, unnest(list_distinct(CASE
            WHEN len(words) = 0 THEN []
            WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
            ELSE list_transform(range(1, len(words) - 1),
-                               i -> words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])
+                               lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])
          END)) AS shingle
   FROM w
 ), n AS (
