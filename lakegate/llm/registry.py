@@ -1,5 +1,10 @@
 """Queries of the training-data operators: name to (query, SQL or None)."""
 
-from lakegate.llm import exact_dedup, minhash
+from lakegate.llm import exact_dedup, minhash, mixing, packing
 
-QUERIES = {**exact_dedup.QUERIES, **minhash.QUERIES}
+QUERIES = {
+    **packing.QUERIES,
+    **mixing.QUERIES,
+    **exact_dedup.QUERIES,
+    **minhash.QUERIES,
+}
