@@ -46,7 +46,7 @@ class Settings:
 OP9 = Settings(words=3, percent=85, bands=48, rows=8)
 
 _CACHED_WORDS = 500_000
-_COLUMNS = 256
+_ROWS = 256
 
 
 class _WordHashes(dict):
@@ -88,22 +88,26 @@ def signature(hashes: np.ndarray, size: int) -> np.ndarray:
     """Circulant MinHash: coordinate k is the least of pi(sigma(x) + k) over the shingles."""
     least = np.full(size, 0xFFFFFFFF, np.uint32)
     start = _permuted((hashes >> np.uint64(32)).astype(np.uint32))
-    shift = np.arange(size, dtype=np.uint32)[:, None]
-    for at in range(0, len(start), _COLUMNS):
-        x = start[None, at : at + _COLUMNS] + shift
+    shift = np.arange(size, dtype=np.uint32)
+    rows = min(_ROWS, len(start))
+    space = np.empty((2, rows, size), np.uint32)
+    for at in range(0, len(start), rows):
+        part = start[at : at + rows, None]
+        x, shifted = space[0, : len(part)], space[1, : len(part)]
+        np.add(part, shift, out=x)
         # The second permutation, in place.
-        x ^= x >> np.uint32(16)
-        x *= np.uint32(0x7FEB352D)
-        x ^= x >> np.uint32(15)
-        x *= np.uint32(0x846CA68B)
-        x ^= x >> np.uint32(16)
-        np.minimum(least, x.min(axis=1), out=least)
+        for bits, factor in ((16, 0x7FEB352D), (15, 0x846CA68B)):
+            np.right_shift(x, np.uint32(bits), out=shifted)
+            np.bitwise_xor(x, shifted, out=x)
+            np.multiply(x, np.uint32(factor), out=x)
+        np.minimum(least, x.min(axis=0), out=least)
     return least
 
 
 def _bands(least: np.ndarray, settings: Settings) -> np.ndarray:
+    """One hash per band, of the band's number and its coordinates."""
     parts = least.reshape(settings.bands, settings.rows).astype(np.uint64)
-    hashed = np.full(settings.bands, settings.rows, np.uint64)
+    hashed = np.arange(1, settings.bands + 1, dtype=np.uint64)
     for column in parts.T:
         hashed = mix64(hashed + column)
     return hashed.view(np.int64)
@@ -148,17 +152,14 @@ def _set_maker(words: int):
     return make
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
     """Those pairs (a, b) whose full shingle sets are similar enough."""
-    ids = pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct()
-    texts = docs.join(ids, F.col("doc_id") == F.col("_id"), "left_semi")
-    sets = texts.mapInArrow(_set_maker(settings.words), "doc_id long, shingles array<long>")
-    sets = stage(sets, "shingles")
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("_b"))
     both = F.size(F.array_intersect("_a", "_b"))
     either = F.size("_a") + F.size("_b") - both
-    return pairs.join(left, "a").join(right, "b").where(100 * both >= settings.percent * either).select("a", "b")
+    similar = 100 * both >= settings.percent * either
+    return pairs.join(left, "a").join(right, "b").where(similar).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -180,45 +181,52 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         ]
     )
     signed = stage(docs.mapInArrow(_signer(settings), schema), "signatures")
-    named = docs.where(F.col("doc_id").isNotNull())
     usable = signed.where(F.col("doc_id").isNotNull() & F.col("class").isNotNull())
     classes = stage(usable.groupBy("class").agg(F.min("doc_id").alias("node")), "classes")
-    first = usable.join(
+    nodes = usable.join(
         classes.withColumnRenamed("class", "_class"),
         (F.col("doc_id") == F.col("node")) & (F.col("class") == F.col("_class")),
     ).select("node", "n_shingles", "bands")
-    banded = first.select("node", "n_shingles", "bands", F.posexplode("bands").alias("band", "hash"))
 
-    bucket = ["band", "hash"]
-    slim = banded.select("node", *bucket)
-    leaders = slim.groupBy(bucket).agg(F.min("node").alias("b"), F.max("node").alias("_most"))
-    leaders = leaders.where("b < _most").drop("_most")
-    stars = slim.join(leaders, bucket).where("node > b").select(F.col("node").alias("a"), "b")
+    # Only buckets with two members or more go on: few rows, for most texts are like no other.
+    slim = nodes.select("node", F.explode("bands").alias("bucket"))
+    leaders = slim.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("_most"))
+    leaders = leaders.where("leader < _most").drop("_most")
+    members = stage(slim.join(leaders, "bucket"), "members")
+    ids = members.select(F.col("node").alias("_id")).distinct()
+    texts = docs.join(ids, F.col("doc_id") == F.col("_id"), "left_semi")
+    sets = texts.mapInArrow(_set_maker(settings.words), "doc_id long, shingles array<long>")
+    sets = stage(sets, "shingles")
+
+    stars = members.where("node > leader").select(F.col("node").alias("a"), F.col("leader").alias("b"))
     stars = stage(stars.distinct(), "pairs")
-    links = stage(_confirmed(stars, named, settings), "links")
+    links = stage(_confirmed(stars, sets, settings), "links")
     roots = components(links)
 
-    labelled = banded.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    counted = labelled.groupBy(*bucket, "root").agg(F.count(F.lit(1)).alias("_rows"))
-    mixed = counted.groupBy(bucket).agg(
-        F.max(F.struct("_rows", "root"))["root"].alias("_main"), F.count(F.lit(1)).alias("_roots")
+    labelled = members.join(roots, "node", "left").select(
+        "bucket", "node", F.coalesce("root", "node").alias("root")
+    )
+    counted = labelled.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("_rows"))
+    mixed = counted.groupBy("bucket").agg(
+        F.max(F.struct("_rows", "root"))["root"].alias("main"), F.count(F.lit(1)).alias("_roots")
     )
-    mixed = mixed.where("_roots > 1").drop("_roots")
-    members = stage(labelled.join(mixed, bucket), "mixed-buckets")
-    outside = members.where("root <> _main").select(
-        *bucket, *(F.col(c).alias(f"_{c}") for c in ("node", "root", "n_shingles", "bands"))
+    mixed = labelled.join(mixed.where("_roots > 1").drop("_roots"), "bucket")
+    mixed = stage(mixed.join(nodes, "node"), "mixed-buckets")
+    outside = mixed.where("root <> main").select(
+        "bucket", *(F.col(c).alias(f"_{c}") for c in ("node", "root", "n_shingles", "bands"))
     )
+    # A pair is taken from the first bucket that it shares only.
     shared = F.zip_with("bands", "_bands", lambda x, y: x == y)
     sizes = (F.col("n_shingles"), F.col("_n_shingles"))
-    cross = outside.join(members, bucket).where(
+    cross = outside.join(mixed, "bucket").where(
         (F.col("root") != F.col("_root"))
-        & ((F.col("root") == F.col("_main")) | (F.col("node") < F.col("_node")))
+        & ((F.col("root") == F.col("main")) | (F.col("node") < F.col("_node")))
         & (100 * F.least(*sizes) >= settings.percent * F.greatest(*sizes))
-        & (F.array_position(shared, F.lit(True)) == F.col("band") + 1)
+        & (F.array_position(shared, F.lit(True)) == F.array_position("bands", F.col("bucket")))
     )
     cross = cross.select(F.greatest("node", "_node").alias("a"), F.least("node", "_node").alias("b"))
     cross = stage(cross.distinct().join(stars, ["a", "b"], "left_anti"), "pairs")
-    more = stage(_confirmed(cross, named, settings), "links")
+    more = stage(_confirmed(cross, sets, settings), "links")
     if not more.isEmpty():
         roots = components(links.union(more))
 
