@@ -19,8 +19,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def fold(doc_id: Column, folds: int = 4) -> Column:
-    """crc32 of the id as text, modulo ``folds``."""
-    return F.crc32(doc_id.cast("string").cast("binary")) % folds
+    """crc32 of the id as text, modulo ``folds``; a null id counts as empty text."""
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
 
 
 def bytes_of(column: pa.Array) -> list[bytes]:

@@ -1,10 +1,11 @@
 """Queries of the training-data operators: name to (query, SQL or None)."""
 
-from lakegate.llm import exact_dedup, minhash, mixing, packing
+from lakegate.llm import exact_dedup, minhash, mixing, packing, quality
 
 QUERIES = {
     **packing.QUERIES,
     **mixing.QUERIES,
+    **quality.QUERIES,
     **exact_dedup.QUERIES,
     **minhash.QUERIES,
 }
