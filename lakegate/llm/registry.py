@@ -1,6 +1,6 @@
 """Queries of the training-data operators: name to (query, SQL or None)."""
 
-from lakegate.llm import exact_dedup, minhash, mixing, packing, quality
+from lakegate.llm import exact_dedup, language, minhash, mixing, packing, quality
 
 QUERIES = {
     **packing.QUERIES,
@@ -8,4 +8,5 @@ QUERIES = {
     **quality.QUERIES,
     **exact_dedup.QUERIES,
     **minhash.QUERIES,
+    **language.QUERIES,
 }
