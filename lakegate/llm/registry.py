@@ -1,9 +1,10 @@
 """Queries of the training-data operators: name to (query, SQL or None)."""
 
-from lakegate.llm import exact_dedup, language, minhash, mixing, packing, quality
+from lakegate.llm import exact_dedup, language, minhash, mixing, packing, pii, quality
 
 QUERIES = {
     **packing.QUERIES,
+    **pii.QUERIES,
     **mixing.QUERIES,
     **quality.QUERIES,
     **exact_dedup.QUERIES,
