@@ -6,9 +6,9 @@ Documents with the same shingle set are one class with one representative. Class
 share a band are candidates; links are confirmed on full shingle sets, and components follow.
 
 No group is expanded into pairs. First every class of a bucket is compared with the bucket's
-smallest one. Components then show which buckets still hold several, and only the members
-outside a bucket's largest component are compared with its other components. Every link
-between classes that share a bucket is so either found or lies inside a component already.
+smallest one. Components then show which buckets still hold several, and what meets there is
+compared in blocks, component against component. Every link between classes that share a
+bucket is so either found or lies inside a component already.
 """
 
 from __future__ import annotations
@@ -45,6 +45,10 @@ class Settings:
 
 OP9 = Settings(words=3, percent=85, bands=48, rows=8)
 
+#: Blocks of nodes that are compared two by two hold about so many rows and shingles.
+BLOCK_ROWS = 256
+BLOCK_SHINGLES = 500_000
+
 _CACHED_WORDS = 500_000
 _ROWS = 256
 
@@ -162,6 +166,109 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFra
     return pairs.join(left, "a").join(right, "b").where(similar).select("a", "b")
 
 
+def _block_comparer(settings: Settings):
+    """Links between two blocks of nodes, as few as join their components."""
+
+    def compare(rows: pa.Table) -> pa.Table:
+        node, root = rows["node"].to_numpy(), rows["root"].to_numpy()
+        second = rows["second"].to_numpy(zero_copy_only=False)
+        values = rows["shingles"].combine_chunks()
+        values = values if isinstance(values, pa.ListArray) else values.chunk(0)
+        sizes = np.diff(values.offsets.to_numpy())
+        _, flat = np.unique(values.flatten().to_numpy(), return_inverse=True)
+        starts = np.concatenate(([0], np.cumsum(sizes)))
+        left, right = np.flatnonzero(~second), np.flatnonzero(second)
+        if not len(right):  # a block against itself
+            right = left
+        order = np.concatenate([flat[starts[i] : starts[i + 1]] for i in right])
+        begin = np.concatenate(([0], np.cumsum(sizes[right])))[:-1]
+        present = np.zeros(flat.max() + 1, np.int64)
+        now = {int(r): int(r) for r in root}
+
+        def home(r: int) -> int:
+            while now[r] != r:
+                now[r] = now[now[r]]
+                r = now[r]
+            return r
+
+        found: list[tuple[int, int]] = []
+        for i in left:
+            own = flat[starts[i] : starts[i + 1]]
+            present[own] = 1
+            both = np.add.reduceat(present[order], begin)
+            present[own] = 0
+            either = sizes[i] + sizes[right] - both
+            similar = (100 * both >= settings.percent * either) & (root[right] != root[i])
+            for j in right[similar]:
+                x, y = home(int(root[i])), home(int(root[j]))
+                if x != y:
+                    now[max(x, y)] = min(x, y)
+                    found.append((int(node[i]), int(node[j])))
+        return pa.table(
+            {"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())}
+        )
+
+    return compare
+
+
+def _linked_across(members: DataFrame, roots: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """Links between components that share a bucket, enough to join those that belong together.
+
+    Components that meet in a bucket form a family. The nodes of a family's mixed buckets are
+    dealt into blocks of bounded rows and shingles, a large component into blocks of its own,
+    and blocks are compared two by two, except those of one component. Only links that join
+    components leave a comparison, so nothing grows with the square of a group.
+    """
+    labelled = members.join(roots, "node", "left").select(
+        "bucket", "node", F.coalesce("root", "node").alias("root")
+    )
+    several = labelled.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("_high"))
+    mixed = labelled.join(several.where("low < _high").drop("_high"), "bucket")
+    mixed = stage(mixed.select("node", "root", "low").distinct(), "mixed-buckets")
+    family = components(mixed.select(F.col("root").alias("a"), F.col("low").alias("b")).distinct())
+    family = family.select(F.col("node").alias("_root"), F.col("root").alias("_family"))
+    pool = mixed.select("node", "root").distinct().join(family, F.col("root") == F.col("_root"), "left")
+    pool = pool.select("node", "root", F.coalesce("_family", "root").alias("family"))
+    sized = sets.select(F.col("doc_id").alias("_node"), F.size("shingles").alias("size"))
+    pool = stage(pool.join(sized, F.col("node") == F.col("_node")).drop("_node"), "families")
+
+    load = (F.count(F.lit(1)).alias("rows"), F.sum("size").alias("load"))
+    blocks_of = F.ceil(F.greatest(F.col("rows") / BLOCK_ROWS, F.col("load") / BLOCK_SHINGLES)).cast("int")
+    large = pool.groupBy("root").agg(*load).select(F.col("root").alias("_large"), (blocks_of > 1).alias("_own"))
+    dealt = pool.join(large, F.col("root") == F.col("_large")).withColumn(
+        "unit", F.when(F.col("_own"), F.col("root"))
+    )
+    units = dealt.groupBy("family", "unit").agg(*load).select(
+        F.col("family").alias("_family"), F.col("unit").alias("_unit"), blocks_of.alias("blocks")
+    )
+    same = (F.col("family") == F.col("_family")) & F.col("unit").eqNullSafe(F.col("_unit"))
+    dealt = dealt.join(units, same).select(
+        "node",
+        "root",
+        F.xxhash64("family", "unit", F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("block"),
+    )
+    blocks = units.select(
+        "_family", "_unit", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("n")
+    ).select(
+        F.col("_family").alias("family"),
+        F.col("_unit").alias("unit"),
+        F.xxhash64("_family", "_unit", F.col("n").cast("long")).alias("block"),
+    )
+    other = blocks.select(F.col("family"), F.col("unit").alias("unit2"), F.col("block").alias("block2"))
+    pairs = blocks.join(other, "family").where(
+        (F.col("block") <= F.col("block2"))
+        & (F.col("unit").isNull() | ~F.col("unit").eqNullSafe(F.col("unit2")))
+    )
+    pairs = stage(pairs.select("block", "block2", F.xxhash64("block", "block2").alias("pair")), "block-pairs")
+    first = dealt.join(pairs, "block").select("node", "root", "pair", F.lit(False).alias("second"))
+    second = dealt.join(
+        pairs.where("block <> block2").select(F.col("block2").alias("block"), "pair"), "block"
+    ).select("node", "root", "pair", F.lit(True).alias("second"))
+    loaded = first.union(second).join(sets, F.col("node") == F.col("doc_id"))
+    loaded = loaded.select("pair", "node", "root", "second", "shingles")
+    return loaded.groupBy("pair").applyInArrow(_block_comparer(settings), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
@@ -203,30 +310,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     links = stage(_confirmed(stars, sets, settings), "links")
     roots = components(links)
 
-    labelled = members.join(roots, "node", "left").select(
-        "bucket", "node", F.coalesce("root", "node").alias("root")
-    )
-    counted = labelled.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("_rows"))
-    mixed = counted.groupBy("bucket").agg(
-        F.max(F.struct("_rows", "root"))["root"].alias("main"), F.count(F.lit(1)).alias("_roots")
-    )
-    mixed = labelled.join(mixed.where("_roots > 1").drop("_roots"), "bucket")
-    mixed = stage(mixed.join(nodes, "node"), "mixed-buckets")
-    outside = mixed.where("root <> main").select(
-        "bucket", *(F.col(c).alias(f"_{c}") for c in ("node", "root", "n_shingles", "bands"))
-    )
-    # A pair is taken from the first bucket that it shares only.
-    shared = F.zip_with("bands", "_bands", lambda x, y: x == y)
-    sizes = (F.col("n_shingles"), F.col("_n_shingles"))
-    cross = outside.join(mixed, "bucket").where(
-        (F.col("root") != F.col("_root"))
-        & ((F.col("root") == F.col("main")) | (F.col("node") < F.col("_node")))
-        & (100 * F.least(*sizes) >= settings.percent * F.greatest(*sizes))
-        & (F.array_position(shared, F.lit(True)) == F.array_position("bands", F.col("bucket")))
-    )
-    cross = cross.select(F.greatest("node", "_node").alias("a"), F.least("node", "_node").alias("b"))
-    cross = stage(cross.distinct().join(stars, ["a", "b"], "left_anti"), "pairs")
-    more = stage(_confirmed(cross, sets, settings), "links")
+    more = stage(_linked_across(members, roots, sets, settings), "links")
     if not more.isEmpty():
         roots = components(links.union(more))
 
