@@ -1,12 +1,13 @@
 """Queries of the training-data operators: name to (query, SQL or None)."""
 
-from lakegate.llm import exact_dedup, language, minhash, mixing, packing, pii, quality
+from lakegate.llm import exact_dedup, language, minhash, mixing, packing, pii, quality, sharding
 
 QUERIES = {
     **packing.QUERIES,
     **pii.QUERIES,
     **mixing.QUERIES,
     **quality.QUERIES,
+    **sharding.QUERIES,
     **exact_dedup.QUERIES,
     **minhash.QUERIES,
     **language.QUERIES,
