@@ -1,9 +1,10 @@
 """Queries of the training-data operators: name to (query, SQL or None)."""
 
-from lakegate.llm import ann, exact_dedup, language, minhash, mixing, packing, pii, quality, sharding
+from lakegate.llm import ann, exact_dedup, html_text, language, minhash, mixing, packing, pii, quality, sharding
 
 QUERIES = {
     **packing.QUERIES,
+    **html_text.QUERIES,
     **pii.QUERIES,
     **mixing.QUERIES,
     **ann.QUERIES,
