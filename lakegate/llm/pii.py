@@ -5,7 +5,8 @@ Boosted trees score every proposal by its format and context. They are fitted on
 proposals of the corpus are counted by their binned features and by whether a base pattern
 confirms them, a table whose size is bounded by the bins. What the confirming rules look at
 (a leading plus, a check digit) is no feature, so the trees learn how such data looks and
-where it stands. The threshold is the least that is precise enough on those counts.
+where it stands. Scores are calibrated on the counts, for each generator: its threshold is the least score
+whose calibrated share of confirmed proposals is high enough.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from lakegate.llm.common import table
 from lakegate.plans.staging import stage
 
 KINDS = ("email", "ip", "card", "phone")
-#: Spans of the trees need at least this share of confirmed proposals at or above their score.
+#: Spans of the trees need at least this calibrated share of confirmed proposals.
 PRECISION = 0.98
 ROUNDS = 24
 RATE = 0.3
@@ -197,10 +198,10 @@ def proposals(docs: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Trees:
-    """SQL of the summed trees over the features of ``x``, and the threshold on it."""
+    """SQL of the summed trees over the features of ``x``, and each generator's threshold on it."""
 
     sql: str
-    threshold: float
+    thresholds: tuple[float, ...]
 
 
 def _leaf(slopes: list[tuple[float, float]]) -> float:
@@ -267,16 +268,25 @@ def boost(cells: list[tuple[tuple, int, int]], precision: float = PRECISION) ->
         tree = _tree(rows, slopes, 3)
         trees.append(tree)
         scores = [s + _value(tree, r) for s, r in zip(scores, rows)]
-    threshold, n, yes = math.inf, 0, 0
-    for score, (_, count, confirmed) in sorted(zip(scores, cells), reverse=True):
-        n, yes = n + count, yes + confirmed
-        if yes >= precision * n:
-            threshold = score
-    # Cells of one score stand or fall together.
-    same = [(c[1], c[2]) for s, c in zip(scores, cells) if s >= threshold - 1e-9]
-    if sum(y for _, y in same) < precision * sum(c for c, _ in same):
-        threshold = math.inf
-    return Trees(" + ".join(map(_sql, trees)) or "0D", threshold)
+    thresholds = []
+    for generator in range(BINS["generator"]):
+        own = [(s, n, yes) for s, (row, n, yes) in zip(scores, cells) if row[0] == generator]
+        thresholds.append(_threshold(own, precision))
+    return Trees(" + ".join(map(_sql, trees)) or "0D", tuple(thresholds))
+
+
+def _threshold(scored: list[tuple[float, int, int]], precision: float) -> float:
+    """The least score with a calibrated share of at least ``precision``, by isotonic regression."""
+    pools: list[list[float]] = []  # least score, proposals, confirmed
+    for score, n, yes in sorted(scored):
+        if pools and score - pools[-1][0] < 1e-12:
+            pools[-1][1:] = [pools[-1][1] + n, pools[-1][2] + yes]
+        else:
+            pools.append([score, n, yes])
+        while len(pools) > 1 and pools[-2][2] * pools[-1][1] >= pools[-1][2] * pools[-2][1]:
+            _, n, yes = pools.pop()
+            pools[-1][1:] = [pools[-1][1] + n, pools[-1][2] + yes]
+    return next((score for score, n, yes in pools if yes >= precision * n), math.inf)
 
 
 def train(found: DataFrame) -> Trees:
@@ -305,12 +315,15 @@ def redactions(found: DataFrame, trees: Trees) -> DataFrame:
     Of added spans that overlap, the first generator's stays.
     """
     base = F.concat(*(F.col("base")[kind] for kind in KINDS))
-    if math.isinf(trees.threshold):
+    limits = [
+        f"WHEN {i} THEN {t - 1e-9!r}D" for i, t in enumerate(trees.thresholds) if not math.isinf(t)
+    ]
+    if not limits:
         none = F.array().cast("array<struct<start:int,end:int,kind:string>>")
         return found.select("doc_id", "base", none.alias("added"))
     high = found.withColumn(
         "_high",
-        F.expr(f"filter(proposed, x -> {trees.sql} >= {trees.threshold - 1e-9!r}D)"),
+        F.expr(f"filter(proposed, x -> {trees.sql} >= CASE x.generator {' '.join(limits)} END)"),
     )
 
     def free(p: Column) -> Column:

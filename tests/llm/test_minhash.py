@@ -1,0 +1,100 @@
+"""Near-dedup against all pairs compared by hand."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+
+from lakegate.llm import minhash
+from lakegate.llm.components import components
+
+
+def shingles(text, words):
+    found = [w for w in (text or "").encode().lower().split()]
+    if not found:
+        return frozenset()
+    width = min(words, len(found))
+    return frozenset(tuple(found[i : i + width]) for i in range(len(found) - width + 1))
+
+
+def by_hand(rows, settings):
+    sets = {i: shingles(t, settings.words) for i, t in rows if i is not None}
+    home = {i: i for i in sets}
+
+    def top(i):
+        while home[i] != i:
+            i = home[i]
+        return i
+
+    ids = sorted(sets)
+    for k, i in enumerate(ids):
+        for j in ids[:k]:
+            both, either = len(sets[i] & sets[j]), len(sets[i] | sets[j])
+            if either and 100 * both >= settings.percent * either:
+                a, b = sorted((top(i), top(j)))
+                home[b] = a
+    return {i: (len(sets[i]), top(i)) for i in ids}
+
+
+def corpus(seed):
+    rng = random.Random(seed)
+    vocabulary = [f"w{k}" for k in range(400)]
+    rows, texts = [], []
+    for _ in range(12):
+        base = [rng.choice(vocabulary) for _ in range(rng.randrange(20, 160))]
+        for _ in range(rng.randrange(1, 30)):  # copies with more and more changes, around the threshold
+            own = list(base)
+            for _ in range(rng.randrange(0, max(2, len(own) // 12))):
+                own[rng.randrange(len(own))] = rng.choice(vocabulary)
+            texts.append(" ".join(own))
+    texts += ["", " \n", None, "One two", "one  TWO", "one", "É é", "long " * 3000]
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    return rows
+
+
+@pytest.mark.parametrize("settings", [minhash.Settings(), minhash.OP9], ids=["five words", "op9"])
+def test_components_equal_all_pairs(spark, settings):
+    rows = corpus(settings.words)
+    frame = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, kept int").repartition(3)
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(frame, settings).collect()}
+    assert found == by_hand(rows, settings)
+    kept = minhash.deduplicate(frame, settings)
+    assert kept.columns == frame.columns
+    assert {r.doc_id for r in kept.collect()} == {i for i, (_, home) in found.items() if i == home}
+
+
+def test_blocks_find_what_the_leaders_miss(spark, monkeypatch):
+    """Tiny blocks, so that families are cut over many of them."""
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", 4)
+    rows = corpus(11)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(frame, minhash.OP9).collect()}
+    assert found == by_hand(rows, minhash.OP9)
+
+
+def test_null_ids_repeated_rows_and_empty_table(spark):
+    rows = [(None, "a b c d e f"), (2, "a b c d e f"), (2, "a b c d e f"), (1, "x"), (5, "a b c d e f")]
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.component_id, r.kept) for r in found) == [
+        (0, None, True), (1, 1, True), (2, 2, True), (2, 2, True), (5, 2, False),
+    ]
+    assert minhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_signature_estimates_similarity():
+    rng = np.random.default_rng(1)
+    a = rng.integers(0, 2**63, 900, dtype=np.uint64)
+    b = np.concatenate((a[:600], rng.integers(0, 2**63, 300, dtype=np.uint64)))
+    same = (minhash.signature(a, 2048) == minhash.signature(b, 2048)).mean()
+    assert abs(same - 600 / 1200) < 0.05
+
+
+def test_components_of_chains_and_stars(spark):
+    chain = [(i, i + 1) for i in range(60)]
+    star = [(1000, k) for k in range(1001, 1300)]
+    links = spark.createDataFrame([*chain, *star, (7, 7), (None, 3)], "a long, b long")
+    found = {r.node: r.root for r in components(links).collect()}
+    assert found == {**{i: 0 for i in range(1, 61)}, **{k: 1000 for k in range(1001, 1300)}}
