@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,9 @@ VOCABULARY = "word_bpe_49k.json"
 END = 1
 LONGEST = 2048
 
-_CACHED_WORDS = 300_000
+_CACHED_WORDS = 600_000
 _CACHED_BYTES = 48
+_CACHED_TAILS = 10_000
 # The row number of a task takes the lower bits of a sequence id, the task's number the rest.
 _TASK_BITS = 33
 
@@ -46,20 +48,54 @@ PIECES = T.StructType(
 )
 
 
+# Letters before this one, but for İ, are one letter each in lower case and change in no
+# normal form, so that a run of them is one piece of the vocabulary's own splitting.
+_PLAIN_LETTERS = "ɐ"
+
+
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(others)) for b in range(256)]
+
+
 class Words(dict):
     """Token ids, as little-endian 32-bit integers, of texts between ASCII white space.
 
     The vocabulary drops white space and never joins what it separates, so a text's ids are
-    those of its words one after the other, and words that repeat are looked up.
+    those of its words one after the other, and words that repeat are looked up. A plain word,
+    letters and then punctuation, goes to the merges directly; any other one through the
+    whole tokenizer.
     """
 
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.merges = self.tokenizer.model
+        self.tails: dict[str, bytes] = {"": b""}
+        self.byte_letters = _byte_letters()
+
+    def _encoded(self, text: str) -> bytes:
+        found = self.tokenizer.encode(text, add_special_tokens=False)
+        return np.array(found.ids, "<u4").tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
-        found = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False)
-        ids = np.array(found.ids, "<u4").tobytes()
+        text = word.decode("utf-8", "replace")
+        letters = text.rstrip(punctuation)
+        if letters.isalpha() and max(letters) < _PLAIN_LETTERS and "İ" not in letters:
+            tail = text[len(letters) :]
+            if tail not in self.tails:
+                if len(self.tails) >= _CACHED_TAILS:
+                    self.tails = {"": b""}
+                self.tails[tail] = self._encoded(tail)
+            spelled = letters.lower()
+            if not spelled.isascii():
+                spelled = "".join(map(self.byte_letters.__getitem__, spelled.encode()))
+            ids = b"".join([t.id.to_bytes(4, "little") for t in self.merges.tokenize(spelled)])
+            ids += self.tails[tail]
+        else:
+            ids = self._encoded(text)
         if len(word) <= _CACHED_BYTES:
             if len(self) >= _CACHED_WORDS:
                 self.clear()

@@ -17,6 +17,7 @@ TEXTS = [
     "one",
     "It's  THE end of all, don't\nyou\x0bknow? été ́x 12345 \x1c a\x1cb",
     "<|endoftext|> a<|startoftext|>b 你好 \U0001f600!!! x_y-z İΣΣ ",
+    "Don't! don'. stop's x's ÉTÉ, ſtraße... ŉa İx Ǆ Ŀ ª º Word*** a-b ÿ\u0301",
     "word " * 5000,
     "longwithoutspace" * 3000,
 ]
