@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -233,7 +234,8 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in rows_at_most(batches, 256):
         out = []
-        for page, deleted in zip(batch.column("html").to_pylist(), batch.column("deleted").to_pylist()):
+        pages = pc.struct_field(batch.column("row"), "html").to_pylist()
+        for page, deleted in zip(pages, batch.column("deleted").to_pylist()):
             texts, kinds = lines(page)
             gone = set(deleted or ())
             named = ARTICLE in kinds
@@ -324,7 +326,7 @@ def extract(pages: DataFrame) -> DataFrame:
     own = [c for c in pages.columns if c not in ("text", "shared_lines")]
     found = template_lines(pages).groupBy("key").agg(F.min("deleted").alias("deleted"))
     found = found.withColumnRenamed("key", "_key")
-    rows = pages.select(F.struct(*own).alias("row"), "html", _key().alias("key"))
+    rows = pages.select(F.struct(*own).alias("row"), _key().alias("key"))
     rows = rows.join(found, F.col("key") == F.col("_key"), "left")
     schema = T.StructType(
         [
@@ -333,7 +335,7 @@ def extract(pages: DataFrame) -> DataFrame:
             T.StructField("shared_lines", T.IntegerType()),
         ]
     )
-    texts = rows.select("row", "html", "deleted").mapInArrow(_assemble, schema)
+    texts = rows.select("row", "deleted").mapInArrow(_assemble, schema)
     return texts.select("row.*", "text", "shared_lines")
 
 
