@@ -64,7 +64,7 @@ SCRIPT_NAMES = sorted({name for _, name in SCRIPTS})
 _SCRIPT_OF_RANGE = np.array([SCRIPT_NAMES.index(name) for _, name in SCRIPTS])
 
 _WORD = re.compile(r"[^\W\d_]+")
-_CACHED_WORDS = 200_000
+_CACHED_WORDS = 100_000
 _WORDS_AT_ONCE = 1_000_000
 
 

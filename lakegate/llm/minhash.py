@@ -49,7 +49,7 @@ OP9 = Settings(words=3, percent=85, bands=48, rows=8)
 BLOCK_ROWS = 256
 BLOCK_SHINGLES = 500_000
 
-_CACHED_WORDS = 500_000
+_CACHED_WORDS = 150_000
 _ROWS = 256
 
 

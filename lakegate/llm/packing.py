@@ -28,7 +28,7 @@ VOCABULARY = "word_bpe_49k.json"
 END = 1
 LONGEST = 2048
 
-_CACHED_WORDS = 600_000
+_CACHED_WORDS = 250_000
 _CACHED_BYTES = 48
 _CACHED_TAILS = 10_000
 # The row number of a task takes the lower bits of a sequence id, the task's number the rest.
