@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -32,6 +32,95 @@ def is_one_json_value(in_array: Column, raw: Column) -> Column:
     return F.coalesce(alone & (F.size(in_object) == 1), F.lit(False))
 
 
+# JSON as the source's own parser reads it: strings of any length, NaN and Infinity.
+READ_AS_TEXT = {"maxStringLen": "2147483647", "allowSingleQuotes": "false"}
+
+
+def document_text(raw: Column) -> Column:
+    """``raw`` respelled if it is exactly one JSON value, NULL if not.
+
+    For documents that no VARIANT holds: longer ones, and those with very long
+    strings or with ``NaN``. The two wrappings admit a single value only, see
+    :func:`is_one_json_value`.
+    """
+    in_array = F.from_json(F.concat(F.lit("["), raw, F.lit("]")), "array<string>", READ_AS_TEXT)
+    in_object = F.from_json(
+        F.concat(F.lit('{"d":'), raw, F.lit("}")), "_corrupt_record string", READ_AS_TEXT
+    )
+    is_one = (F.size(in_array) == 1) & in_object["_corrupt_record"].isNull()
+    return F.when(is_one, F.get(in_array, F.lit(0)))
+
+
+def with_page_parts(frame: DataFrame, raw: str = "raw_text") -> DataFrame:
+    """Add ``_is_json``, ``_is_pair``, ``_metadata``, ``_records`` and ``_evidence``.
+
+    A page is an array of two: metadata (a variant) and records (an array of
+    variants, NULL if it is no array). ``_evidence`` is the whole document as compact
+    text. A document is parsed into one VARIANT; only where that is impossible
+    its parts are read as text first, so that no more than one record has to
+    fit, and then into variants of their own. (There a string that spells a JSON
+    value is taken for that value.)
+    """
+    text = F.col(raw)
+    parsed = frame.withColumn("_in_array", parse_in_array(text)).withColumn(
+        "_held", is_one_json_value(F.col("_in_array"), text)
+    )
+    read = parsed.withColumn("_text", F.when(~F.col("_held"), document_text(text))).withColumn(
+        "_items", F.from_json("_text", "array<string>", READ_AS_TEXT)
+    )
+    held, value = F.col("_held"), F.col("_in_array")
+    is_pair = (
+        is_array_at(value, "$[0]")
+        & variant_at(value, "$[0][1]").isNotNull()
+        & variant_at(value, "$[0][2]").isNull()
+    )
+    items = F.from_json(F.get("_items", F.lit(1)), "array<string>", READ_AS_TEXT)
+    null = F.parse_json(F.lit("null"))
+    records = F.transform(items, lambda item: F.coalesce(_variant_of(item), null))
+    metadata = _variant_of(F.get("_items", F.lit(0)))
+    return read.withColumns(
+        {
+            "_is_json": held | F.col("_text").isNotNull(),
+            "_is_pair": F.when(held, is_pair).otherwise(F.coalesce(F.size("_items") == 2, F.lit(False))),
+            "_metadata": F.when(held, variant_at(value, "$[0][0]")).otherwise(metadata),
+            "_records": F.when(held, array_at(value, "$[0][1]")).otherwise(records),
+            "_evidence": F.when(held, F.to_json(variant_at(value, "$[0]"))).otherwise(F.col("_text")),
+        }
+    ).drop("_in_array", "_held", "_text", "_items")
+
+
+def _variant_of(text: Column) -> Column:
+    return F.from_json(text, "variant", READ_AS_TEXT)
+
+
+def whole_number(value: Column) -> Column:
+    """A JSON number, boolean or text of a whole number as bigint, NULL for anything else.
+
+    Numbers are cut to whole ones, booleans count as 0 and 1, and text may have
+    white space around it and single underscores between digits.
+    """
+    kind, text = F.schema_of_variant(value), whole_text(value)
+    amount = F.try_variant_get(value, "$", "decimal(38,0)")
+    cut = F.try_variant_get(value, "$", "double")
+    number = F.coalesce(
+        F.when(kind == "BIGINT", F.try_variant_get(value, "$", "bigint")),
+        F.when(cut >= 0, F.floor(cut)).otherwise(F.ceil(cut)).try_cast("bigint"),
+        amount.try_cast("bigint"),
+    )
+    return (
+        F.when(is_json_number(value), number)
+        .when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean").cast("bigint"))
+        .when(text.isNotNull(), F.replace(text, F.lit("_"), F.lit("")).try_cast("bigint"))
+    )
+
+
+def whole_text(value: Column) -> Column:
+    """The trimmed text of a JSON string that spells a whole number, else NULL."""
+    text = F.trim(F.regexp_replace(F.try_variant_get(value, "$", "string"), r"\s", " "))
+    spells = (F.schema_of_variant(value) == "STRING") & text.rlike(r"\A[+-]?[0-9](_?[0-9])*\z")
+    return F.when(spells, text)
+
+
 def variant_at(value: Column, path: str) -> Column:
     """The variant at ``path``; JSON null stays a non-NULL variant."""
     return F.try_variant_get(value, path, "variant")

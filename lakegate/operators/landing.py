@@ -16,13 +16,13 @@ from lakegate.functions.identifiers import (
 )
 from lakegate.functions.json_text import (
     allow_duplicate_keys,
-    is_array_at,
     is_json_number,
     is_json_string,
-    is_one_json_value,
     object_at,
-    parse_in_array,
     variant_at,
+    whole_number,
+    whole_text,
+    with_page_parts,
 )
 
 WRITTEN = "WRITTEN"
@@ -49,6 +49,9 @@ NESTED_NOT_STRING = " field {field} must contain a string {child}"
 TEXT_EMPTY = " field {field} must be a non-empty string"
 VALUE_NOT_NUMBER = " field value must be numeric or null"
 
+# Fixed value: message of a landing conflict, before the path.
+CONTENT_DIFFERS = "Landing object already exists with different content: "
+
 
 class LandingConflictError(RuntimeError):
     """Raised when a landing key would receive different content."""
@@ -120,7 +123,7 @@ def disposition(
     """Decide for every incoming page what landing it would do.
 
     ``incoming`` holds ``path, sha256`` and an ``order_by`` column that orders
-    the copies of a path; ``landed`` holds ``path, sha256``, one row per path.
+    the copies of a path; ``landed`` holds ``path, sha256``.
     The first copy of an unseen path is ``WRITTEN``; any other copy is
     ``EXISTING`` if its checksum equals what the path then holds, and
     ``CONFLICT`` if not.
@@ -130,11 +133,16 @@ def disposition(
     path on their side, which Spark may split for a hot path.
     """
     firsts = with_first_of_key(incoming, "path", [order_by, "sha256"], "_first", lanes)
-    held = landed.select("path", F.col("sha256").alias("_landed_sha"))
+    # A path that was landed twice counts once; with two contents it conflicts with anything.
+    held = landed.groupBy("path").agg(
+        F.min("sha256").alias("_landed_sha"), F.max("sha256").alias("_other_sha")
+    )
     is_first = F.col("_landed_sha").isNull() & (
         F.struct(F.col(order_by), F.col("sha256")) == F.col("_first")
     )
-    same = F.col("sha256") == F.coalesce(F.col("_landed_sha"), F.col("_first.sha256"))
+    same = (F.col("sha256") == F.coalesce(F.col("_landed_sha"), F.col("_first.sha256"))) & (
+        F.col("_landed_sha").isNull() | (F.col("_landed_sha") == F.col("_other_sha"))
+    )
     return (
         firsts.join(held, "path", "left")
         .withColumn(
@@ -155,12 +163,9 @@ def _number_violation(field: str) -> Column:
     Numbers are cut to whole ones, booleans count as 0 and 1, and text must
     spell a whole number.
     """
-    value = variant_at(F.col("_document"), f"$[0].{field}")
-    kind = F.schema_of_variant(value)
-    text = F.trim(F.regexp_replace(F.try_variant_get(value, "$", "string"), r"\s", " "))
-    is_whole_text = (kind == "STRING") & text.rlike(r"\A[+-]?[0-9](_?[0-9])*\z")
-    is_number = is_json_number(value)
-    is_boolean = kind == "BOOLEAN"
+    value = variant_at(F.col("_metadata"), f"$.{field}")
+    text = whole_text(value)
+    is_number, is_boolean = is_json_number(value), F.schema_of_variant(value) == "BOOLEAN"
     minimum = 0 if field == "total" else 1
     amount = F.try_variant_get(value, "$", "double")
     if minimum:
@@ -171,7 +176,7 @@ def _number_violation(field: str) -> Column:
         text_ok = ~(text.startswith("-") & text.rlike("[1-9]"))
         number_ok, boolean_ok = amount > -1, F.lit(True)
     enough = (
-        F.when(is_number, number_ok).when(is_boolean, boolean_ok).when(is_whole_text, text_ok)
+        F.when(is_number, number_ok).when(is_boolean, boolean_ok).when(text.isNotNull(), text_ok)
     )
     return F.when(enough.isNull(), F.lit(NUMBER_NOT_INTEGER.format(field=field))).when(
         ~enough, F.lit(NUMBER_TOO_SMALL.format(field=field, minimum=minimum))
@@ -214,36 +219,24 @@ def _record_violation(record: Column, index: Column) -> Column:
 
 
 def page_contract(pages: DataFrame) -> DataFrame:
-    """Add ``violation``: the first broken rule of each page, NULL for a sound page.
+    """Add ``violation`` and the numbers of each page, from one parse.
 
-    A page is judged inside its own row, records included, so there is no
-    explode and no shuffle.
+    ``violation`` is the first broken rule, NULL for a sound page; the numbers are
+    ``returned_page, total_pages, record_count`` and ``source_bytes``, as
+    :func:`lakegate.operators.reconcile.page_metrics` gives them. A page is judged
+    inside its own row, records included, so there is no explode and no shuffle.
     """
     allow_duplicate_keys(pages.sparkSession)
-    parsed = pages.withColumn("_in_array", parse_in_array(F.col("raw_text"))).withColumn(
-        "_document",
-        F.when(
-            is_one_json_value(F.col("_in_array"), F.col("raw_text")),
-            variant_at(F.col("_in_array"), "$[0]"),
-        ),
-    )
-    document = F.col("_document")
-    opened = parsed.withColumns(
-        {
-            "_metadata": object_at(document, "$[0]"),
-            "_records": F.try_variant_get(document, "$[1]", "array<variant>"),
-        }
-    )
-    is_pair = variant_at(document, "$[1]").isNotNull() & variant_at(document, "$[2]").isNull()
+    opened = with_page_parts(pages).withColumn("_members", object_at(F.col("_metadata")))
     required = F.array(*[F.lit(key) for key in sorted(METADATA_NUMBERS)])
-    missing = F.array_except(required, F.map_keys("_metadata"))
+    missing = F.array_except(required, F.map_keys("_members"))
     broken_records = F.filter(
         F.transform("_records", _record_violation), lambda text: text.isNotNull()
     )
     violation = F.coalesce(
-        F.when(document.isNull(), F.lit(INVALID_JSON)),
-        F.when(~is_array_at(document, "$") | ~is_pair, F.lit(NOT_A_PAIR)),
-        F.when(F.col("_metadata").isNull(), F.lit(METADATA_NOT_OBJECT)),
+        F.when(~F.col("_is_json"), F.lit(INVALID_JSON)),
+        F.when(~F.col("_is_pair"), F.lit(NOT_A_PAIR)),
+        F.when(F.col("_members").isNull(), F.lit(METADATA_NOT_OBJECT)),
         F.when(F.col("_records").isNull(), F.lit(RECORDS_NOT_ARRAY)),
         F.when(
             F.size(missing) > 0,
@@ -256,6 +249,16 @@ def page_contract(pages: DataFrame) -> DataFrame:
         *[_number_violation(field) for field in METADATA_NUMBERS],
         F.try_element_at(broken_records, F.lit(1)),
     )
-    return with_computed(opened, {"violation": violation}).drop(
-        "_in_array", "_document", "_metadata", "_records"
+    return with_computed(opened, {"violation": violation, **page_numbers()}).drop(
+        "_is_json", "_is_pair", "_metadata", "_records", "_evidence", "_members"
     )
+
+
+def page_numbers() -> dict[str, Column]:
+    """The numbers of a page opened by :func:`with_page_parts`."""
+    return {
+        "returned_page": whole_number(variant_at(F.col("_metadata"), "$.page")),
+        "total_pages": whole_number(variant_at(F.col("_metadata"), "$.pages")),
+        "record_count": F.when(F.col("_is_pair"), F.size("_records")).cast("bigint"),
+        "source_bytes": F.octet_length("raw_text").cast("bigint"),
+    }

@@ -1,6 +1,6 @@
 """Whole JSON documents -> one event row per record, or per unreadable document.
 
-Everything is a narrow projection plus one ``variant_explode``: no shuffle and no
+Everything is a narrow projection plus one explode: no shuffle and no
 Python worker. The document text and its parsed form stay below the explode, so
 a record row never carries the document it came from.
 """
@@ -16,12 +16,9 @@ from pyspark.sql import functions as F
 from lakegate.functions.evaluation import with_computed
 from lakegate.functions.json_text import (
     allow_duplicate_keys,
-    is_array_at,
-    is_one_json_value,
     object_at,
-    parse_in_array,
     unexpected_keys,
-    variant_at,
+    with_page_parts,
     with_prefix,
 )
 from lakegate.records import INDICATOR_OBSERVATIONS, RecordSpec
@@ -35,9 +32,6 @@ CANDIDATE = "candidate"
 REJECTED = "rejected"
 DOCUMENT_COLUMNS = ("source_file", "raw_text")
 
-# Bytes a VARIANT can hold; a longer document cannot be parsed as one value.
-VARIANT_BYTES = 128 * 1024 * 1024
-
 
 def require_document_columns(documents: DataFrame) -> None:
     missing = sorted(set(DOCUMENT_COLUMNS) - set(documents.columns))
@@ -49,51 +43,33 @@ def split_documents(documents: DataFrame) -> DataFrame:
     """One row per document: its record array, or the reason it has none.
 
     Columns: ``source_file``, ``document_reason``, ``document_evidence`` (both
-    NULL for a readable document) and ``records``, a variant holding an array.
-    A rejected document gets an array of one JSON null, so that it stays one row.
+    NULL for a readable document) and ``records``, an array of variants. A
+    rejected document gets an array of one JSON null, so that it stays one row.
     """
     require_document_columns(documents)
     allow_duplicate_keys(documents.sparkSession)
-    in_array, raw_text = F.col("in_array"), F.col("raw_text")
-    shaped = documents.select(
-        "source_file", "raw_text", parse_in_array(raw_text).alias("in_array")
-    ).select(
-        "source_file",
-        "raw_text",
-        "in_array",
-        is_one_json_value(in_array, raw_text).alias("is_json"),
-        # Element 1 being an array and element 2 being absent means "an array of two".
-        (variant_at(in_array, "$[0][2]").isNull() & is_array_at(in_array, "$[0][1]")).alias(
-            "is_page"
-        ),
-    )
-    readable = F.col("is_json") & F.col("is_page")
-    detail = F.when(
-        F.octet_length(raw_text) > VARIANT_BYTES, F.lit("document exceeds the size of a VARIANT")
-    ).otherwise(F.lit("text is not a single JSON value"))
-    return shaped.select(
+    opened = with_page_parts(documents.select("source_file", "raw_text"))
+    is_json = F.col("_is_json")
+    is_page = F.col("_is_pair") & F.col("_records").isNotNull()
+    return opened.select(
         "source_file",
-        F.when(~F.col("is_json"), F.concat(F.lit(f"{MALFORMED_JSON}: "), detail))
-        .when(~F.col("is_page"), F.lit(INVALID_DOCUMENT_SHAPE))
+        F.when(~is_json, F.lit(f"{MALFORMED_JSON}: text is not a single JSON value"))
+        .when(~is_page, F.lit(INVALID_DOCUMENT_SHAPE))
         .alias("document_reason"),
-        F.when(~F.col("is_json"), raw_text)
-        .when(~F.col("is_page"), F.to_json(variant_at(in_array, "$[0]")))
-        .alias("document_evidence"),
-        F.when(readable, variant_at(in_array, "$[0][1]"))
-        .otherwise(F.parse_json(F.lit("[null]")))
+        F.when(~is_json, F.col("raw_text")).when(~is_page, F.col("_evidence")).alias("document_evidence"),
+        F.when(is_json & is_page, F.col("_records"))
+        .otherwise(F.array(F.parse_json(F.lit("null"))))
         .alias("records"),
     )
 
 
 def explode_records(split: DataFrame) -> DataFrame:
     """One row per record with its 0-based position; an empty array gives none."""
-    elements = split.sparkSession.tvf.variant_explode(F.col("records").outer())
-    return split.lateralJoin(elements).select(
+    return split.select(
         "source_file",
         "document_reason",
         "document_evidence",
-        F.col("pos").alias("position"),
-        F.col("value").alias("record"),
+        F.posexplode("records").alias("position", "record"),
     )
 
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakegate.functions.casts import lenient_int, lenient_long
-from lakegate.functions.json_text import allow_duplicate_keys, array_at, text_at
+from lakegate.functions.casts import lenient_long
+from lakegate.functions.evaluation import with_computed
+from lakegate.functions.json_text import allow_duplicate_keys, with_page_parts
+from lakegate.operators.landing import page_numbers
 
 # Pages one expansion step writes; a run of any length is cut into such blocks.
 PAGE_BLOCK = 10_000
@@ -34,18 +36,19 @@ def declared_total(documents: DataFrame) -> DataFrame:
 
 
 def page_metrics(documents: DataFrame) -> DataFrame:
-    """Per page: declared page and page count, number of records, bytes of text."""
+    """Per page: declared page and page count, number of records, bytes of text.
+
+    All but the bytes are NULL (no records: 0) unless the text is one JSON array of two.
+    """
     allow_duplicate_keys(documents.sparkSession)
-    page = F.col("_page")
-    parsed = documents.withColumn("_page", F.try_parse_json("raw_text"))
-    return parsed.select(
+    opened = with_computed(with_page_parts(documents), page_numbers())
+    is_pair = F.col("_is_pair")
+    return opened.select(
         *documents.columns,
-        lenient_int(text_at(page, "$[0].page")).alias("returned_page"),
-        lenient_int(text_at(page, "$[0].pages")).alias("total_pages"),
-        F.coalesce(F.array_size(array_at(page, "$[1]")).cast("bigint"), F.lit(0)).alias(
-            "record_count"
-        ),
-        F.octet_length("raw_text").cast("bigint").alias("source_bytes"),
+        F.when(is_pair, F.col("returned_page")).alias("returned_page"),
+        F.when(is_pair, F.col("total_pages")).alias("total_pages"),
+        F.greatest(F.coalesce("record_count", F.lit(0)), F.lit(0)).cast("bigint").alias("record_count"),
+        "source_bytes",
     )
 
 
@@ -70,7 +73,7 @@ def expected_pages(runs: DataFrame) -> DataFrame:
     first = start + F.col("block") * PAGE_BLOCK
     last = F.least(first + (PAGE_BLOCK - 1), end)
     pages = blocks.select("run_id", F.explode(F.sequence(first, last)).alias("page"))
-    return pages.withColumn("page", F.col("page").cast("int"))
+    return pages
 
 
 def missing_pages(runs: DataFrame, landed: DataFrame) -> DataFrame:
@@ -92,6 +95,42 @@ def expected_from_landed(landed: DataFrame) -> DataFrame:
     )
 
 
+def within_run(pages: DataFrame, sound: Column) -> DataFrame:
+    """Pages from the start of their run to its end, with ``is_last``.
+
+    A run ends at the first sound page that reaches its own page count; pages
+    after it, and those before ``start_page``, are no part of the run. ``pages``
+    holds ``run_id, page, start_page, total_pages``.
+    """
+    reaches = sound & (F.col("page") >= F.col("total_pages")) & (F.col("page") >= F.col("start_page"))
+    ends = pages.groupBy(F.col("run_id").alias("_run")).agg(
+        F.min(F.when(reaches, F.col("page"))).alias("_end")
+    )
+    inside = pages.join(ends, F.col("run_id") == F.col("_run")).filter(
+        (F.col("page") >= F.col("start_page"))
+        & (F.col("_end").isNull() | (F.col("page") <= F.col("_end")))
+    )
+    return inside.withColumn(
+        "is_last", F.coalesce(F.col("page") == F.col("_end"), F.lit(False))
+    ).drop("_run", "_end")
+
+
+def first_gaps(runs: DataFrame, pages: DataFrame) -> DataFrame:
+    """The first page of each run that should be there and is not: ``run_id, page``.
+
+    ``runs`` holds ``run_id, start_page``, and ``pages`` what :func:`within_run`
+    gives. Only the start and the page after each page are looked for, so the
+    work follows the pages there are, whatever number they declare.
+    """
+    followers = pages.filter(~F.col("is_last")).select(
+        "run_id", (F.col("page") + 1).cast("bigint").alias("page")
+    )
+    wanted = runs.select("run_id", F.col("start_page").cast("bigint").alias("page")).union(followers)
+    present = pages.select("run_id", F.col("page").cast("bigint").alias("page"))
+    absent = wanted.join(present, ["run_id", "page"], "left_anti")
+    return absent.groupBy("run_id").agg(F.min("page").alias("page"))
+
+
 def page_mismatches(pages: DataFrame) -> DataFrame:
     """Pages whose source answered with another page than the requested one."""
     return pages.filter(~F.col("page").eqNullSafe(F.col("returned_page"))).select(

@@ -236,7 +236,7 @@ def run_manifests(runs: DataFrame, objects: DataFrame) -> DataFrame:
     (see :func:`manifest_objects`), because one run may hold any share of them.
     """
     totals = objects.groupBy("run_id").agg(
-        F.max_by("total_pages", "page").cast("int").alias("pages_expected"),
+        F.max_by("total_pages", "page").cast("bigint").alias("pages_expected"),
         F.count(F.lit(1)).alias("pages_landed"),
         F.sum("record_count").cast("bigint").alias("record_count"),
         F.sum("source_bytes").cast("bigint").alias("source_bytes"),

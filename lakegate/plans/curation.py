@@ -32,7 +32,7 @@ from lakegate.sinks import (
     write_rejected,
     write_transform_result,
 )
-from lakegate.sources.documents import only_runs, read_documents
+from lakegate.sources.documents import only_runs, read_documents, read_run_documents
 
 
 @dataclass(frozen=True)
@@ -71,8 +71,11 @@ def stage_classified(
 def _observed_total(observed: Observation, documents: DataFrame) -> int | None:
     try:
         totals = observed.get
-    except Py4JJavaError:
-        # Without a single event Spark drops the branch that watched the documents.
+    except Py4JJavaError as error:
+        # Without a single event Spark drops the branch that watched the documents,
+        # and a row without metrics cannot be read. Anything else is a failure.
+        if error.java_exception.getClass().getName() != "java.lang.AssertionError":
+            raise
         return declared_total(documents).first().expected_rows
     return totals["high"] if totals["low"] == totals["high"] else None
 
@@ -97,9 +100,12 @@ def run_curation(
     only for a passing run. A passing result therefore means "may publish"; the
     processed table is complete once its own write has committed.
     """
-    documents = read_documents(spark, source) if isinstance(source, str) else source
-    if source_run_ids is not None:
-        documents = only_runs(documents, source_run_ids)
+    if not isinstance(source, str):
+        documents = source if source_run_ids is None else only_runs(source, source_run_ids)
+    elif source_run_ids is None:
+        documents = read_documents(spark, source)
+    else:
+        documents = read_run_documents(spark, source, source_run_ids)
     result, expected = stage_classified(documents, f"classified-{run_id}", spec)
 
     quality = evaluate_quality(

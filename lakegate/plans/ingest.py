@@ -4,18 +4,21 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakegate.functions.identifiers import utc_wall_time
 from lakegate.operators.landing import (
     CONFLICT,
+    CONTENT_DIFFERS,
     EXISTING,
     disposition,
     page_contract,
     with_checksum,
     with_landing_keys,
 )
-from lakegate.operators.reconcile import expected_from_landed, missing_pages, page_metrics
+from lakegate.operators.reconcile import first_gaps, within_run
 from lakegate.operators.runs import (
     NEW,
     RESUME,
@@ -50,7 +53,6 @@ def judge_pages(pages: DataFrame, active: DataFrame) -> DataFrame:
         "run_id", "indicator", "start_page", F.col("started_at").alias("ingested_at")
     )
     known = pages.select("run_id", "page", "raw_text").join(settings, "run_id")
-    measured = page_metrics(page_contract(known))
     mismatch = F.when(
         ~F.col("page").eqNullSafe(F.col("returned_page")),
         F.concat(
@@ -60,30 +62,27 @@ def judge_pages(pages: DataFrame, active: DataFrame) -> DataFrame:
             F.coalesce(F.col("returned_page").cast("string"), F.lit("none")),
         ),
     )
-    return with_checksum(with_landing_keys(measured)).withColumn(
+    return with_checksum(with_landing_keys(page_contract(known))).withColumn(
         "problem", F.coalesce("violation", mismatch)
     )
 
 
-def first_failures(judged: DataFrame, disposed: DataFrame) -> DataFrame:
+def first_failures(active: DataFrame, inside: DataFrame, disposed: DataFrame) -> DataFrame:
     """The earliest page at which each run stopped, with error type and message.
 
-    A run is fetched page by page, so nothing after that page counts as landed.
+    A run is fetched page by page, so nothing after that page counts as landed;
+    a run without its first page has failed there.
     """
-    columns = ["run_id", "page", "type", "message"]
-    broken = judged.filter(F.col("problem").isNotNull()).select(
+    broken = inside.filter(F.col("problem").isNotNull()).select(
         "run_id", "page", F.lit(API_ERROR).alias("type"), F.col("problem").alias("message")
     )
     conflicting = disposed.filter(F.col("disposition") == CONFLICT).select(
         "run_id",
         "page",
         F.lit(LANDING_ERROR).alias("type"),
-        F.concat(
-            F.lit("Landing object already exists with different content: "), F.col("path")
-        ).alias("message"),
+        F.concat(F.lit(CONTENT_DIFFERS), F.col("path")).alias("message"),
     )
-    sound = judged.filter(F.col("problem").isNull())
-    absent = missing_pages(expected_from_landed(sound), judged).select(
+    absent = first_gaps(active, inside).select(
         "run_id",
         "page",
         F.lit(API_ERROR).alias("type"),
@@ -91,11 +90,10 @@ def first_failures(judged: DataFrame, disposed: DataFrame) -> DataFrame:
             "message"
         ),
     )
+    failures = broken.union(conflicting).union(absent)
     return (
-        broken.union(conflicting)
-        .union(absent)
-        .groupBy("run_id")
-        .agg(F.min(F.struct(*columns[1:])).alias("failure"))
+        failures.groupBy("run_id")
+        .agg(F.min(F.struct("page", "type", "message")).alias("failure"))
         .select(
             "run_id",
             F.col("failure.page").alias("failed_page"),
@@ -117,10 +115,13 @@ def run_ingest(
     """Admit requests, land their pages and write the manifests.
 
     ``requests``: ``request_text, default_run_id, requested_at, finished_at``.
-    ``pages``: ``run_id, page`` (as requested), ``raw_text``,
-    each page once. A run that is already complete is skipped, one that reuses a
-    run id for another source is refused, and an interrupted one resumes: its
-    pages that landed before come out as ``EXISTING``.
+    ``pages``: ``run_id, page`` (as requested), ``raw_text``; a page that comes
+    twice with one content counts once, with two it conflicts. A run that is
+    already complete is skipped, one that reuses a run id for another source is
+    refused, and an interrupted one resumes: its pages that landed before come
+    out as ``EXISTING``. Every run that is let in has a RUNNING manifest before
+    its first page lands, so a run that breaks off anywhere resumes under its
+    first landing date.
     """
     checked = stage(with_fingerprint(validate_requests(requests, defaults), defaults), "requests")
     valid = checked.filter(F.col("request_error").isNull())
@@ -128,21 +129,27 @@ def run_ingest(
     decisions = stage(admit_runs(valid, read_manifests(spark, manifest_root)), "decisions")
     # Identical requests at the same moment are all let in, and make one run.
     active = decisions.filter(F.col("decision").isin(NEW, RESUME)).dropDuplicates(["run_id"])
+    active = stage(active, "active-runs")
+    write_manifests(_started(active), manifest_root)
 
     judged = stage(judge_pages(pages, active), "judged-pages")
-    landed = _landed_index(spark, landing_path)
-    sound = judged.filter(F.col("problem").isNull())
-    disposed = disposition(sound.drop("raw_text"), landed, order_by="page")
+    # The texts stay in the staged pages until the few that are new are written.
+    slim = judged.drop("raw_text").dropDuplicates(["run_id", "page", "sha256"])
+    inside = within_run(slim, F.col("problem").isNull())
+    sound = inside.filter(F.col("problem").isNull())
+    disposed = stage(
+        disposition(sound, _landed_index(spark, landing_path, active), order_by="page"), "disposed-pages"
+    )
 
-    failures = stage(first_failures(judged, disposed), "run-failures")
+    failures = stage(first_failures(active, inside, disposed), "run-failures")
     kept = stage(
         disposed.join(failures.select("run_id", "failed_page"), "run_id", "left")
         .filter(F.col("failed_page").isNull() | (F.col("page") < F.col("failed_page")))
         .drop("failed_page"),
         "landable-pages",
     )
-    texts = judged.select("path", "raw_text")
-    to_write = kept.filter(F.col("disposition") != EXISTING).join(texts, "path")
+    texts = judged.select("path", "sha256", "raw_text").dropDuplicates(["path", "sha256"])
+    to_write = kept.filter(F.col("disposition") != EXISTING).join(texts, ["path", "sha256"])
     write_landing(to_write, landing_path)
 
     runs = active.join(failures, "run_id", "left").withColumn(
@@ -155,12 +162,35 @@ def run_ingest(
     return IngestOutcome(decisions, manifests, objects)
 
 
-def _landed_index(spark: SparkSession, landing_path: str) -> DataFrame:
-    from pyspark.errors import AnalysisException
+def _started(active: DataFrame) -> DataFrame:
+    """Manifests of runs that have no page yet."""
+    none = F.lit(None)
+    runs = active.withColumns(
+        {
+            "completed_at": none.cast("timestamp"),
+            "error_type": none.cast("string"),
+            "error_message": none.cast("string"),
+        }
+    )
+    nothing = active.limit(0).select(
+        "run_id", *(none.cast("bigint").alias(c) for c in ("page", "total_pages", "record_count", "source_bytes"))
+    )
+    return run_manifests(runs, nothing)
 
+
+def _landed_index(spark: SparkSession, landing_path: str, active: DataFrame) -> DataFrame:
+    """Paths and checksums of what landed on the landing dates of the active runs.
+
+    A run's pages land under the date of its first start, so only those dates'
+    partitions can hold one; their number is that of days, not of runs or pages.
+    """
+    moment = utc_wall_time(F.col("started_at"), dict(active.dtypes)["started_at"])
+    days = [r.day for r in active.select(F.date_format(moment, "yyyyMMdd").alias("day")).distinct().collect()]
     try:
-        return read_landing_table(spark, landing_path).select("path", "sha256")
+        landed = read_landing_table(spark, landing_path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], "path string, sha256 string")
+    date = F.concat("year", "month", "day")
+    return landed.filter(date.isin(days)).select("path", "sha256")

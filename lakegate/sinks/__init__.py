@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakegate.functions.identifiers import manifest_folder, manifest_objects_folder
 from lakegate.operators.curate import TransformResult
-from lakegate.operators.landing import CONFLICT, WRITTEN, LandingConflictError
+from lakegate.operators.landing import CONFLICT, CONTENT_DIFFERS, WRITTEN, LandingConflictError
 from lakegate.operators.quality import DataQualityResult, result_json
 
 CREATE_ONLY = "errorifexists"
@@ -68,9 +68,7 @@ def write_landing(pages: DataFrame, path: str) -> None:
     """
     conflict = pages.filter(F.col("disposition") == CONFLICT).select("path").first()
     if conflict is not None:
-        raise LandingConflictError(
-            f"Landing object already exists with different content: {conflict.path}"
-        )
+        raise LandingConflictError(f"{CONTENT_DIFFERS}{conflict.path}")
     layout = ["year", "month", "day", "run_id"]
     (
         pages.filter(F.col("disposition") == WRITTEN)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakegate.functions.identifiers import RUN_ID_PATTERN, SOURCE_PREFIX
 from lakegate.operators.landing import landing_path_columns
 
 LANDING_TABLE_SCHEMA = (
@@ -30,6 +33,21 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_run_documents(spark: SparkSession, path: str, run_ids: Sequence[str]) -> DataFrame:
+    """The landed files of the given runs; no other run's folder is listed or read."""
+    # A run id that no run can have names no folder, and no pattern either.
+    known = sorted(r for r in set(run_ids) if re.fullmatch(RUN_ID_PATTERN.replace(r"\z", r"\Z"), r))
+    runs = "{" + ",".join(known) + "}"
+    pattern = f"{path.rstrip('/')}/{SOURCE_PREFIX}/year=*/month=*/day=*/run_id={runs}"
+    try:
+        if known:
+            return read_documents(spark, pattern)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    return spark.createDataFrame([], "source_file string, raw_text string")
+
+
 def only_runs(documents: DataFrame, run_ids: Sequence[str]) -> DataFrame:
     """Documents of the given runs, told by the ``run_id=`` part of their path."""
     columns = documents.columns

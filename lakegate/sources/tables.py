@@ -14,7 +14,7 @@ from lakegate.records import INDICATOR_OBSERVATIONS, RecordSpec
 MANIFEST_SCHEMA = (
     "run_id string, dataset string, status string, started_at timestamp, "
     "completed_at timestamp, country string, indicator string, start_page bigint, "
-    "per_page bigint, config_fingerprint string, replayed boolean, pages_expected int, "
+    "per_page bigint, config_fingerprint string, replayed boolean, pages_expected bigint, "
     "pages_landed bigint, record_count bigint, source_bytes bigint, "
     "error struct<type:string,message:string>"
 )

@@ -18,9 +18,11 @@ from lakegate.operators.landing import (
 from lakegate.operators.reconcile import (
     PAGE_BLOCK,
     expected_pages,
+    first_gaps,
     missing_pages,
     page_metrics,
     page_mismatches,
+    within_run,
 )
 from lakegate.sources.documents import only_runs, read_documents, read_landing_table
 from lakegate.sinks import write_landing
@@ -208,7 +210,7 @@ def test_page_contract_reports_the_first_violation(spark):
         [(i, text) for i, (text, _) in enumerate(CONTRACT)], "i int, raw_text string"
     )
     judged = page_contract(frame)
-    assert judged.columns == ["i", "raw_text", "violation"]
+    assert judged.columns[:3] == ["i", "raw_text", "violation"]
     found = {CONTRACT[r.i][0]: r.violation for r in judged.collect()}
     assert found == dict(CONTRACT)
 
@@ -226,6 +228,51 @@ def test_page_metrics(documents):
     assert rows["b"].returned_page is None
 
 
+def test_numbers_of_a_page_are_read_one_way(spark):
+    def page(number):
+        return f'[{{"page":{number},"pages":3000000000,"per_page":1,"total":0}},[]]'
+
+    spelled = {"2.9": 2, "true": 1, '" 1_0 "': 10, "-3.5": -3, '"x"': None, "null": None, "9000000000": 9000000000}
+    frame = spark.createDataFrame([(s, page(s)) for s in spelled], "s string, raw_text string")
+    for read in (page_contract, page_metrics):
+        rows = read(frame).collect()
+        assert {r.s: r.returned_page for r in rows} == spelled
+        assert {r.total_pages for r in rows} == {3000000000}
+    garbage = spark.createDataFrame([("[{},[1]] x",)], "raw_text string")
+    assert page_metrics(garbage).first().record_count == 0
+
+
+def test_ends_and_gaps_follow_the_pages_there_are(spark):
+    runs = {
+        "whole": [(1, 2), (2, 2)],
+        "over": [(1, 2), (2, 2), (3, 2), (4, 2)],
+        "early": [(1, 1), (3, 3)],
+        "gap": [(1, 4), (2, 4), (4, 4)],
+        "short": [(1, 2_000_000_000)],
+        "before": [(0, 1), (1, 3)],
+        "none": [],
+    }
+    active = spark.createDataFrame([(r, 1) for r in runs], "run_id string, start_page bigint")
+    rows = [(r, p, 1, n) for r, pages in runs.items() for p, n in pages]
+    pages = spark.createDataFrame(rows, "run_id string, page bigint, start_page bigint, total_pages bigint")
+    inside = within_run(pages, F.lit(True))
+    found = {}
+    for r in inside.collect():
+        found.setdefault(r.run_id, []).append(r.page)
+    assert {k: sorted(v) for k, v in found.items()} == {
+        "whole": [1, 2], "over": [1, 2], "early": [1], "gap": [1, 2, 4], "short": [1], "before": [1],
+    }
+    gaps = {r.run_id: r.page for r in first_gaps(active, inside).collect()}
+    assert gaps == {"gap": 3, "short": 2, "before": 2, "none": 1}
+
+
+def test_a_path_landed_twice_answers_once(spark):
+    incoming = spark.createDataFrame([("p", "a", 1), ("q", "a", 1)], "path string, sha256 string, arrival int")
+    landed = spark.createDataFrame([("p", "a"), ("p", "a"), ("q", "a"), ("q", "b")], "path string, sha256 string")
+    found = [(r.path, r.disposition) for r in disposition(incoming, landed).orderBy("path").collect()]
+    assert found == [("p", "EXISTING"), ("q", "CONFLICT")]
+
+
 def test_missing_pages_and_mismatches(spark):
     runs = spark.createDataFrame(
         [("a", 1, 4), ("b", 3, 3), ("c", 5, 4)], "run_id string, start_page int, pages_expected int"

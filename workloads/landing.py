@@ -546,9 +546,9 @@ QUERIES = {
         page_metrics_query,
         _with_pages(
             """SELECT printf('mem://page-%05d.json', page) AS source_file,
-            CASE WHEN page % 41 = 3 OR page % 43 = 3 THEN NULL ELSE CAST(page + 1 AS INTEGER) END AS returned_page,
+            CASE WHEN page % 41 = 3 OR page % 43 = 3 THEN NULL ELSE CAST(page + 1 AS BIGINT) END AS returned_page,
             CASE WHEN page % 41 = 3 OR page % 43 = 3 THEN NULL
-                 ELSE CAST((SELECT ceil(count(*) / 25.0) FROM events) AS INTEGER) END AS total_pages,
+                 ELSE CAST((SELECT ceil(count(*) / 25.0) FROM events) AS BIGINT) END AS total_pages,
             record_count, CAST(strlen(raw_text) AS BIGINT) AS source_bytes FROM pages"""
         ),
     ),
@@ -604,7 +604,7 @@ QUERIES = {
         _with_pages(
             ctes=""", seen AS (SELECT run_id, run_page FROM pages WHERE minute(ingested_at) >= 20),
             runs AS (SELECT DISTINCT run_id FROM seen)""",
-            select=f"""SELECT run_id, CAST(n AS INTEGER) AS page FROM runs, range(1, {PAGES_PER_RUN} + 1) AS g(n)
+            select=f"""SELECT run_id, CAST(n AS BIGINT) AS page FROM runs, range(1, {PAGES_PER_RUN} + 1) AS g(n)
             WHERE NOT EXISTS (SELECT 1 FROM seen WHERE seen.run_id = runs.run_id AND seen.run_page = n)""",
         ),
     ),
@@ -639,7 +639,7 @@ QUERIES = {
             CAST(25 AS BIGINT) AS per_page,
             sha256('{{"api_base_url": "https://api.worldbank.org/v2", "country": "USA", '
               || '"indicator": "SP.POP.TOTL", "page": 1, "per_page": 25}}') AS config_fingerprint,
-            n % 2 = 1 AS replayed, CAST({PAGES_PER_RUN} AS INTEGER) AS pages_expected,
+            n % 2 = 1 AS replayed, CAST({PAGES_PER_RUN} AS BIGINT) AS pages_expected,
             pages_landed, record_count, source_bytes,
             strftime(s, '%Y-%m-%d %H:%M:%S') AS started_at,
             CASE WHEN n % 5 <> 3 THEN strftime(f, '%Y-%m-%d %H:%M:%S') END AS completed_at,

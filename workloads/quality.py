@@ -7,11 +7,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegate.operators.curate import TransformResult, transform_documents
+from lakegate.operators.curate import classify_documents, transform_documents
 from lakegate.operators.quality import (
     INDICATOR_QUALITY_POLICY,
     RULES,
     DataQualityConfig,
+    classified_quality_metrics,
     quality_metrics,
     reject_metrics,
     row_metrics,
@@ -80,9 +81,11 @@ def _plain_tables(spark: SparkSession, sf_dir: str):
 
 
 def _per_table(*metrics: str):
+    duplicates = "surviving_duplicates" in metrics
+
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         frames = [
-            row_metrics(rows, config).select(F.lit(config.dataset).alias("dataset"), *metrics)
+            row_metrics(rows, config, duplicates).select(F.lit(config.dataset).alias("dataset"), *metrics)
             for config, rows in _plain_tables(spark, sf_dir)
         ]
         return reduce(DataFrame.unionByName, frames)
@@ -90,33 +93,30 @@ def _per_table(*metrics: str):
     return query
 
 
-def _curated(spark: SparkSession, sf_dir: str) -> tuple[TransformResult, DataFrame]:
+def _metrics(spark: SparkSession, sf_dir: str, config: DataQualityConfig) -> DataFrame:
     documents = indicator_documents(spark, sf_dir)
-    return transform_documents(documents), declared_total(documents)
+    return classified_quality_metrics(
+        classify_documents(documents), config, declared_total(documents)
+    )
 
 
 def dq_reject_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reject_metrics(_curated(spark, sf_dir)[0].rejected)
+    return reject_metrics(transform_documents(indicator_documents(spark, sf_dir)).rejected)
 
 
 def dq_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result, expected = _curated(spark, sf_dir)
-    metrics = quality_metrics(result.processed, result.rejected, EVENT_POLICY, expected)
-    return metrics.select("drift_rows", "failures_schema_drift")
+    return _metrics(spark, sf_dir, EVENT_POLICY).select("drift_rows", "failures_schema_drift")
 
 
 def dq_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result, expected = _curated(spark, sf_dir)
-    metrics = quality_metrics(result.processed, result.rejected, INDICATOR_QUALITY_POLICY, expected)
-    return metrics.select(
+    return _metrics(spark, sf_dir, INDICATOR_QUALITY_POLICY).select(
         "row_count", "rejected_rows", "expected_rows", "row_count_match", "failures_row_count"
     )
 
 
 def _rules(config: DataQualityConfig):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        result, expected = _curated(spark, sf_dir)
-        return rules_frame(quality_metrics(result.processed, result.rejected, config, expected))
+        return rules_frame(_metrics(spark, sf_dir, config))
 
     return query
 
