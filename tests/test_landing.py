@@ -33,7 +33,7 @@ from tests.conftest import document, record, without
 def pages(spark, *rows):
     """Rows of run_id, page, raw_text, landed at one fixed moment."""
     return spark.createDataFrame(
-        [(r, "SP.POP.TOTL", p, t, datetime(2026, 8, 11, 15, 4, 5, tzinfo=UTC)) for r, p, t in rows],
+        [(r, "SP.POP.TOTL", p, t, datetime(2031, 3, 9, 23, 50, tzinfo=UTC)) for r, p, t in rows],
         "run_id string, indicator string, page int, raw_text string, ingested_at timestamp",
     )
 
@@ -42,11 +42,11 @@ def pages(spark, *rows):
 def test_landing_key_uses_the_utc_date(spark, zone):
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
-        row = with_landing_keys(pages(spark, ("test-run-1", 1, "x")), "/root/").first()
+        row = with_landing_keys(pages(spark, ("lane-7", 1, "x")), "/root/").first()
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert row.path == (
-        "/root/world_bank/year=2026/month=08/day=11/run_id=test-run-1/sp_pop_totl_page_00001.json"
+        "/root/world_bank/year=2031/month=03/day=09/run_id=lane-7/sp_pop_totl_page_00001.json"
     )
 
 
@@ -58,7 +58,7 @@ def test_page_numbers_wider_than_the_padding_are_kept(spark):
 def test_paths_read_back(spark):
     keyed = with_landing_keys(pages(spark, ("r-1", 42, "x"))).select("path")
     row = landing_path_columns(keyed, "path").first()
-    assert (row.year, row.month, row.day) == (2026, 8, 11)
+    assert (row.year, row.month, row.day) == (2031, 3, 9)
     assert (row.run_id, row.indicator_stem, row.page) == ("r-1", "sp_pop_totl", 42)
     other = keyed.select(F.lit("/tmp/other.json").alias("path"))
     assert landing_path_columns(other, "path").first().run_id is None
@@ -141,7 +141,7 @@ def test_landing_table_round_trip_and_conflict(spark, tmp_path):
 
 def test_scan_reads_whole_files_and_filters_runs(spark, tmp_path):
     for run in ("a", "b"):
-        folder = tmp_path / f"world_bank/year=2026/month=08/day=11/run_id={run}"
+        folder = tmp_path / f"world_bank/year=2031/month=03/day=09/run_id={run}"
         folder.mkdir(parents=True)
         (folder / "sp_pop_totl_page_00001.json").write_text(f"[\n{run}é\n]", encoding="utf-8")
     (tmp_path / "bad.json").write_bytes(b"\xff[]")

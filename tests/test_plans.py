@@ -61,7 +61,7 @@ def test_round_trip_from_files(spark, tmp_path):
     result = transform_documents(read_documents(spark, str(tmp_path / "landing")))
     write_transform_result(result, str(tmp_path / "p"), str(tmp_path / "r"))
     row = read_processed(spark, str(tmp_path / "p")).first()
-    assert (row.country_iso3_code, row.observation_year) == ("XTS", 2024)
+    assert (row.country_iso3_code, row.observation_year) == ("QNR", 2024)
     assert list((tmp_path / "p").glob("observation_year=2024"))
     assert spark.read.json(str(tmp_path / "r")).first().rejection_reason == "RECORD_NOT_OBJECT"
     with pytest.raises(AnalysisException):
@@ -95,7 +95,7 @@ def test_failing_run_writes_evidence_and_rejects_only(spark, documents, tmp_path
 
 def test_all_landed_runs_are_scanned_unless_filtered(spark, tmp_path):
     for run in ("one", "two"):
-        folder = tmp_path / f"landing/world_bank/year=2026/month=08/day=11/run_id={run}"
+        folder = tmp_path / f"landing/world_bank/year=2031/month=03/day=09/run_id={run}"
         folder.mkdir(parents=True)
         text = document(usa(2023), usa(2024), total=2)
         (folder / "sp_pop_totl_page_00001.json").write_text(text, encoding="utf-8")
@@ -110,7 +110,7 @@ def test_all_landed_runs_are_scanned_unless_filtered(spark, tmp_path):
 
 def test_a_scan_of_one_run_reads_its_files_only(spark, tmp_path):
     for run in ("one", "two"):
-        folder = tmp_path / f"landing/world_bank/year=2026/month=08/day=11/run_id={run}"
+        folder = tmp_path / f"landing/world_bank/year=2031/month=03/day=09/run_id={run}"
         folder.mkdir(parents=True)
         (folder / "sp_pop_totl_page_00001.json").write_text(document(usa(2023)), encoding="utf-8")
     found = read_run_documents(spark, str(tmp_path / "landing"), ["two", "*", "absent"])
@@ -171,7 +171,7 @@ def page_text(page, pages, *records, **metadata):
     return document(*(records or (usa(2000 + page),)), page=page, pages=pages, **metadata)
 
 
-FIRST, SECOND = datetime(2026, 8, 11, 12), datetime(2026, 8, 12, 12)
+FIRST, SECOND = datetime(2031, 3, 9, 7), datetime(2031, 3, 10, 7)
 
 
 def test_ingest_lands_skips_resumes_and_refuses(spark, tmp_path):
@@ -202,7 +202,7 @@ def test_ingest_lands_skips_resumes_and_refuses(spark, tmp_path):
     assert [r.decision for r in third.decisions.collect()] == ["CONFLICT"]
     landed = read_landing_table(spark, str(tmp_path / "landing"))
     assert landed.count() == 4
-    assert landed.filter("day = '11'").count() == 4
+    assert landed.filter("day = '09'").count() == 4
     assert classify_documents(landed_documents(landed)).count() == 4
 
 
@@ -294,7 +294,7 @@ def test_a_run_that_breaks_off_after_landing_resumes_where_it_was(spark, tmp_pat
     assert [r.decision for r in again.decisions.collect()] == ["RESUME"]
     assert [[o.disposition for o in r.objects] for r in again.objects.collect()] == [["EXISTING"] * 2]
     landed = read_landing_table(spark, str(tmp_path / "landing"))
-    assert landed.count() == landed.filter("day = '11'").count() == 2
+    assert landed.count() == landed.filter("day = '09'").count() == 2
     (done,) = read_manifests(spark, str(tmp_path / "manifests")).collect()
     assert (done.status, done.pages_landed, done.replayed) == ("COMPLETED", 2, True)
 
