@@ -146,16 +146,23 @@ def _stump_values(g: np.ndarray, h: np.ndarray, ridge: float, leaves: int = 3) -
 
 
 def _cross_values(g: np.ndarray, h: np.ndarray, ridge: float) -> tuple[float, np.ndarray]:
-    """A tree over two features: the best cut of each, four leaves. Its gain and values."""
-    _, row = _best_cut(g.sum(1), h.sum(1), ridge)
-    values, gain = np.zeros_like(g), -(g.sum() ** 2) / (h.sum() + ridge)
-    for rows in (slice(0, row), slice(row, None)):
-        _, column = _best_cut(g[rows].sum(0), h[rows].sum(0), ridge)
-        for columns in (slice(0, column), slice(column, None)):
-            leaf_g, leaf_h = g[rows, columns].sum(), h[rows, columns].sum()
-            values[rows, columns] = leaf_g / (leaf_h + ridge)
-            gain += leaf_g**2 / (leaf_h + ridge)
-    return gain, values
+    """A tree over two features, the best row cut with a column cut on each side. Gain and values."""
+
+    def cuts(row: int) -> tuple[float, list[int]]:
+        sides = [_best_cut(g[r].sum(0), h[r].sum(0), ridge) for r in (slice(0, row), slice(row, None))]
+        whole = sum(
+            g[r].sum() ** 2 / (h[r].sum() + ridge) for r in (slice(0, row), slice(row, None))
+        )
+        return whole + sum(gain for gain, _ in sides), [at for _, at in sides]
+
+    values = np.zeros_like(g)
+    if len(g) < 2:
+        return 0.0, values
+    gain, columns, row = max((*cuts(row), row) for row in range(1, len(g)))
+    for rows, column in zip((slice(0, row), slice(row, None)), columns):
+        for part in (slice(0, column), slice(column, None)):
+            values[rows, part] = g[rows, part].sum() / (h[rows, part].sum() + ridge)
+    return gain - g.sum() ** 2 / (h.sum() + ridge), values
 
 
 def fit(

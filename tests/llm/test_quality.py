@@ -19,7 +19,7 @@ def test_features_are_defined_for_any_text():
         row = quality.features(text)
         assert len(row) == len(quality.FEATURES) and np.isfinite(row).all()
     row = dict(zip(quality.FEATURES, quality.features(b"THE the the.\nTHE the the.")))
-    assert row["repeated_lines"] == 0.5 and row["upper_words"] == 2 / 6 and row["repeated_neighbours"] == 2 / 6
+    assert row["repeated_lines"] == 0.5 and row["upper_words"] == 2 / 6 and row["distinct_words"] == 0.5
 
 
 def test_tables_learn_an_interaction():
