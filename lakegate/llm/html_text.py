@@ -19,7 +19,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -221,35 +220,41 @@ def _hash_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each line of a page, whether it is shared with the other page."""
     for batch in rows_at_most(batches, 1024):
-        deleted = [
-            shared(own, other) if own and other else []
-            for own, other in zip(batch.column("lines").to_pylist(), batch.column("other").to_pylist())
-        ]
+        marks = []
+        for own, other in zip(batch.column("lines").to_pylist(), batch.column("other").to_pylist()):
+            mark = np.zeros(len(own), bool)
+            if own and other:
+                mark[shared(own, other)] = True
+            marks.append(mark)
+        flat = np.concatenate(marks) if marks else np.empty(0, bool)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("key"), pa.array(deleted, pa.list_(pa.int32()))], names=["key", "deleted"]
+            [batch.column("key"), list_array([len(m) for m in marks], pa.array(flat))], names=["key", "shared"]
         )
 
 
-def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of a page that may be its text: those of the named article, else the open ones."""
     for batch in rows_at_most(batches, 256):
-        out = []
-        pages = pc.struct_field(batch.column("row"), "html").to_pylist()
-        for page, deleted in zip(pages, batch.column("deleted").to_pylist()):
-            texts, kinds = lines(page)
-            gone = set(deleted or ())
-            named = ARTICLE in kinds
-            out.append(
-                "\n".join(
-                    t
-                    for i, (t, kind) in enumerate(zip(texts, kinds))
-                    if kind == ARTICLE or (kind == OPEN and not named and i not in gone)
-                )
-            )
-        shared_lines = [len(x or ()) for x in batch.column("deleted").to_pylist()]
+        texts, places, counts, named = [], [], [], []
+        for page in batch.column("html").to_pylist():
+            found, kinds = lines(page)
+            wanted = ARTICLE if ARTICLE in kinds else OPEN
+            own = [i for i, kind in enumerate(kinds) if kind == wanted]
+            texts += [found[i] for i in own]
+            places += own
+            counts.append(len(own))
+            named.append(wanted == ARTICLE)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("row"), pa.array(out, pa.string()), pa.array(shared_lines, pa.int32())],
-            names=["row", "text", "shared_lines"],
+            [
+                batch.column("row"),
+                batch.column("key"),
+                pa.array(named, pa.bool_()),
+                list_array(counts, pa.array(texts, pa.string())),
+                list_array(counts, pa.array(places, pa.int32())),
+            ],
+            names=["row", "key", "named", "texts", "places"],
         )
 
 
@@ -258,7 +263,7 @@ def _key() -> Column:
 
 
 def template_lines(pages: DataFrame) -> DataFrame:
-    """key and deleted: the lines of each page that it shares with the nearest page of its host."""
+    """key and shared: for each line of a page, whether the nearest page of its host has it too."""
     address = F.coalesce(F.col("url"), F.lit(""))
     slim = pages.select(
         _key().alias("key"),
@@ -277,32 +282,26 @@ def template_lines(pages: DataFrame) -> DataFrame:
     # One row per range: where the next range that has rows begins.
     ends = placed.groupBy(part.alias("part")).agg(F.min("at").alias("first"), F.max("at").alias("last"))
     ends = ends.select("last", F.lead("first").over(Window.orderBy("part")).alias("jump"))
-    chain = placed.join(ends, F.col("at") == F.col("last"), "left").withColumn(
+    where = placed.select("at", "host", "path")
+    chain = where.join(ends, F.col("at") == F.col("last"), "left").withColumn(
         "next", F.when(F.col("last").isNull(), F.col("at") + 1).otherwise(F.col("jump"))
     )
-    chain = chain.select("at", "next", "key", "host", "path", "lines")
-    after = placed.select(*(F.col(c).alias(f"n_{c}") for c in ("at", "key", "host", "path", "lines")))
+    after = where.select(*(F.col(c).alias(f"n_{c}") for c in ("at", "host", "path")))
     pairs = chain.join(after, (F.col("next") == F.col("n_at")) & (F.col("host") == F.col("n_host")))
     alike = F.char_length(_common_start("path", "n_path"))
     pairs = pairs.select(
         F.array(
-            F.struct("at", "key", "lines", F.col("n_lines").alias("other"), alike.alias("alike"), F.lit(1).alias("late")),
-            F.struct(
-                F.col("n_at").alias("at"),
-                F.col("n_key").alias("key"),
-                F.col("n_lines").alias("lines"),
-                F.col("lines").alias("other"),
-                alike.alias("alike"),
-                F.lit(0).alias("late"),
-            ),
+            F.struct("at", F.col("n_at").alias("other"), alike.alias("alike")),
+            F.struct(F.col("n_at").alias("at"), F.col("at").alias("other"), alike.alias("alike")),
         ).alias("both")
     ).select(F.inline("both"))
     # The neighbour with the longer common beginning; of two alike, the one before.
-    best = pairs.groupBy("at").agg(
-        F.min_by(F.struct("key", "lines", "other"), F.struct(-F.col("alike"), F.col("late"))).alias("p")
-    )
-    aligned = best.select("p.*").mapInArrow(_align, "key long, deleted array<int>")
-    return aligned.where(F.size("deleted") > 0)
+    best = pairs.groupBy("at").agg(F.max(F.struct("alike", (-F.col("other")).alias("less"))).alias("_top"))
+    best = best.select("at", (-F.col("_top.less")).alias("with"))
+    own = best.join(placed.select("at", "key", "lines"), "at")
+    other = placed.select(F.col("at").alias("with"), F.col("lines").alias("other"))
+    met = own.join(other, "with").select("key", "lines", "other")
+    return met.mapInArrow(_align, "key long, shared array<boolean>")
 
 
 def _common_start(a: str, b: str) -> Column:
@@ -314,35 +313,45 @@ def _common_start(a: str, b: str) -> Column:
     return F.array_join(F.slice(cut[0], F.lit(1), count), "/")
 
 
-def extract(pages: DataFrame) -> DataFrame:
+def extract(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """The rows of ``pages`` with ``text``, the main text ("" if there is none), and ``shared_lines``.
 
-    ``shared_lines`` counts the page's lines that its nearest page has too.
-
-    Null html counts as empty. Rows without a url form a host of their own. A page alone on
-    its host is not paired. Rows that repeat in full get one text each. An empty table gives no
-    rows. Columns of ``pages`` with the names of the two are replaced; others are carried along.
+    ``shared_lines`` counts the page's lines that its nearest page has too. Null html counts
+    as empty. Rows without a url form a host of their own. A page alone on its host is not
+    paired. Rows that repeat in full get one text each. An empty table gives no rows. Columns
+    of ``pages`` with the names of the two are replaced; the others, or those in ``keep``, are
+    carried along.
     """
-    own = [c for c in pages.columns if c not in ("text", "shared_lines")]
-    found = template_lines(pages).groupBy("key").agg(F.min("deleted").alias("deleted"))
+    own = [c for c in (keep or pages.columns) if c not in ("text", "shared_lines")]
+    found = template_lines(pages).groupBy("key").agg(F.max("shared").alias("shared"))
     found = found.withColumnRenamed("key", "_key")
-    rows = pages.select(F.struct(*own).alias("row"), _key().alias("key"))
-    rows = rows.join(found, F.col("key") == F.col("_key"), "left")
+    rows = pages.select(F.struct(*own).alias("row"), _key().alias("key"), "html")
     schema = T.StructType(
         [
             rows.schema["row"],
-            T.StructField("text", T.StringType()),
-            T.StructField("shared_lines", T.IntegerType()),
+            T.StructField("key", T.LongType()),
+            T.StructField("named", T.BooleanType()),
+            T.StructField("texts", T.ArrayType(T.StringType())),
+            T.StructField("places", T.ArrayType(T.IntegerType())),
         ]
     )
-    texts = rows.select("row", "deleted").mapInArrow(_assemble, schema)
-    return texts.select("row.*", "text", "shared_lines")
+    split = rows.mapInArrow(_split, schema).join(found, F.col("key") == F.col("_key"), "left")
+
+    def stays(text: Column, number: Column) -> Column:
+        gone = F.get(F.col("shared"), F.get(F.col("places"), number))
+        return F.col("named") | ~F.coalesce(gone, F.lit(False))
+
+    return split.select(
+        "row.*",
+        F.array_join(F.filter("texts", stays), "\n").alias("text"),
+        F.greatest(F.size(F.filter("shared", lambda x: x)), F.lit(0)).alias("shared_lines"),
+    )
 
 
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    return extract(pages).select(
+    return extract(pages, keep=["page_id", "url"]).select(
         "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "shared_lines"
     )
 
