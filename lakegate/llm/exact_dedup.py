@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,11 +32,11 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), WHITE, "")
 
 
-def _compare_neighbours(payload: list[str]):
-    """One range, sorted: number the runs of equal texts and size each.
+def _compare_neighbours(carried: list[str], text_in_row: list[str] | None):
+    """One range, sorted: number the runs of equal texts.
 
-    ``_run`` numbers runs within the range, ``_first`` marks a run's first row (the one to
-    keep), ``_edge`` the range's first and last run, which may go on in the next range.
+    The text is a field of ``_row`` or the column ``_text``. ``_run`` numbers runs within the range, ``_first`` marks a run's first row (the one to
+    keep). A range's first and last run may go on in the next range.
     """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -43,7 +44,8 @@ def _compare_neighbours(payload: list[str]):
         run, before = -1, (None, None)
         for batch in rows_at_most(batches, 2048):
             digests = batch.column("text_sha256").to_pylist()
-            texts = [t.translate(None, _REMOVED) for t in bytes_of(batch.column("_text"))]
+            held = pc.struct_field(batch.column("_row"), text_in_row) if text_in_row else batch.column("_text")
+            texts = [t.translate(None, _REMOVED) for t in bytes_of(held)]
             runs, first = np.empty(len(texts), np.int64), np.zeros(len(texts), bool)
             for i, now in enumerate(zip(digests, texts)):
                 if now != before:
@@ -51,20 +53,22 @@ def _compare_neighbours(payload: list[str]):
                 runs[i] = run
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(batch.column(c) for c in payload),
+                    *(batch.column(c) for c in carried),
                     batch.column("text_sha256"),
                     batch.column("_chars"),
                     pa.array(np.full(len(texts), part, np.int32)),
                     pa.array(runs),
                     pa.array(first),
                 ],
-                names=[*payload, "text_sha256", "_chars", "_part", "_run", "_first"],
+                names=[*carried, "text_sha256", "_chars", "_part", "_run", "_first"],
             )
 
     return compare
 
 
-def content_sort(docs: DataFrame, payload: list[str] | None = None) -> DataFrame:
+def content_sort(
+    docs: DataFrame, payload: list[str] | None = None, text_in: list[str] | None = None
+) -> DataFrame:
     """Groups of equal normalised texts.
 
     Returns ``payload`` columns (default: all of ``docs``) of every row, with ``keep_id``,
@@ -72,16 +76,18 @@ def content_sort(docs: DataFrame, payload: list[str] | None = None) -> DataFrame
     original text stays, then the smallest ``doc_id``; a null ``doc_id`` comes last. Null text
     counts as empty, and all empty texts are one group. Rows that repeat in full are one
     group of which exactly one row is kept. An empty table gives an empty result. Columns of
-    ``docs`` named like a result column are replaced by it.
+    ``docs`` named like a result column are replaced by it. ``text_in`` says where in the
+    payload the text is, so that it travels once; found by itself if a payload column.
     """
     results = ("keep_id", "group_size", "kept", "text_sha256")
     payload = [c for c in (docs.columns if payload is None else payload) if c not in results]
+    text_in = text_in or (["text"] if "text" in payload else None)
     text = F.coalesce(F.col("text"), F.lit(""))
     # The payload travels in one column, so that no name of it can clash.
     keyed = docs.withColumn("_norm", normalised(F.col("text"))).select(
         F.struct(*payload).alias("_row") if payload else F.struct(F.lit(1).alias("_")).alias("_row"),
         F.col("doc_id").alias("_id"),
-        text.alias("_text"),
+        *([] if text_in else [text.alias("_text")]),
         F.char_length(text).cast("long").alias("_chars"),
         F.sha2(F.col("_norm").cast("binary"), 256).alias("text_sha256"),
         F.substring(F.col("_norm"), 1, KEY_CHARACTERS).alias("_key"),
@@ -103,7 +109,7 @@ def content_sort(docs: DataFrame, payload: list[str] | None = None) -> DataFrame
             T.StructField("_first", T.BooleanType()),
         ]
     )
-    rows = stage(ordered.mapInArrow(_compare_neighbours(carried), schema), "content-sort")
+    rows = stage(ordered.mapInArrow(_compare_neighbours(carried, text_in), schema), "content-sort")
 
     runs = rows.groupBy("_part", "_run").agg(
         F.count(F.lit(1)).alias("_size"),
@@ -150,7 +156,7 @@ def content_sort(docs: DataFrame, payload: list[str] | None = None) -> DataFrame
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that :func:`content_sort` keeps, with their own columns."""
     marked = docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", "text")
-    return content_sort(marked, ["doc"]).where("kept").select("doc.*")
+    return content_sort(marked, ["doc"], ["doc", "text"]).where("kept").select("doc.*")
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
