@@ -540,6 +540,47 @@ def ingest_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ingest_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ingest of runs of seven kinds: sound, without pages, with pages beyond their
+    end, with numbers as text, with a broken page, with a gap, with two contents of a page.
+    """
+    folder = _folder(spark, "outcomes")
+    sound = clean_documents(spark, sf_dir, pages_per_run=4).select("run_id", "page", "raw_text")
+    kind = F.substring("run_id", 7, 5).cast("int") % 7
+    requests = sound.select("run_id").distinct().select(
+        F.to_json(F.struct("run_id")).alias("request_text"),
+        F.col("run_id").alias("default_run_id"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("requested_at"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("finished_at"),
+    )
+    declared = F.lit('"pages":4,')
+    text = (
+        F.when(kind == 2, F.replace("raw_text", declared, F.lit('"pages":2,')))
+        .when(kind == 3, F.replace("raw_text", declared, F.lit('"pages":" 0_4 ",')))
+        .when((kind == 4) & (F.col("page") == 3), F.concat("raw_text", F.lit("]")))
+        .otherwise(F.col("raw_text"))
+    )
+    absent = (kind == 1) | ((kind == 5) & (F.col("page") == 2))
+    pages = sound.filter(~absent).withColumn("raw_text", text)
+    other = sound.filter((kind == 6) & (F.col("page") == 1)).withColumn(
+        "raw_text", F.concat("raw_text", F.lit(" "))
+    )
+    outcome = run_ingest(
+        spark,
+        requests,
+        pages.union(other),
+        landing_path=f"{folder}/landing",
+        manifest_root=f"{folder}/manifests",
+    )
+    return outcome.manifests.select(
+        "run_id",
+        "status",
+        "pages_landed",
+        F.col("error.type").alias("error_type"),
+        F.col("error.message").alias("error_message"),
+    )
+
+
 QUERIES = {
     "declared_total": (declared_total_query, "SELECT count(*) AS expected_rows FROM events"),
     "page_metrics": (
@@ -695,4 +736,22 @@ QUERIES = {
         CASE WHEN n % 3 = 1 OR (NOT whole AND n % 3 = 0) THEN '2024-01-02 00:00:00'
              ELSE '2024-01-01 00:00:00' END AS completed_at FROM s""",
     ),
+    "ingest_outcomes": (
+        ingest_outcomes,
+        """WITH d AS (SELECT DISTINCT c_custkey // 25 AS document FROM customer),
+        r AS (SELECT document // 4 AS n, document // 4 % 7 AS kind, count(*) AS present FROM d GROUP BY ALL),
+        -- The first page at which a run stops; NULL for a run that reaches its end.
+        s AS (SELECT *, CASE WHEN kind IN (1, 6) THEN 1 WHEN kind = 5 THEN 2
+            WHEN kind = 2 THEN CASE WHEN present < 2 THEN 2 END
+            WHEN kind = 4 AND present >= 3 THEN 3 WHEN present < 4 THEN present + 1 END AS stop FROM r)
+        SELECT printf('batch-%05d', n) AS run_id,
+        CASE WHEN stop IS NULL THEN 'COMPLETED' ELSE 'FAILED' END AS status,
+        CAST(coalesce(stop - 1, CASE WHEN kind = 2 THEN 2 ELSE 4 END) AS BIGINT) AS pages_landed,
+        CASE WHEN kind = 6 THEN 'LandingConflictError' WHEN stop IS NOT NULL THEN 'ApiResponseError' END AS error_type,
+        CASE WHEN kind = 6 THEN 'Landing object already exists with different content: '
+            || 'landing/world_bank/year=2024/month=01/day=01/run_id=' || printf('batch-%05d', n)
+            || '/sp_pop_totl_page_00001.json'
+          WHEN kind = 4 AND stop = 3 AND present >= 3 THEN 'World Bank API returned invalid JSON'
+          WHEN stop IS NOT NULL THEN 'Page ' || stop || ' was not returned' END AS error_message FROM s""",
+    ),
 }
