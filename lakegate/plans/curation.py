@@ -9,12 +9,8 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lakegate.operators.curate import (
-    TransformResult,
-    classify_documents,
-    select_processed,
-    select_rejected,
-)
+from lakegate.operators.curate import TransformResult, mark_duplicates, validate
+from lakegate.operators.parse import read_records, split_documents
 from lakegate.operators.quality import (
     FAIL,
     INDICATOR_QUALITY_POLICY,
@@ -25,7 +21,7 @@ from lakegate.operators.quality import (
 )
 from lakegate.operators.reconcile import declared_total, total_in_metadata
 from lakegate.plans.staging import stage
-from lakegate.records import INDICATOR_OBSERVATIONS, RecordSpec
+from lakegate.records import INDICATOR_OBSERVATIONS, REJECTED_COLUMNS, RecordSpec
 from lakegate.sinks import (
     run_output_path,
     write_quality_result,
@@ -46,24 +42,38 @@ class CurationOutcome:
 def stage_classified(
     documents: DataFrame, name: str, spec: RecordSpec = INDICATOR_OBSERVATIONS
 ) -> tuple[TransformResult, int | None]:
-    """Read, parse, classify and write all events once; also the declared total.
+    """Read, parse, validate and write all events once; also the declared total.
 
     The total is observed while the documents stream past, so the source is
     scanned a single time. It is a minimum and a maximum: a task that runs twice
     after a lost executor leaves both unchanged.
+
+    Duplicates are found on key, origin and row number of the valid rows alone;
+    the rows themselves, and their JSON text, meet the losers by row number and
+    so pass through one exchange at most (none while the losers are few).
     """
     observed = Observation()
     total = total_in_metadata(F.col("raw_text"))
     watched = documents.observe(observed, F.min(total).alias("low"), F.max(total).alias("high"))
-    classified = classify_documents(watched, spec)
+    reason = F.col("rejection_reason")
+    validated = validate(read_records(split_documents(watched), spec), spec).select(
+        *spec.processed_columns, "rejection_reason", "raw_record"
+    )
     staged = stage(
-        classified.withColumn("is_processed", F.col("rejection_reason").isNull()),
+        validated.withColumns({"is_valid": reason.isNull(), "row_id": F.monotonically_increasing_id()}),
         name,
-        partition_by="is_processed",
+        partition_by="is_valid",
+    )
+    valid, broken = staged.filter("is_valid"), staged.filter("NOT is_valid")
+    slim = valid.select(
+        "row_id", *spec.business_key, "source_file", "source_record_index", "rejection_reason"
     )
+    beaten = mark_duplicates(slim, spec).filter(reason.isNotNull()).select("row_id", "rejection_reason")
+    beaten = stage(beaten, f"{name}-duplicates")
+    duplicates = valid.drop("rejection_reason").join(beaten, "row_id")
     result = TransformResult(
-        processed=select_processed(staged.filter("is_processed"), spec),
-        rejected=select_rejected(staged.filter("NOT is_processed")),
+        processed=valid.join(beaten.select("row_id"), "row_id", "left_anti").select(*spec.processed_columns),
+        rejected=broken.select(*REJECTED_COLUMNS).union(duplicates.select(*REJECTED_COLUMNS)),
     )
     return result, _observed_total(observed, documents)
 

@@ -20,6 +20,7 @@ from lakegate.operators.quality import (
     row_metrics,
 )
 from lakegate.operators.runs import admit_runs
+from lakegate.plans.curation import stage_classified
 from lakegate.plans.staging import stage
 from lakegate.sources.documents import (
     landed_documents,
@@ -325,6 +326,17 @@ def test_curation_stays_in_the_jvm_and_parses_once(documents):
     assert "to_json" not in text
 
 
+def test_staged_duplicates_move_no_record_text(documents):
+    frame = documents(("b", document(usa(2023), usa(2023, value=9), 7)), ("a", document(usa(2023, value=5))))
+    result, _ = stage_classified(frame.union(frame), "plan-test")
+    assert [r.observation_value for r in result.processed.collect()] == [5.0]
+    lost = [r.rejection_reason for r in result.rejected.collect()]
+    assert sorted(lost) == ["DUPLICATE_BUSINESS_KEY"] * 5 + ["RECORD_NOT_OBJECT"] * 2
+    for side in (result.processed, result.rejected):
+        text = plan(side)
+        assert "Exchange hashpartitioning" not in text and "Window" not in text
+
+
 def test_page_contract_does_not_shuffle(documents):
     assert "Exchange" not in plan(page_contract(documents(("a", document(record())))))
 
