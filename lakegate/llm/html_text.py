@@ -45,6 +45,7 @@ _BOILERPLATE = re.compile(
     r"navigation|breadcrumbs?|masthead|topbar|header|footer|comments?|disqus|replies|respond|share|sharing|social|"
     r"related|recommended|popup|modal|overlay|login|signup|search|pagination|pager|widget|toolbar|skip-link)(?:$|[\s_-])"
 )
+_BESIDE = re.compile(r"(?<!\S)(?:with|without|has|no|is|show)[_-]\S+")
 _BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu form".split())
 _ARTICLE_NAMES = frozenset(
     "content main main-content article article-body article-content post post-body post-content entry "
@@ -67,8 +68,9 @@ def _kind(name: str, attributes: str, outer: int) -> int:
     marks: dict[str, str] = {}
     for key, *values in _ATTRIBUTE.findall(attributes):
         marks[key.lower()] = next((v for v in values if v), "").lower()
-    names = f"{marks.get('class', '')} {marks.get('id', '')}"
-    if _BOILERPLATE.search(names) or marks.get("role") in _BOILERPLATE_ROLES:
+    # A name such as with-sidebar says what stands beside the text.
+    names = _BESIDE.sub(" ", f"{marks.get('class', '')} {marks.get('id', '')}")
+    if name != "body" and (_BOILERPLATE.search(names) or marks.get("role") in _BOILERPLATE_ROLES):
         return NAMED_BOILERPLATE
     if name in ("article", "main") or marks.get("role") in ("main", "article"):
         return ARTICLE  # also inside an element that was never closed

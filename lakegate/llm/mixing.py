@@ -172,7 +172,11 @@ def schedule(
 def mix(
     docs: DataFrame, weights: Mapping[str, float] | None = None, max_share: float = MAX_SHARE
 ) -> DataFrame:
-    """``docs`` without the surplus of the sources that have more than their target."""
+    """``docs`` without the surplus of the sources that have more than their target.
+
+    Rows are told by ``doc_id``: rows that repeat one leave together, and a row without one
+    stays. An empty table stays empty; all columns are kept.
+    """
     surplus = schedule(docs, weights, max_share).where(~F.col("in_mix"))
     surplus = surplus.select(F.col("doc_id").alias("_surplus"))
     return docs.join(surplus, F.col("doc_id") == F.col("_surplus"), "left_anti")

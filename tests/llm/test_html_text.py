@@ -44,6 +44,8 @@ def test_blocks_of_markup():
     assert lines(None) == lines("") == lines("<p><div") == ([], [])
     assert lines("a < b &am")[0] == ["a < b &am"]
     assert lines("<nav>never closed<article>text")[0] == ["never closed", "text"]
+    beside = '<body class="header-fixed"><div class="with-sidebar"><p>text</p></div><div class="sidebar-left">x</div>'
+    assert lines(beside) == (["text", "x"], [OPEN, NAMED_BOILERPLATE])
     assert lines("<p>1</p>" * 20_000)[0] == ["1"] * 20_000
 
 
