@@ -23,7 +23,9 @@ from pyspark.sql import types as T
 from lakegate.llm.common import WHITE, bytes_of, rows_at_most, table
 from lakegate.plans.staging import stage
 
-KEY_CHARACTERS = 48
+# The sampled splitters hold so many characters of text and of digest.
+KEY_CHARACTERS = 24
+DIGEST_CHARACTERS = 16
 _REMOVED = b" \t\n\x0b\x0c\r"
 
 
@@ -94,7 +96,9 @@ def content_sort(
     )
     order = ["_key", "text_sha256", F.col("_chars").desc(), F.col("_id").asc_nulls_last()]
     ordered = (
-        keyed.repartitionByRange("_key", "text_sha256", F.col("_id").asc_nulls_last())
+        keyed.repartitionByRange(
+            "_key", F.substring("text_sha256", 1, DIGEST_CHARACTERS), F.col("_id").asc_nulls_last()
+        )
         .sortWithinPartitions(*order)
         .drop("_key")
     )
