@@ -5,12 +5,14 @@ the release time floor(j Q / q) and the deadline ceil((j + 1) Q / q), in slots o
 Earliest deadline first among the released blocks meets every deadline, so at any slot a
 source is less than one block away from its target. The schedule repeats after a period:
 one period is laid out once (``PERIOD`` slots, whatever the data), and every block of the
-corpus finds its slot in it, in parallel.
+corpus finds its slot in it, in parallel. The period is longer only if the caller gives
+weights to more sources than it holds.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Mapping
 from dataclasses import dataclass
 from fractions import Fraction
@@ -23,7 +25,8 @@ from lakegate.llm.common import ranked, table
 PERIOD = 1 << 16
 BLOCK_ROWS = 16
 MAX_SHARE = 1 / 3
-# Sources beyond the largest ones are mixed as one, so that one period can hold them all.
+# Sources below the largest ones share the slots of one entry of the period, in hash order, so
+# that one period holds any number of them. They are never capped, and given weights name theirs.
 NAMED_SOURCES = 4096
 
 
@@ -61,15 +64,21 @@ def one_period(share: list[int]) -> list[list[int]]:
     return slots
 
 
-def capped(counts: list[int], max_share: float) -> tuple[list[float], list[bool]]:
-    """Natural shares with none above ``max_share`` (or an equal share, if that is more); who was capped."""
-    limit = max(max_share, 1 / len(counts))
+def capped(counts: list[int], max_share: float, pooled: int = 0) -> tuple[list[float], list[bool]]:
+    """Natural shares with none above ``max_share`` (or an equal share, if that is more); who was capped.
+
+    With ``pooled`` the last count is that of so many smaller sources together. Fewer than
+    1 / limit sources can be over, so none of these is if that many larger ones are listed.
+    """
+    sources = len(counts) + max(pooled - 1, 0)
+    limit = max(max_share, 1 / sources)
+    single = range(len(counts) - (pooled > 0))
     over: set[int] = set()
     while True:
         rest = sum(n for i, n in enumerate(counts) if i not in over)
         left = 1 - limit * len(over)
-        more = {i for i, n in enumerate(counts) if i not in over and n * left > limit * rest * (1 + 1e-9)}
-        if not more or len(over | more) == len(counts):
+        more = {i for i in single if i not in over and counts[i] * left > limit * rest * (1 + 1e-9)}
+        if not more or len(over | more) == sources:
             weights = [limit if i in over else left * n / rest for i, n in enumerate(counts)]
             return weights, [i in over for i in range(len(counts))]
         over |= more
@@ -77,42 +86,49 @@ def capped(counts: list[int], max_share: float) -> tuple[list[float], list[bool]
 
 @dataclass(frozen=True)
 class Plan:
-    """One period: units and slots of each source, and the slot at which the mix ends."""
+    """One period: units and slots of each source, and the slot at which the mix ends for it."""
 
-    sources: list[str]
+    sources: list[str | None]
     units: list[int]
     slots: list[list[int]]
-    end: int
+    ends: list[int]
 
 
 def plan(
-    counts: Mapping[str, int],
+    counts: Mapping[str | None, int],
     weights: Mapping[str, float] | None,
     max_share: float,
     block_rows: int,
     period: int = PERIOD,
+    pooled: int = 0,
 ) -> Plan:
     """Lay out a period. With ``weights`` the mix ends when the first source runs out.
 
-    Without, weights are the sources' own shares, none above ``max_share``; the mix ends with
-    the last source that was not capped, so that only capped sources have a surplus.
+    Without, weights are the sources' own shares, none above ``max_share``; every source that was
+    not capped is in the mix to its last block, and a capped one up to its share of the rows
+    mixed. The count of None, if there is one, is that of ``pooled`` smaller sources.
     """
-    names = sorted(n for n in counts if weights is None or weights.get(n, 0) > 0)
+    names = sorted((n for n in counts if weights is None or weights.get(n, 0) > 0), key=lambda n: (n is None, n))
     if not names:
-        return Plan([], [], [], 0)
+        return Plan([], [], [], [])
     if weights is None:
-        wanted, over = capped([counts[n] for n in names], max_share)
+        wanted, over = capped([counts[n] for n in names], max_share, pooled)
     else:
         wanted, over = [float(weights[n]) for n in names], [False] * len(names)
     share = units(wanted, period)
     slots = one_period(share)
 
-    def last(i: int) -> int:
-        block = -(-counts[names[i]] // block_rows) - 1
-        return block // share[i] * period + slots[i][block % share[i]]
+    def end(i: int, rows: float) -> int:
+        block = math.ceil(rows / block_rows) - 1
+        return block // share[i] * period + slots[i][block % share[i]] + 1
 
-    ends = [last(i) + 1 for i in range(len(names)) if not over[i]]
-    return Plan(names, share, slots, min(ends) if weights is not None else max(ends))
+    if weights is not None:
+        return Plan(names, share, slots, [min(end(i, counts[n]) for i, n in enumerate(names))] * len(names))
+    # Small sources fill no whole blocks, so a capped one is cut by rows and not where they end.
+    rows = sum(counts[n] for n, cut in zip(names, over) if not cut)
+    left = sum(w for w, cut in zip(wanted, over) if not cut)
+    kept = [wanted[i] / left * rows if cut else counts[names[i]] for i, cut in enumerate(over)]
+    return Plan(names, share, slots, [end(i, n) for i, n in enumerate(kept)])
 
 
 def schedule(
@@ -129,44 +145,57 @@ def schedule(
     empty text together with the sources so named. Sources that ``weights`` does not name, or
     gives no weight, have null slots and are not in the mix. Rows that repeat are scheduled
     each. An empty table gives no rows. Only ``doc_id`` and ``source`` are read.
+
+    Without ``weights``, the sources below the ``NAMED_SOURCES`` largest are laid out together:
+    their documents are numbered in common blocks and all of them are in the mix. With
+    ``weights`` every source they name has blocks of its own, and the period grows with them.
     """
     spark = docs.sparkSession
     slim = docs.select("doc_id", F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"))
     sizes = slim.groupBy("source").count()
-    largest = sizes.orderBy(F.desc("count"), "source").limit(NAMED_SOURCES).collect()
-    counts = {r["source"]: r["count"] for r in largest}
-    if len(counts) == NAMED_SOURCES:
-        named = spark.createDataFrame([(n,) for n in counts], "_name string")
-        slim = slim.join(F.broadcast(named), F.col("source") == F.col("_name"), "left").select(
-            "doc_id", "source", F.coalesce("_name", F.lit("\0rest")).alias("_mixed")
-        )
-        rest = slim.where(F.col("_mixed") == "\0rest").count()
-        counts |= {"\0rest": rest} if rest else {}
+    pooled = 0
+    if weights is None:
+        total = sizes.agg(F.count("count").alias("sources"), F.sum("count").alias("rows")).first()
+        # Fewer sources than this can be above the cap: all that can are among the largest.
+        above = int(1 / max(max_share, 1 / max(total["sources"], 1))) + 1
+        largest = sizes.orderBy(F.desc("count"), "source").limit(max(NAMED_SOURCES, above)).collect()
+        counts: dict[str | None, int] = {r["source"]: r["count"] for r in largest}
+        pooled = total["sources"] - len(counts)
+        named = spark.createDataFrame([(n,) for n in counts], "_mixed string")
+        # Null is the entry of all smaller sources.
+        slim = slim.join(F.broadcast(named), F.col("source") == F.col("_mixed"), "left")
+        if pooled:
+            counts[None] = total["rows"] - sum(counts.values())
     else:
+        named = spark.createDataFrame([(n,) for n, w in weights.items() if w > 0], "_named string")
+        found = sizes.join(F.broadcast(named), F.col("source") == F.col("_named"), "left_semi").collect()
+        counts = {r["source"]: r["count"] for r in found}
         slim = slim.withColumn("_mixed", F.col("source"))
-    made = plan(counts, weights, max_share, block_rows)
-    # PERIOD rows and NAMED_SOURCES rows at most: both may be broadcast whatever the data.
+    period = max(PERIOD, 1 << (8 * len(counts)).bit_length())
+    made = plan(counts, weights, max_share, block_rows, period, pooled)
+    # As long as the period and the named sources: both may be broadcast whatever the data.
     places = spark.createDataFrame(
         [(n, k, s) for n, own in zip(made.sources, made.slots) for k, s in enumerate(own)],
         "_place string, _k long, _slot long",
     )
-    shares = spark.createDataFrame(list(zip(made.sources, made.units)), "_share string, _q long")
+    shares = spark.createDataFrame(list(zip(made.sources, made.units, made.ends)), "_share string, _q long, _end long")
     rows = ranked(slim, "_mixed", F.col("doc_id"), [F.xxhash64("doc_id"), F.col("doc_id")])
     rows = rows.withColumn("block", (F.col("rank") / block_rows).cast("long"))
-    rows = rows.join(F.broadcast(shares), F.col("_mixed") == F.col("_share"), "left")
+    rows = rows.join(F.broadcast(shares), F.col("_mixed").eqNullSafe(F.col("_share")), "left")
     rows = rows.withColumn("_at", F.col("block") % F.col("_q"))
     rows = rows.join(
-        F.broadcast(places), (F.col("_mixed") == F.col("_place")) & (F.col("_at") == F.col("_k")), "left"
+        F.broadcast(places), F.col("_mixed").eqNullSafe(F.col("_place")) & (F.col("_at") == F.col("_k")), "left"
     )
-    turn, block = F.lit(PERIOD), F.col("block")
+    turn, block = F.lit(period), F.col("block")
     return rows.select(
         "doc_id",
         "source",
         "block",
         (F.floor(block / F.col("_q")) * turn + F.col("_slot")).alias("slot"),
-        F.expr(f"(block * {PERIOD}L) div _q").alias("release"),
-        F.expr(f"((block + 1) * {PERIOD}L + _q - 1) div _q").alias("deadline"),
-    ).withColumn("in_mix", F.coalesce(F.col("slot") < made.end, F.lit(False)))
+        F.expr(f"(block * {period}L) div _q").alias("release"),
+        F.expr(f"((block + 1) * {period}L + _q - 1) div _q").alias("deadline"),
+        "_end",
+    ).select("*", F.coalesce(F.col("slot") < F.col("_end"), F.lit(False)).alias("in_mix")).drop("_end")
 
 
 def mix(

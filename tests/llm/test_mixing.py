@@ -68,3 +68,37 @@ def test_empty_repeated_and_null_ids(spark):
     assert mixing.schedule(empty).collect() == []
     same = docs(spark, [("a", 3)], [(None, "a", "t"), (0, "a", "t"), (0, "a", "t")])
     assert mixing.schedule(same).count() == 6 and mixing.mix(same).count() == 6
+
+
+def test_many_small_sources_are_never_capped_as_one(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "NAMED_SOURCES", 2)
+    tail = [(f"site{i}", 2) for i in range(600)]
+    frame = docs(spark, [("hot", 1000), ("a", 50), ("\0rest", 40), *tail])
+    rows = mixing.schedule(frame, block_rows=4).collect()
+    assert len(rows) == 2290
+    mixed = Counter(r.source for r in rows if r.in_mix)
+    assert all(mixed[s] == n for s, n in [("a", 50), ("\0rest", 40), *tail])
+    assert abs(mixed["hot"] - 645) <= 8
+    assert all(r.release <= r.slot < r.deadline for r in rows)
+    assert max(Counter(r.slot for r in rows).values()) == 4
+    assert mixing.mix(frame).count() == 1290 + 656  # 41 blocks of 16
+    # All sources above the cap are found, however few are named.
+    weights, over = mixing.capped([40, 40, 20], 0.3, pooled=10)
+    assert over == [True, True, False] and math.isclose(weights[2], 0.4)
+    both = docs(spark, [("x", 400), ("y", 390), ("w", 3), *((f"s{i}", 10) for i in range(20))])
+    mixed = Counter(r.source for r in mixing.schedule(both, max_share=0.3, block_rows=2).collect() if r.in_mix)
+    assert mixed["w"] == 3 and sum(n for s, n in mixed.items() if s[0] == "s") == 200
+    assert abs(mixed["x"] - 152) <= 6 and abs(mixed["y"] - 152) <= 6
+
+
+def test_given_weights_reach_sources_of_any_size(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "NAMED_SOURCES", 2)
+    frame = docs(spark, [("big", 300), ("large", 200), ("small", 40), ("least", 20)])
+    rows = mixing.schedule(frame, {"small": 2, "least": 1}, block_rows=1).collect()
+    mixed = Counter(r.source for r in rows if r.in_mix)
+    assert set(mixed) == {"small", "least"}
+    assert mixed["small"] >= 39 and mixed["least"] >= 19
+    monkeypatch.setattr(mixing, "PERIOD", 2)
+    rows = mixing.schedule(frame, {"small": 2, "least": 1, "big": 1}, block_rows=1).collect()
+    mixed = Counter(r.source for r in rows if r.in_mix)
+    assert set(mixed) == {"small", "least", "big"}
