@@ -1,7 +1,8 @@
 """Main text of web pages by nearest-URL page differencing.
 
 Pages of a host are ordered by URL path, and each is paired with the neighbour whose path
-shares the longer beginning. The lines of the two pages are aligned by longest common
+shares the longer beginning. Pages of a host with equal lines count as one page there, the one
+of the first path, so that no page is paired with its copy. The lines of the two pages are aligned by longest common
 subsequence, and shared lines, the host's template, are deleted. An exact check follows: what
 the markup itself names as menu, header, footer, notice, advert, form or comment goes even
 where it is not shared, and what it names as article stays even where it is, since hosts serve
@@ -201,18 +202,27 @@ def _bits(number: int, width: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(raw, np.uint8), bitorder="little")[:width]
 
 
+def _line_hashes(host: str, texts: list[str]) -> tuple[np.ndarray, int]:
+    """A hash of each line, and one of the host with all of them, equal for copies."""
+    own = [xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) for t in texts]
+    hashes = np.array(own, np.uint64).view(np.int64)
+    key = xxhash.xxh3_64(host.encode("utf-8", "surrogatepass"))
+    key.update(b"\0" + hashes.tobytes())
+    return hashes, key.intdigest() - (1 << 63)
+
+
 def _hash_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in rows_at_most(batches, 256):
-        hashes, counts = [], []
-        for page in batch.column("html").to_pylist():
-            texts, _ = lines(page)
-            own = [xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) for t in texts]
-            hashes.append(np.array(own, np.uint64).view(np.int64))
+        keys, hashes, counts = [], [], []
+        for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
+            own, key = _line_hashes(host, lines(page)[0])
+            keys.append(key)
+            hashes.append(own)
             counts.append(len(own))
         flat = np.concatenate(hashes) if hashes else np.empty(0, np.int64)
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("key"),
+                pa.array(keys, pa.int64()),
                 batch.column("host"),
                 batch.column("path"),
                 list_array(counts, pa.array(flat)),
@@ -222,26 +232,34 @@ def _hash_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each line of a page, whether it is shared with the other page."""
+    """For each line of a page, whether it is shared with the other page; how many it shares."""
     for batch in rows_at_most(batches, 1024):
-        marks = []
-        for own, other in zip(batch.column("lines").to_pylist(), batch.column("other").to_pylist()):
+        marks, counts = [], []
+        columns = (batch.column(c).to_pylist() for c in ("lines", "other", "copied"))
+        for own, other, copied in zip(*columns):
             mark = np.zeros(len(own), bool)
             if own and other:
                 mark[shared(own, other)] = True
             marks.append(mark)
+            counts.append(len(own) if copied else int(mark.sum()))
         flat = np.concatenate(marks) if marks else np.empty(0, bool)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("key"), list_array([len(m) for m in marks], pa.array(flat))], names=["key", "shared"]
+            [
+                batch.column("key"),
+                list_array([len(m) for m in marks], pa.array(flat)),
+                pa.array(counts, pa.int32()),
+            ],
+            names=["key", "shared", "count"],
         )
 
 
 def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The lines of a page that may be its text: those of the named article, else the open ones."""
     for batch in rows_at_most(batches, 256):
-        texts, places, counts, named = [], [], [], []
-        for page in batch.column("html").to_pylist():
+        keys, texts, places, counts, named = [], [], [], [], []
+        for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
             found, kinds = lines(page)
+            keys.append(_line_hashes(host, found)[1])
             wanted = ARTICLE if ARTICLE in kinds else OPEN
             own = [i for i, kind in enumerate(kinds) if kind == wanted]
             texts += [found[i] for i in own]
@@ -251,7 +269,7 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("row"),
-                batch.column("key"),
+                pa.array(keys, pa.int64()),
                 pa.array(named, pa.bool_()),
                 list_array(counts, pa.array(texts, pa.string())),
                 list_array(counts, pa.array(places, pa.int32())),
@@ -260,50 +278,60 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _key() -> Column:
-    return F.xxhash64(*(F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in ("page_id", "url", "html")))
+def _host() -> Column:
+    address = F.coalesce(F.col("url"), F.lit(""))
+    return F.lower(F.regexp_extract(address, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1))
 
 
 def template_lines(pages: DataFrame) -> DataFrame:
-    """key and shared: for each line of a page, whether the nearest page of its host has it too."""
+    """One row per host and list of lines: key, shared and count.
+
+    ``shared`` says of each line whether the nearest page of the host with other lines has it
+    too, ``count`` how many lines the nearest page has too: all, if the host has a copy.
+    """
     address = F.coalesce(F.col("url"), F.lit(""))
     slim = pages.select(
-        _key().alias("key"),
-        F.lower(F.regexp_extract(address, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1)).alias("host"),
+        _host().alias("host"),
         F.regexp_extract(address, r"^(?:(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*)?(.*)$", 1).alias("path"),
         "html",
     )
-    schema = "key long, host string, path string, lines array<long>"
-    hashed = slim.mapInArrow(_hash_lines, schema)
-    hashed = stage(hashed, "page-lines")
-    # Addresses can be long; the splitters hold their beginnings only.
-    ordered = hashed.repartitionByRange("host", F.substring("path", 1, 64), "key")
+    hashed = slim.mapInArrow(_hash_lines, "key long, host string, path string, lines array<long>")
+    different = hashed.groupBy("key").agg(
+        F.first("host").alias("host"),
+        F.min("path").alias("path"),
+        F.first("lines").alias("lines"),
+        (F.count(F.lit(1)) > 1).alias("copied"),
+    )
+    different = stage(different, "page-lines")
+    # A page without lines tells nothing of another. Addresses can be long; the splitters hold
+    # their beginnings only.
+    ordered = different.where(F.size("lines") > 0).select("key", "host", "path")
+    ordered = ordered.repartitionByRange("host", F.substring("path", 1, 64), "key")
     ordered = ordered.sortWithinPartitions("host", F.substring("path", 1, 64), "path", "key")
     placed = stage(ordered.withColumn("at", F.monotonically_increasing_id()), "page-order")
     part = F.shiftright("at", 33)
     # One row per range: where the next range that has rows begins.
     ends = placed.groupBy(part.alias("part")).agg(F.min("at").alias("first"), F.max("at").alias("last"))
     ends = ends.select("last", F.lead("first").over(Window.orderBy("part")).alias("jump"))
-    where = placed.select("at", "host", "path")
-    chain = where.join(ends, F.col("at") == F.col("last"), "left").withColumn(
+    chain = placed.join(ends, F.col("at") == F.col("last"), "left").withColumn(
         "next", F.when(F.col("last").isNull(), F.col("at") + 1).otherwise(F.col("jump"))
     )
-    after = where.select(*(F.col(c).alias(f"n_{c}") for c in ("at", "host", "path")))
+    after = placed.select(*(F.col(c).alias(f"n_{c}") for c in ("at", "host", "path", "key")))
     pairs = chain.join(after, (F.col("next") == F.col("n_at")) & (F.col("host") == F.col("n_host")))
     alike = F.char_length(_common_start("path", "n_path"))
-    pairs = pairs.select(
-        F.array(
-            F.struct("at", F.col("n_at").alias("other"), alike.alias("alike")),
-            F.struct(F.col("n_at").alias("at"), F.col("at").alias("other"), alike.alias("alike")),
-        ).alias("both")
-    ).select(F.inline("both"))
+
+    def side(key: str, other: str, before: bool) -> Column:
+        values = {"key": F.col(key), "with": F.col(other), "alike": alike, "before": F.lit(before)}
+        return F.struct(*(v.alias(k) for k, v in values.items()))
+
+    both = F.array(side("key", "n_key", False), side("n_key", "key", True))
+    pairs = pairs.select(F.inline(both))
     # The neighbour with the longer common beginning; of two alike, the one before.
-    best = pairs.groupBy("at").agg(F.max(F.struct("alike", (-F.col("other")).alias("less"))).alias("_top"))
-    best = best.select("at", (-F.col("_top.less")).alias("with"))
-    own = best.join(placed.select("at", "key", "lines"), "at")
-    other = placed.select(F.col("at").alias("with"), F.col("lines").alias("other"))
-    met = own.join(other, "with").select("key", "lines", "other")
-    return met.mapInArrow(_align, "key long, shared array<boolean>")
+    best = pairs.groupBy("key").agg(F.max(F.struct("alike", "before", "with"))["with"].alias("with"))
+    own = different.select("key", "lines", "copied").join(best, "key", "left")
+    other = different.select(F.col("key").alias("with"), F.col("lines").alias("other"))
+    met = own.join(other, "with", "left").select("key", "lines", "other", "copied")
+    return met.mapInArrow(_align, "key long, shared array<boolean>, count int")
 
 
 def _common_start(a: str, b: str) -> Column:
@@ -318,16 +346,16 @@ def _common_start(a: str, b: str) -> Column:
 def extract(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """The rows of ``pages`` with ``text``, the main text ("" if there is none), and ``shared_lines``.
 
-    ``shared_lines`` counts the page's lines that its nearest page has too. Null html counts
-    as empty. Rows without a url form a host of their own. A page alone on its host is not
-    paired. Rows that repeat in full get one text each. An empty table gives no rows. Columns
+    ``shared_lines`` counts the page's lines that its nearest page has too: all, where the host
+    has a copy of it. Its text is told by the nearest page with other lines. Null html counts
+    as empty. Rows without a url form a host of their own. A page alone on its host, but for
+    copies, is not paired. Rows that repeat in full get one text each. An empty table gives no rows. Columns
     of ``pages`` with the names of the two are replaced; the others, or those in ``keep``, are
     carried along.
     """
     own = [c for c in (keep or pages.columns) if c not in ("text", "shared_lines")]
-    found = template_lines(pages).groupBy("key").agg(F.max("shared").alias("shared"))
-    found = found.withColumnRenamed("key", "_key")
-    rows = pages.select(F.struct(*own).alias("row"), _key().alias("key"), "html")
+    found = template_lines(pages).withColumnRenamed("key", "_key")
+    rows = pages.select(F.struct(*own).alias("row"), _host().alias("host"), "html")
     schema = T.StructType(
         [
             rows.schema["row"],
@@ -346,7 +374,7 @@ def extract(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
     return split.select(
         "row.*",
         F.array_join(F.filter("texts", stays), "\n").alias("text"),
-        F.greatest(F.size(F.filter("shared", lambda x: x)), F.lit(0)).alias("shared_lines"),
+        F.coalesce("count", F.lit(0)).alias("shared_lines"),
     )
 
 

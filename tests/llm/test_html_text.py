@@ -87,3 +87,23 @@ def test_pairing_crosses_ranges_and_keeps_extra_columns(spark):
     assert {r.page_id: r.text for r in found} == {i: f"text {i}" for i in range(300)}
     assert {r.lines for r in found} == {1}
     assert html_text.extract(frame.limit(0)).collect() == []
+
+
+def test_copies_keep_their_text(spark):
+    rows = [
+        (1, "http://h.example/a/1", page("menu", "first text", "imprint")),
+        (2, "http://h.example/a/2", page("menu", "second text", "imprint")),
+        (9, "http://h.example/a/2", page("menu", "second text", "imprint")),
+        (9, "http://h.example/a/2", page("menu", "second text", "imprint")),
+        (10, "http://h.example/other/address", page("menu", "second text", "imprint")),
+        (11, "http://h.example/a/1/empty", "<html></html>"),
+        (12, "http://copies.example/1", page("menu", "only text")),
+        (13, "http://copies.example/2", page("menu", "only text")),
+    ]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    found = html_text.extract(frame).collect()
+    assert len(found) == len(rows)
+    text = {(r.page_id, r.text) for r in found}
+    second = {(i, "second text") for i in (2, 9, 10)}
+    assert text == {(1, "first text"), *second, (11, ""), (12, "menu\nonly text"), (13, "menu\nonly text")}
+    assert {r.page_id: r.shared_lines for r in found} == {1: 2, 2: 3, 9: 3, 10: 3, 11: 0, 12: 2, 13: 2}
