@@ -6,7 +6,8 @@ of the first path, so that no page is paired with its copy. The lines of the two
 subsequence, and shared lines, the host's template, are deleted. An exact check follows: what
 the markup itself names as menu, header, footer, notice, advert, form or comment goes even
 where it is not shared, and what it names as article stays even where it is, since hosts serve
-one article under several addresses. Pages that name no article keep the lines left over.
+one article under several addresses. Pages that name no article keep the lines left over, and
+so do pages whose named article is short beside these.
 
 Only line hashes travel for the pairing. Pages are put in order by range, so that a host with
 a third of all pages is cut over many tasks.
@@ -40,13 +41,18 @@ _CONTAINERS = frozenset(
     "article aside body button details dialog div dl fieldset figure footer form head header main menu nav ol "
     "section span table td tr ul".split()
 )
-_BOILERPLATE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|sponsored|sponsor|promos?|promotion|banner|cookies?|"
+_BOILERPLATE_NAMES = (
+    r"(?:ads?|adverts?|advertisements?|advertising|sponsored|sponsor|promos?|promotion|banner|cookies?|"
     r"consent|gdpr|notices?|notification|alert|newsletter|subscribe|subscription|sidebar|side-bar|menu|navbar|nav|"
     r"navigation|breadcrumbs?|masthead|topbar|header|footer|comments?|disqus|replies|respond|share|sharing|social|"
-    r"related|recommended|popup|modal|overlay|login|signup|search|pagination|pager|widget|toolbar|skip-link)(?:$|[\s_-])"
+    r"related|recommended|popup|modal|overlay|login|signup|search|pagination|pager|widget|toolbar|skip-link)"
 )
+_BOILERPLATE = re.compile(rf"(?:^|[\s_-]){_BOILERPLATE_NAMES}(?:$|[\s_-])")
+_BOILERPLATE_WHOLE = re.compile(rf"(?<!\S){_BOILERPLATE_NAMES}(?!\S)")
 _BESIDE = re.compile(r"(?<!\S)(?:with|without|has|no|is|show)[_-]\S+")
+# An article inside one of these, if it is closed, is a teaser or a comment.
+_SEALED = frozenset("aside nav footer".split())
+_SEALED_ROLES = frozenset("navigation contentinfo complementary".split())
 _BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu form".split())
 _ARTICLE_NAMES = frozenset(
     "content main main-content article article-body article-content post post-body post-content entry "
@@ -62,35 +68,65 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 OPEN, ARTICLE, NAMED_BOILERPLATE = 0, 1, 2
+# The open lines that are not shared stay beside a named article if they are so many times longer.
+OUTWEIGHS = 2
 
 
-def _kind(name: str, attributes: str, outer: int) -> int:
-    """What the inside of an element is, given what stands around it."""
+def _kind(name: str, attributes: str, outer: int, sealed: bool) -> tuple[int, bool]:
+    """What the inside of an element is, given what stands around it; whether it seals articles off.
+
+    ``sealed`` says that a closed element around it does. Classes are judged word by word, ids
+    as a whole: they may be the slug of a headline. An article's own names are not judged, nor
+    are the ids of sections inside one.
+    """
     marks: dict[str, str] = {}
     for key, *values in _ATTRIBUTE.findall(attributes):
         marks[key.lower()] = next((v for v in values if v), "").lower()
+    role = marks.get("role")
+    if name in ("article", "main") or role in ("main", "article"):
+        return (NAMED_BOILERPLATE if sealed else ARTICLE), False  # also inside what was never closed
     # A name such as with-sidebar says what stands beside the text.
-    names = _BESIDE.sub(" ", f"{marks.get('class', '')} {marks.get('id', '')}")
-    if name != "body" and (_BOILERPLATE.search(names) or marks.get("role") in _BOILERPLATE_ROLES):
-        return NAMED_BOILERPLATE
-    if name in ("article", "main") or marks.get("role") in ("main", "article"):
-        return ARTICLE  # also inside an element that was never closed
+    classes, ids = (_BESIDE.sub(" ", marks.get(key, "")) for key in ("class", "id"))
+    if outer == ARTICLE and (name == "section" or "section" in classes.split()):
+        ids = ""
+    whole = _BOILERPLATE_WHOLE.search(classes) or _BOILERPLATE_WHOLE.search(ids)
+    if name != "body" and (whole or _BOILERPLATE.search(classes) or role in _BOILERPLATE_ROLES):
+        return NAMED_BOILERPLATE, bool(whole) or name in _SEALED or role in _SEALED_ROLES
     if name == "header" and outer == ARTICLE:
-        return ARTICLE
+        return ARTICLE, False
     if name in _SKIPPED:
-        return NAMED_BOILERPLATE
-    if outer == OPEN and (marks.get("itemprop") == "articlebody" or _ARTICLE_NAMES.intersection(names.split())):
-        return ARTICLE
-    return outer
+        return NAMED_BOILERPLATE, name in _SEALED
+    names = {*classes.split(), *ids.split()}
+    if outer == OPEN and (marks.get("itemprop") == "articlebody" or _ARTICLE_NAMES & names):
+        return ARTICLE, False
+    return outer, False
+
+
+def _closed(tags: list[tuple[str, bool]]) -> list[bool]:
+    """For each start or end tag (name, whether it ends), whether it starts an element with an end of its own."""
+    out, inside = [False] * len(tags), []
+    counts: dict[str, int] = {}
+    for i, (name, ends) in enumerate(tags):
+        if not ends:
+            inside.append(i)
+            counts[name] = counts.get(name, 0) + 1
+        elif counts.get(name):
+            while True:
+                last = inside.pop()
+                counts[tags[last][0]] -= 1
+                if tags[last][0] == name:
+                    out[last] = True
+                    break
+    return out
 
 
 def lines(page: str | None) -> tuple[list[str], list[int]]:
     """The text blocks of a page in order, and what the markup says of each."""
     texts: list[str] = []
     kinds: list[int] = []
-    inside: list[tuple[str, int]] = []
+    inside: list[tuple[str, int, bool]] = []
     held: list[str] = []
-    kind, at = OPEN, 0
+    kind, sealed, at = OPEN, False, 0
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(held)).split())
@@ -100,28 +136,36 @@ def lines(page: str | None) -> tuple[list[str], list[int]]:
             kinds.append(kind)
 
     page = page or ""
+    found = []
     for token in _TOKEN.finditer(page):
-        held.append(page[at : token.start()])
-        at = token.end()
         closes, name, attributes = (token[2], token[3], token[4]) if token[3] else (token[5], token[6], token[7])
-        if token[1] or not name:
+        name = "" if token[1] or not name else name.lower()
+        found.append((token.start(), token.end(), closes, name, attributes))
+    tags = [(t[3], bool(t[2])) for t in found if t[3] in _CONTAINERS and (t[2] or not t[4].endswith("/"))]
+    closed = iter(_closed(tags))
+    for start, end, closes, name, attributes in found:
+        held.append(page[at:start])
+        at = end
+        if not name:
             continue
-        name = name.lower()
         if name in _BLOCKS:
             flush()
         if name not in _CONTAINERS:
             continue
         if not closes:
             if not attributes.endswith("/"):
-                now = _kind(name, attributes, kind)
+                now, seals = _kind(name, attributes, kind, sealed)
                 if now != kind:
                     flush()
-                inside.append((name, kind))
-                kind = now
-        elif any(n == name for n, _ in inside):
+                inside.append((name, kind, sealed))
+                kind, sealed = now, (next(closed) and seals) or sealed
+        else:
+            next(closed)
+            if not any(n == name for n, *_ in inside):
+                continue
             before = kind
             while True:
-                last, outer = inside.pop()
+                last, outer, sealed = inside.pop()
                 if last == name:
                     break
             if outer != before:
@@ -254,23 +298,27 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The lines of a page that may be its text: those of the named article, else the open ones."""
+    """The lines of a page that may be its text: those of the named article and the open ones.
+
+    The open ones are left out where they could not outweigh the article, even if none is shared.
+    """
     for batch in rows_at_most(batches, 256):
         keys, texts, places, counts, named = [], [], [], [], []
         for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
             found, kinds = lines(page)
             keys.append(_line_hashes(host, found)[1])
-            wanted = ARTICLE if ARTICLE in kinds else OPEN
-            own = [i for i, kind in enumerate(kinds) if kind == wanted]
+            size = [sum(len(t) for t, k in zip(found, kinds) if k == kind) for kind in (OPEN, ARTICLE)]
+            wanted = (OPEN, ARTICLE) if size[0] > OUTWEIGHS * size[1] else (ARTICLE,)
+            own = [i for i, kind in enumerate(kinds) if kind in wanted]
             texts += [found[i] for i in own]
             places += own
             counts.append(len(own))
-            named.append(wanted == ARTICLE)
+            named += [kinds[i] == ARTICLE for i in own]
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("row"),
                 pa.array(keys, pa.int64()),
-                pa.array(named, pa.bool_()),
+                list_array(counts, pa.array(named, pa.bool_())),
                 list_array(counts, pa.array(texts, pa.string())),
                 list_array(counts, pa.array(places, pa.int32())),
             ],
@@ -360,20 +408,30 @@ def extract(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
         [
             rows.schema["row"],
             T.StructField("key", T.LongType()),
-            T.StructField("named", T.BooleanType()),
+            T.StructField("named", T.ArrayType(T.BooleanType())),
             T.StructField("texts", T.ArrayType(T.StringType())),
             T.StructField("places", T.ArrayType(T.IntegerType())),
         ]
     )
     split = rows.mapInArrow(_split, schema).join(found, F.col("key") == F.col("_key"), "left")
 
-    def stays(text: Column, number: Column) -> Column:
+    def article(text: Column, number: Column) -> Column:
+        return F.get(F.col("named"), number)
+
+    def unshared(text: Column, number: Column) -> Column:
         gone = F.get(F.col("shared"), F.get(F.col("places"), number))
-        return F.col("named") | ~F.coalesce(gone, F.lit(False))
+        return ~article(text, number) & ~F.coalesce(gone, F.lit(False))
+
+    def length(texts: Column) -> Column:
+        return F.aggregate(texts, F.lit(0).cast("long"), lambda n, text: n + F.char_length(text))
 
+    outweighs = length(F.filter("texts", unshared)) > OUTWEIGHS * length(F.filter("texts", article))
+    split = split.withColumn("outweighs", outweighs)
     return split.select(
         "row.*",
-        F.array_join(F.filter("texts", stays), "\n").alias("text"),
+        F.array_join(
+            F.filter("texts", lambda t, i: article(t, i) | (F.col("outweighs") & unshared(t, i))), "\n"
+        ).alias("text"),
         F.coalesce("count", F.lit(0)).alias("shared_lines"),
     )
 

@@ -107,3 +107,35 @@ def test_copies_keep_their_text(spark):
     second = {(i, "second text") for i in (2, 9, 10)}
     assert text == {(1, "first text"), *second, (11, ""), (12, "menu\nonly text"), (13, "menu\nonly text")}
     assert {r.page_id: r.shared_lines for r in found} == {1: 2, 2: 3, 9: 3, 10: 3, 11: 0, 12: 2, 13: 2}
+
+
+def of_kind(kind, page):
+    return [t for t, k in zip(*lines(page)) if k == kind]
+
+
+def test_articles_inside_boilerplate_and_slugs():
+    teaser = "<div><p>body</p></div><aside><article class='card'>teaser</article></aside>"
+    assert lines(teaser) == (["body", "teaser"], [OPEN, NAMED_BOILERPLATE])
+    assert of_kind(ARTICLE, "<div><nav>never closed<article>text</article></div>") == ["text"]
+    assert of_kind(ARTICLE, "<form><nav>menu</nav><main>text</main></form>") == ["text"]
+    assert of_kind(ARTICLE, "<div class='search-page'><main>text</main></div>") == ["text"]
+    assert of_kind(ARTICLE, "<div id='comments'><article class='comment-body'>first!</article></div>") == []
+    slugs = """<article id='social-housing-report' class='post tag-search'><p>a</p><section id='search'><p>b</p>
+    </section><div id='login-and-alert'>c</div><div id='comments'>d</div><div class='share-bar'>e</div></article>"""
+    assert of_kind(ARTICLE, slugs) == ["a", "b", "c"]
+    assert of_kind(NAMED_BOILERPLATE, slugs) == ["d", "e"]
+
+
+def test_body_outside_a_short_article_stays(spark):
+    def rows(number):
+        card = f"<div><article class='card'>teaser {number}</article></div>"
+        body = f"<p>the body of page {number} runs on for much longer than its teaser</p>"
+        return (number, f"http://h.example/{number}", f"<p>the menu of the host</p>{body}{card}")
+
+    long = "<p>note</p><article>" + "a long article " * 9 + "</article>"
+    frame = [rows(1), rows(2), (3, "http://other.example/", long)]
+    found = html_text.extract(spark.createDataFrame(frame, "page_id long, url string, html string")).collect()
+    text = {r.page_id: r.text for r in found}
+    for number in (1, 2):
+        assert text[number] == f"the body of page {number} runs on for much longer than its teaser\nteaser {number}"
+    assert text[3] == ("a long article " * 9).strip()
