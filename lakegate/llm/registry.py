@@ -1,6 +1,20 @@
 """Queries of the training-data operators: name to (query, SQL or None)."""
 
-from lakegate.llm import ann, exact_dedup, html_text, language, minhash, mixing, packing, pii, quality, sharding
+from lakegate.llm import (
+    ann,
+    collocations,
+    decontamination,
+    exact_dedup,
+    html_text,
+    language,
+    minhash,
+    mixing,
+    packing,
+    pii,
+    quality,
+    sharding,
+    whitening,
+)
 
 QUERIES = {
     **packing.QUERIES,
@@ -13,4 +27,7 @@ QUERIES = {
     **exact_dedup.QUERIES,
     **minhash.QUERIES,
     **language.QUERIES,
+    **decontamination.QUERIES,
+    **collocations.QUERIES,
+    **whitening.QUERIES,
 }
