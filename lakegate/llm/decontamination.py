@@ -102,7 +102,7 @@ def _counter(widths: list[int], wanted: Filter):
         for batch in parts(batches):
             found = words(batch.column("text"), KINDS)
             hits = [h for _, _, h in _hits(found, found.hashes(), widths, wanted)]
-            keys, counts = np.unique(np.concatenate(hits), return_counts=True)
+            keys, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *hits]), return_counts=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64))], names=["key", "n"]
             )

@@ -1,0 +1,128 @@
+"""Decontamination: every document against a plain search for all windows, and odd rows."""
+
+from __future__ import annotations
+
+import random
+import re
+from hashlib import sha256
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from lakegate.llm import decontamination as op
+from lakegate.llm.words import PART_BYTES, Filter, chained, parts, words
+
+
+def spelled(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+
+
+def brute(text, items, size=10):
+    own = spelled(text)
+    hit, named = set(), set()
+    for item, body in items:
+        its = spelled(body)
+        width = min(size, len(its))
+        windows = {tuple(its[i : i + width]) for i in range(len(its) - width + 1)} if its else set()
+        for i in range(len(own) - width + 1):
+            if windows and tuple(own[i : i + width]) in windows:
+                hit |= set(range(i, i + width))
+                if item is not None:
+                    named.add(str(item))
+    return len(own), hit, sorted(named)
+
+
+@pytest.mark.parametrize("step", [PART_BYTES, 7])
+def test_words_are_those_of_the_pattern(monkeypatch, step):
+    monkeypatch.setattr("lakegate.llm.words.PART_BYTES", step)
+    rng = random.Random(1)
+    alphabet = "aAzZ09 .\x00\x2f\x3a\x60\x7b\x7fÄñ漢\n-"
+    texts = ["".join(rng.choices(alphabet, k=rng.randrange(40))) for _ in range(200)] + [None, "", "x" * 200]
+    found = words(pa.array(texts, pa.string()), op.KINDS)
+    by_text = {}
+    for i, t in enumerate(found.text):
+        by_text.setdefault(int(t), []).append(found.spelled(i, i + 1).decode())
+    assert [by_text.get(i, []) for i in range(len(texts))] == [spelled(t) for t in texts]
+    assert found.column(np.arange(len(found))).to_pylist() == [w for t in texts for w in spelled(t)]
+    distinct = {}
+    for word, value in zip((w for t in texts for w in spelled(t)), found.hashes().tolist()):
+        assert distinct.setdefault(word, value) == value
+    assert len(set(distinct.values())) == len(distinct)
+    batch = pa.record_batch({"text": pa.array(texts, pa.string())}).slice(3)
+    assert [t for b in parts([batch]) for t in b.column("text").to_pylist()] == texts[3:]
+
+
+def test_documents_against_a_plain_search(spark):
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(12)] + ["Ärger", "X9", "the"]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.choice([1, 2, 3, 4, 6, 10, 11, 25])))) for i in range(40)]
+    items += [(3, "The THE the"), (None, "no id here but words"), (50, None), (51, " ... "), (10, items[10][1])]
+    texts = []
+    for _ in range(120):
+        body = rng.choices(vocabulary, k=rng.randrange(60))
+        for _ in range(rng.randrange(3)):
+            own = spelled(rng.choice(items)[1])
+            at, low = rng.randrange(len(body) + 1), rng.randrange(max(len(own), 1))
+            body[at:at] = own[low:]
+        texts.append(rng.choice([" ", ", ", "\n"]).join(body).upper() if rng.random() < 0.3 else " ".join(body))
+    texts += [None, "", "!?", "the the the the", items[7][1] * 300]
+    rows = [(i if i % 9 else None, t, "x") for i, t in enumerate(texts)] + [(1, texts[1], "x")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, unit string").repartition(5)
+    bench = spark.createDataFrame([(i, t, 1) for i, t in items], "item_id long, text string, row int")
+    found = sorted(
+        (r.doc_id is None, r.doc_id or 0, r.n_words, r.n_hit, r["items"], [tuple(s) for s in r.spans])
+        for r in op.contamination(docs, bench).collect()
+    )
+    expected = []
+    for doc_id, text, _ in rows:
+        n, hit, named = brute(text, items)
+        edges = [i for i in sorted(hit) if i - 1 not in hit], [i + 1 for i in sorted(hit) if i + 1 not in hit]
+        expected.append((doc_id is None, doc_id or 0, n, len(hit), named, list(zip(*edges))))
+    assert found == sorted(expected)
+    assert any(e[3] for e in expected) and any(not e[3] for e in expected)
+
+
+def test_windows_of_which_a_part_is_enough(spark):
+    item = " ".join(f"w{i}" for i in range(10))
+    near = "a b " + item.replace("w9", "other") + " c d"
+    far = " ".join(f"w{i}" for i in range(6)) + " and nothing more of it at all here"
+    docs = spark.createDataFrame([(1, near), (2, far), (3, item)], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    found = {r.doc_id: r for r in op.contamination(docs, bench, op.Settings(containment=0.8)).collect()}
+    # Five of the six shingles of the window are left in the first, two in the second.
+    assert [found[i]["items"] for i in (1, 2, 3)] == [["7"], [], ["7"]]
+    assert {r.doc_id: r.n_hit for r in op.contamination(docs, bench).collect()} == {1: 0, 2: 0, 3: 10}
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (2, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
+    assert op.contamination(docs.limit(0), bench).collect() == []
+    assert sorted((r.doc_id, r.n_words, r.n_hit) for r in op.contamination(docs, bench.limit(0)).collect()) == [
+        (1, 3, 0), (2, 0, 0),
+    ]
+
+
+def test_query_columns(spark):
+    rows = op.op11_decontamination(spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == 200
+    clean = [r for r in rows if not r.contaminated]
+    assert clean and all(r.items_sha256 == sha256(b"").hexdigest() and r.n_items == 0 for r in clean)
+    assert any(r.contaminated and r.n_items and r.n_hit >= 10 for r in rows)
+
+
+def test_filter_misses_none(spark):
+    rng = np.random.default_rng(0)
+    values = rng.integers(-(2**63), 2**63, 5000)
+    kept = Filter.of(spark.createDataFrame([(int(v),) for v in values], "v long"), F.col("v"))
+    assert kept.has(values.view(np.uint64)).all()
+    assert kept.has(rng.integers(0, 2**63, 5000, dtype=np.uint64)).mean() < 0.01
+
+
+def test_shingles_depend_on_order_and_width():
+    a = np.array([1, 2, 3, 4], np.uint64)
+    assert len({*chained(a, 2).tolist(), *chained(a[::-1].copy(), 2).tolist(), *chained(a, 3).tolist()}) == 8
+    assert len(chained(a, 5)) == 0
