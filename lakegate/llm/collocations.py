@@ -21,10 +21,11 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakegate.llm.common import table
+from lakegate.llm.common import list_array, table
 from lakegate.llm.words import Filter, Words, byte_kinds, chained, parts, words
 from lakegate.plans.staging import stage
 
@@ -33,7 +34,11 @@ KINDS = byte_kinds(b" \t", b".,;:!?\n\x0b\x0c\r")
 #: Candidates in one trie, about.
 TRIE_PHRASES = 1 << 18
 #: Distinct phrases a task holds before it hands over their counts.
-HELD = 1 << 20
+HELD = 1 << 19
+_ROWS = 1 << 16
+#: Counts of a trie leave a task in blocks, and so many tasks' blocks are summed at a time.
+BLOCK = 8192
+SUMMED = 64
 _UNDEFINED = "und"
 
 
@@ -98,53 +103,62 @@ def _unpacked(column: pa.Array, numbers: int) -> np.ndarray:
     return np.frombuffer(raw, ">u8").astype(np.uint64).reshape(-1, numbers)
 
 
-def _word_counter(seed: int):
-    """Counts of the words of each language, as often as a part holds them."""
+def _named(langs: np.ndarray, names: dict[int, str]) -> pa.Array:
+    """The languages of these hashes."""
+    known, own = np.unique(langs, return_inverse=True)
+    spelled = pa.array([names[x] for x in known.tolist()], pa.string())
+    return pa.DictionaryArray.from_arrays(pa.array(own.astype(np.int32)), spelled).cast(pa.string())
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts(batches):
-            found = words(batch.column("text"), KINDS)
-            langs, names = _langs(batch.column("lang"))
-            hashes, lang = found.hashes(seed), langs[found.text]
-            order = np.lexsort((hashes, lang))
-            new = np.ones(len(order), bool)
-            new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (lang[order][1:] != lang[order][:-1])
-            at = np.flatnonzero(new)
-            counts = np.diff(np.append(at, len(order)))
-            first = order[at]
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the words of each language in a part of the texts."""
+    for batch in parts(batches):
+        found = words(batch.column("text"), KINDS)
+        langs, names = _langs(batch.column("lang"))
+        hashes, lang = found.hashes(), langs[found.text]
+        order = np.lexsort((hashes, lang))
+        new = np.ones(len(order), bool)
+        new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (lang[order][1:] != lang[order][:-1])
+        at = np.flatnonzero(new)
+        first = order[at]
+        counts = pa.array(np.diff(np.append(at, len(order))))
+        yield pa.RecordBatch.from_arrays([_named(lang[first], names), found.column(first), counts], names=["lang", "word", "n"])
+
+
+def _word_hasher(seed: int):
+    """Words with their keys."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = words(batch.column("word"), KINDS).hashes(seed)
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([names[x] for x in lang[first].tolist()], pa.string()),
-                    pa.array([found.data[s:e] for s, e in zip(found.starts[first], found.ends[first])], pa.binary()).cast(
-                        pa.string()
-                    ),
-                    _packed(hashes[first][:, None]),
-                    pa.array(chained(hashes[first], 1, lang[first]).view(np.int64)),
-                    pa.array(counts),
-                ],
-                names=["lang", "word", "key", "hash", "n"],
+                [*batch.columns, _packed(own[:, None])], names=[*batch.schema.names, "key"]
             )
 
-    return count
+    return add
+
+
+def _hash_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One hash for the language and key of each phrase, all of as many words."""
+    for batch in batches:
+        keys = batch.column("key")
+        width = len(keys[0].as_py()) // 8 if len(keys) else 1
+        own, (lang, _) = _unpacked(keys, width), _langs(batch.column("lang"))
+        # Every place of the keys in a row, of which only those at a key's start count.
+        value = chained(own.reshape(-1), width, np.repeat(lang, width))[::width]
+        yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64))], names=["hash"])
 
 
 def _longer(width: int, seed: int, shorter: Filter):
     """Phrases of ``width`` words whose two parts of a word less pass the filter, and their counts."""
 
-    def rows(tally: _Tally, names: dict[int, str]) -> pa.RecordBatch:
+    def rows(tally: _Tally, names: dict[int, str]) -> Iterator[pa.RecordBatch]:
         tally.merge()
-        keys, counts = tally.keys[0], tally.counts[0]
-        lang, own = keys[:, 0], keys[:, 1:]
-        value = chained_rows(own, lang)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([names[x] for x in lang.tolist()], pa.string()),
-                _packed(own),
-                pa.array(value.view(np.int64)),
-                pa.array(counts),
-            ],
-            names=["lang", "key", "hash", "n"],
-        )
+        for at in range(0, tally.held, _ROWS):
+            keys, counts = tally.keys[0][at : at + _ROWS], tally.counts[0][at : at + _ROWS]
+            yield pa.RecordBatch.from_arrays(
+                [_named(keys[:, 0], names), _packed(keys[:, 1:]), pa.array(counts)], names=["lang", "key", "n"]
+            )
 
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally, names = _Tally(), {}
@@ -160,23 +174,14 @@ def _longer(width: int, seed: int, shorter: Filter):
             if tally.held > 2 * HELD:
                 tally.merge()
                 if tally.held > HELD:
-                    yield rows(tally, names)
+                    yield from rows(tally, names)
                     tally = _Tally()
         if tally.keys:
-            yield rows(tally, names)
+            yield from rows(tally, names)
 
     return grow
 
 
-def chained_rows(keys: np.ndarray, lang: np.ndarray) -> np.ndarray:
-    """:func:`~lakegate.llm.words.chained` over the columns of ``keys``."""
-    if not len(keys):
-        return np.empty(0, np.uint64)
-    width = keys.shape[1]
-    every = chained(keys.reshape(-1), width, np.repeat(lang, width))
-    return every[::width]
-
-
 class Trie:
     """A double array over phrases of numbers: the child of state s by symbol c is base[s] + c, if check there is s.
 
@@ -333,51 +338,69 @@ def _trie_counter(trie: Trie, shard: int, phrases: int, longest: int, seed: int)
                 place, state = place[on], state[on]
                 accepted = trie.accept[state]
                 total += np.bincount(accepted[accepted >= 0], minlength=phrases)
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.full(len(some), shard, np.int32)),
-                pa.array(some.astype(np.int32)),
-                pa.array(total[some]),
-            ],
-            names=["shard", "number", "n"],
-        )
+        part = TaskContext.get().partitionId()
+        for block in range(0, phrases, BLOCK):
+            counts = total[block : block + BLOCK]
+            if counts.any():
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([shard], pa.int32()),
+                        pa.array([block // BLOCK], pa.int32()),
+                        pa.array([part], pa.int64()),
+                        list_array([len(counts)], pa.array(counts)),
+                    ],
+                    names=["shard", "block", "part", "counts"],
+                )
 
     return count
 
 
-def _vocabulary(docs: DataFrame) -> tuple[DataFrame, int]:
-    """(lang, word, key, hash, n) of all words, and a seed by which no two words share a hash."""
+def _add_up(rows: pa.Table) -> pa.Table:
+    """The blocks of one place, of at most ``SUMMED`` parts, as one."""
+    first = rows.slice(0, 1)
+    counts = rows["counts"].combine_chunks().flatten().to_numpy().reshape(rows.num_rows, -1).sum(axis=0)
+    return pa.table(
+        {
+            "shard": first["shard"],
+            "block": first["block"],
+            "part": pa.array([first["part"][0].as_py() // SUMMED], pa.int64()),
+            "counts": list_array([len(counts)], pa.array(counts)),
+        }
+    )
+
+
+def _vocabulary(docs: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame, int]:
+    """Words of each language and their counts; the frequent ones with keys; the seed of the keys.
+
+    With that seed no two words of the corpus share a key.
+    """
+    counted = docs.mapInArrow(_count_words, "lang string, word string, n long")
+    counted = stage(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
     seed = 0
     while True:
-        counted = docs.mapInArrow(_word_counter(seed), "lang string, word string, key binary, hash long, n long")
-        counted = counted.groupBy("lang", "word").agg(
-            F.first("key").alias("key"), F.first("hash").alias("hash"), F.sum("n").alias("n")
-        )
-        counted = stage(counted, "words")
-        twice = counted.groupBy("key").agg(F.min("word").alias("low"), F.max("word").alias("high"))
+        keyed = counted.mapInArrow(_word_hasher(seed), "lang string, word string, n long, key binary")
+        twice = keyed.groupBy("key").agg(F.min("word").alias("low"), F.max("word").alias("high"))
         if twice.where("low <> high").isEmpty():
-            return counted, seed
+            return counted, stage(keyed.where(F.col("n") >= settings.least), "frequent-words"), seed
         seed += 1
 
 
-def _candidates(docs: DataFrame, vocabulary: DataFrame, seed: int, settings: Settings) -> DataFrame | None:
+def _candidates(docs: DataFrame, frequent: DataFrame, seed: int, settings: Settings) -> DataFrame | None:
     """(lang, key) of the phrases that may be frequent: no frequent one is missing."""
-    level, found = vocabulary.where(F.col("n") >= settings.least), []
+    level, found = frequent.select("lang", "key"), []
     for width in range(2, settings.longest + 1):
-        shorter = Filter.of(level, F.col("hash"))
-        seen = docs.mapInArrow(_longer(width, seed, shorter), "lang string, key binary, hash long, n long")
-        seen = seen.groupBy("lang", "key").agg(F.first("hash").alias("hash"), F.sum("n").alias("n"))
+        shorter = Filter.of(level.mapInArrow(_hash_keys, "hash long"), F.col("hash"))
+        seen = docs.mapInArrow(_longer(width, seed, shorter), "lang string, key binary, n long")
+        seen = seen.groupBy("lang", "key").agg(F.sum("n").alias("n"))
         level = stage(seen.where(F.col("n") >= settings.least).drop("n"), f"candidates-{width}")
         if level.isEmpty():
             break
-        found.append(level.select("lang", "key"))
+        found.append(level)
     return reduce(DataFrame.union, found) if found else None
 
 
 def _counted(docs: DataFrame, candidates: DataFrame, seed: int, settings: Settings) -> DataFrame:
     """(lang, key, n) of the candidates, counted by tries that are broadcast one at a time."""
-    spark = docs.sparkSession
     shards = -(-candidates.count() // TRIE_PHRASES)
     # All phrases with the same first two words meet in one trie.
     shard = F.pmod(F.xxhash64("lang", F.substring("key", 1, 16)), F.lit(shards)).cast("int")
@@ -386,19 +409,21 @@ def _counted(docs: DataFrame, candidates: DataFrame, seed: int, settings: Settin
         "shard int, names array<string>, keys array<binary>, alphabet binary, base binary, check binary, accept binary",
     )
     tries = stage(tries, "tries")
-    sums = []
+    counts, form = [], "shard int, block int, part long, counts array<long>"
     for number in range(shards):
-        held = tries.where(F.col("shard") == number).withColumn("phrases", F.size("keys")).drop("names", "keys").collect()
-        for row in held:
-            trie = Trie.unpacked(row.asDict())
-            # Its own language counts as a level.
-            counter = _trie_counter(trie, number, row["phrases"], settings.longest, seed)
-            sums.append(stage(docs.mapInArrow(counter, "shard int, number int, n long"), "trie-counts"))
-    counts = reduce(DataFrame.union, sums) if sums else spark.createDataFrame([], "shard int, number int, n long")
-    counts = counts.groupBy("shard", "number").agg(F.sum("n").alias("n"))
+        held = tries.where(F.col("shard") == number).withColumn("phrases", F.size("keys")).drop("names", "keys")
+        for row in held.collect():
+            counter = _trie_counter(Trie.unpacked(row.asDict()), number, row["phrases"], settings.longest, seed)
+            counts.append(stage(docs.mapInArrow(counter, form), "trie-counts"))
+    sums = reduce(DataFrame.union, counts)
+    while sums.groupBy("shard", "block").count().where(F.col("count") > 1).limit(1).count():
+        lane = F.expr(f"part div {SUMMED}").alias("lane")
+        sums = stage(sums.groupBy("shard", "block", lane).applyInArrow(_add_up, form), "trie-sums")
+    total = sums.select("shard", "block", F.posexplode("counts").alias("at", "n"))
+    total = total.select("shard", (F.col("block") * BLOCK + F.col("at")).alias("number"), "n")
     pair = F.posexplode(F.arrays_zip("names", "keys")).alias("number", "phrase")
     named = tries.select("shard", pair).select("shard", "number", "phrase.names", "phrase.keys")
-    return named.join(counts, ["shard", "number"]).select(F.col("names").alias("lang"), F.col("keys").alias("key"), "n")
+    return named.join(total, ["shard", "number"]).select(F.col("names").alias("lang"), F.col("keys").alias("key"), "n")
 
 
 def collocations(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -414,10 +439,9 @@ def collocations(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(_UNDEFINED)).alias("lang")
     docs = docs.select(lang, "text")
-    vocabulary, seed = _vocabulary(docs)
+    vocabulary, single, seed = _vocabulary(docs, settings)
     totals = vocabulary.groupBy("lang").agg(F.sum("n").alias("n"))
-    single = vocabulary.where(F.col("n") >= settings.least).select("lang", "key", "n", "word")
-    candidates = _candidates(docs, vocabulary, seed, settings)
+    candidates = _candidates(docs, single, seed, settings)
     phrases = single.select("lang", "key", "n").where("false") if candidates is None else _counted(
         docs, candidates, seed, settings
     )
@@ -443,7 +467,8 @@ def collocations(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     lowest = F.min(F.struct("score", "k", "l", "r")).alias("cut")
     scored = cuts.groupBy("lang", "key").agg(F.first("a").alias("a"), F.first("n").alias("n"), lowest)
 
-    spelled = scored.select("lang", "key", F.posexplode(F.expr("transform(sequence(1, octet_length(key) div 8), i -> substring(key, 8 * i - 7, 8))")).alias("at", "part"))
+    each = F.expr("transform(sequence(1, octet_length(key) div 8), i -> substring(key, 8 * i - 7, 8))")
+    spelled = scored.select("lang", "key", F.posexplode(each).alias("at", "part"))
     spelled = spelled.join(single.select("lang", F.col("key").alias("part"), "word"), ["lang", "part"])
     spelled = spelled.groupBy("lang", "key").agg(F.sort_array(F.collect_list(F.struct("at", "word"))).alias("words"))
     scored = scored.join(spelled, ["lang", "key"]).select(

@@ -47,6 +47,15 @@ class Words:
         """Words i to j - 1, with a space between."""
         return b" ".join(self.data[s:e] for s, e in zip(self.starts[i:j], self.ends[i:j]))
 
+    def column(self, which: np.ndarray) -> pa.Array:
+        """The words of these numbers."""
+        size = self.ends[which] - self.starts[which]
+        offsets = np.concatenate(([0], np.cumsum(size)))
+        at = np.arange(offsets[-1]) + np.repeat(self.starts[which] - offsets[:-1], size)
+        held = np.frombuffer(self.data, np.uint8)[at]
+        buffers = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(held)]
+        return pa.Array.from_buffers(pa.large_binary(), len(size), buffers).cast(pa.binary()).cast(pa.string())
+
     def counts(self) -> np.ndarray:
         """Words of each text."""
         return np.bincount(self.text, minlength=self.texts)
