@@ -30,7 +30,9 @@ from lakegate.llm.common import list_array, rows_at_most, table
 from lakegate.plans.staging import stage
 
 # Elements and names by the HTML standard and common usage.
-_RAW = "script|style|noscript|template|iframe|svg|math|object|select|textarea|title|canvas|audio|video"
+_RAW = "script|style|iframe|textarea|title|noembed|noframes|xmp"
+# What these hold is no text of the page, if they are closed; other elements may stand in them.
+_HIDDEN = frozenset("svg object select canvas audio video template noscript datalist".split())
 _SKIPPED = frozenset("head nav header footer aside form button dialog menu".split())
 _BLOCKS = frozenset(
     "address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption "
@@ -40,7 +42,7 @@ _BLOCKS = frozenset(
 _CONTAINERS = frozenset(
     "article aside body button details dialog div dl fieldset figure footer form head header main menu nav ol "
     "section span table td tr ul".split()
-)
+) | _HIDDEN
 _BOILERPLATE_NAMES = (
     r"(?:ads?|adverts?|advertisements?|advertising|sponsored|sponsor|promos?|promotion|banner|cookies?|"
     r"consent|gdpr|notices?|notification|alert|newsletter|subscribe|subscription|sidebar|side-bar|menu|navbar|nav|"
@@ -60,9 +62,9 @@ _ARTICLE_NAMES = frozenset(
 )
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>|<[!?][^>]*>|</?[a-zA-Z!?][^>]*\Z|</?\Z",
+    rf"<!--.*?(?:-->|\Z)|<({_RAW})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)>"
+    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>|</?[a-zA-Z!?][^>]*\Z|</?\Z",
     re.S | re.I,
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -120,11 +122,16 @@ def _closed(tags: list[tuple[str, bool]]) -> list[bool]:
     return out
 
 
+def _is_empty(name: str, attributes: str) -> bool:
+    """Whether a start tag with a slash is the whole element: not so for those that hide what they hold."""
+    return attributes.endswith("/") and (name in ("svg", "math") or name not in _HIDDEN)
+
+
 def lines(page: str | None) -> tuple[list[str], list[int]]:
     """The text blocks of a page in order, and what the markup says of each."""
     texts: list[str] = []
     kinds: list[int] = []
-    inside: list[tuple[str, int, bool]] = []
+    inside: list[tuple[str, int, bool, bool]] = []
     held: list[str] = []
     kind, sealed, at = OPEN, False, 0
 
@@ -141,38 +148,50 @@ def lines(page: str | None) -> tuple[list[str], list[int]]:
         closes, name, attributes = (token[2], token[3], token[4]) if token[3] else (token[5], token[6], token[7])
         name = "" if token[1] or not name else name.lower()
         found.append((token.start(), token.end(), closes, name, attributes))
-    tags = [(t[3], bool(t[2])) for t in found if t[3] in _CONTAINERS and (t[2] or not t[4].endswith("/"))]
+    tags = [(t[3], bool(t[2])) for t in found if t[3] in _CONTAINERS and (t[2] or not _is_empty(t[3], t[4]))]
     closed = iter(_closed(tags))
+    names: dict[str, int] = {}  # how many elements of a name are open
+    hidden = 0  # how many open ones hide what they hold
     for start, end, closes, name, attributes in found:
-        held.append(page[at:start])
+        if not hidden:
+            held.append(page[at:start])
         at = end
         if not name:
             continue
-        if name in _BLOCKS:
+        if name in _BLOCKS and not hidden:
             flush()
         if name not in _CONTAINERS:
             continue
         if not closes:
-            if not attributes.endswith("/"):
+            if _is_empty(name, attributes):
+                continue
+            has_end, now, seals = next(closed), kind, False
+            hides = has_end and name in _HIDDEN
+            if not hidden and name not in _HIDDEN:
                 now, seals = _kind(name, attributes, kind, sealed)
                 if now != kind:
                     flush()
-                inside.append((name, kind, sealed))
-                kind, sealed = now, (next(closed) and seals) or sealed
+            inside.append((name, kind, sealed, hides))
+            names[name] = names.get(name, 0) + 1
+            hidden += hides
+            kind, sealed = now, (has_end and seals) or sealed
         else:
             next(closed)
-            if not any(n == name for n, *_ in inside):
+            if not names.get(name):
                 continue
             before = kind
             while True:
-                last, outer, sealed = inside.pop()
+                last, outer, sealed, hid = inside.pop()
+                names[last] -= 1
+                hidden -= hid
                 if last == name:
                     break
             if outer != before:
                 kind, after = before, outer
                 flush()
                 kind = after
-    held.append(page[at:])
+    if not hidden:
+        held.append(page[at:])
     flush()
     return texts, kinds
 

@@ -139,3 +139,74 @@ def test_body_outside_a_short_article_stays(spark):
     for number in (1, 2):
         assert text[number] == f"the body of page {number} runs on for much longer than its teaser\nteaser {number}"
     assert text[3] == ("a long article " * 9).strip()
+
+
+def test_elements_that_only_begin_like_raw_ones():
+    assert of_kind(ARTICLE, '<article><p>a</p><svg class="i"/><p>b</p><p>c</p></article>') == ["a", "b", "c"]
+    custom = "<article><p>a</p><video-player src=x></video-player><select-box>x</select-box><p>b</p></article>"
+    assert of_kind(ARTICLE, custom) == ["a", "x", "b"]
+    assert of_kind(ARTICLE, "<article><p>a <math><mi>x</mi><mo>=</mo></math> b</p></article>") == ["a x= b"]
+    assert lines("<script-like>x</script-like><title>t</title><p>y</p>")[0] == ["x", "y"]
+
+
+def test_hidden_elements_neither_show_nor_split_a_block():
+    drawing = "<svg><title>t</title><svg><text>no</text></svg><path d='M0'/>no</svg>"
+    assert lines(f"<p>one {drawing} two</p><p>three</p>")[0] == ["one two", "three"]
+    others = "<object data=x>alt<p>alt</p></object><template><div><p>t</p></div></template><select><option>o</select>"
+    assert lines(f"<article><p>a</p>{others}<p>b</p></article>") == (["a", "b"], [ARTICLE, ARTICLE])
+    # What never ends hides nothing, nor does what ends with its parent.
+    assert lines("<article><video><p>a</p></article><p>b") == (["a", "b"], [ARTICLE, OPEN])
+    assert lines("<p>a<canvas>b")[0] == ["ab"]
+
+
+def test_malformed_pages_take_linear_time():
+    import time
+
+    start = time.process_time()
+    assert lines("<div>" * 50_000 + "text" + "</span>" * 50_000)[0] == ["text"]
+    assert lines("<div>" * 50_000 + "<span>text" + "</span>" * 50_000 + "</p>" * 50_000)[0] == ["text"]
+    assert time.process_time() - start < 10
+
+
+def test_query_against_a_plain_version(spark):
+    """All pages of a table: neighbours by sorting, shared lines by the recurrence, no Spark."""
+    import re
+    from collections import defaultdict
+
+    sf_dir = "/root/testdata/sf0.001"
+    rows = spark.read.parquet(f"{sf_dir}/pages.parquet").collect()
+    hosts = defaultdict(dict)
+    for r in rows:
+        host, path = re.match(r"^(?:(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*))?(.*)$", r.url or "", re.S).groups()
+        body = tuple(lines(r.html)[0])
+        if body:
+            known = hosts[(host or "").lower()]
+            known[body] = min(path, known.get(body, path))
+
+    def alike(a, b):
+        same = 0
+        for x, y in zip(a.split("/"), b.split("/")):
+            if x != y:
+                break
+            same += 1
+        return len("/".join(a.split("/")[:same]))
+
+    template = {}
+    for host, known in hosts.items():
+        order = sorted(known, key=lambda body: known[body])
+        for i, body in enumerate(order):
+            near = [(alike(known[body], known[order[j]]), j < i, j) for j in (i - 1, i + 1) if 0 <= j < len(order)]
+            partner = order[max(near)[2]] if near else ()
+            template[host, body] = lcs_length(body, partner)
+    found = {r.page_id: r for r in html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet")).collect()}
+    checked = 0
+    for r in rows:
+        texts, kinds = lines(r.html)
+        host = re.match(r"^(?:(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*))?", r.url or "")[1]
+        copies = sum(tuple(lines(o.html)[0]) == tuple(texts) and host == re.match(
+            r"^(?:(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*))?", o.url or "")[1] for o in rows)
+        assert found[r.page_id].text == "\n".join(t for t, k in zip(texts, kinds) if k == ARTICLE)
+        if texts and copies == 1:
+            assert found[r.page_id].shared_lines == template[(host or "").lower(), tuple(texts)]
+            checked += 1
+    assert checked > 0.9 * len(rows) or checked > 20
