@@ -34,63 +34,74 @@ def is_one_json_value(in_array: Column, raw: Column) -> Column:
 
 # JSON as the source's own parser reads it: strings of any length, NaN and Infinity.
 READ_AS_TEXT = {"maxStringLen": "2147483647", "allowSingleQuotes": "false"}
+_SPACE = r"[ \t\r\n]*"
 
 
-def document_text(raw: Column) -> Column:
-    """``raw`` respelled if it is exactly one JSON value, NULL if not.
-
-    For documents that no VARIANT holds: longer ones, and those with very long
-    strings or with ``NaN``. The two wrappings admit a single value only, see
-    :func:`is_one_json_value`.
-    """
-    in_array = F.from_json(F.concat(F.lit("["), raw, F.lit("]")), "array<string>", READ_AS_TEXT)
-    in_object = F.from_json(
-        F.concat(F.lit('{"d":'), raw, F.lit("}")), "_corrupt_record string", READ_AS_TEXT
-    )
-    is_one = (F.size(in_array) == 1) & in_object["_corrupt_record"].isNull()
-    return F.when(is_one, F.get(in_array, F.lit(0)))
+def _well_formed(before: str, raw: Column, after: str) -> Column:
+    """A token scan that copies nothing."""
+    wrapped = F.concat(F.lit(before), raw, F.lit(after))
+    return F.from_json(wrapped, "_corrupt_record string", READ_AS_TEXT)["_corrupt_record"].isNull()
 
 
-def with_page_parts(frame: DataFrame, raw: str = "raw_text") -> DataFrame:
+def with_page_parts(frame: DataFrame, raw: str = "raw_text", whole: bool = True) -> DataFrame:
     """Add ``_is_json``, ``_is_pair``, ``_metadata``, ``_records`` and ``_evidence``.
 
-    A page is an array of two: metadata (a variant) and records (an array of
-    variants, NULL if it is no array). ``_evidence`` is the whole document as compact
-    text. A document is parsed into one VARIANT; only where that is impossible
-    its parts are read as text first, so that no more than one record has to
-    fit, and then into variants of their own. (There a string that spells a JSON
-    value is taken for that value.)
+    A page is an array of two: metadata (a variant; NULL if the parts are read one by one and it
+    is no object) and records (an array of variants, NULL if it is no array). ``_evidence`` is
+    the whole document as compact text. Numbers JSON does not know, such as ``NaN``, and strings
+    of any length are read like all others, so no record's outcome depends on its neighbours.
+
+    A document larger than any variant (128 MiB), or all of them if ``whole`` is false, is cut
+    into the texts of its two parts, and each record is read into a variant of its own, of which
+    the kind and the members are those that the document as a whole gives. Only numbers of more
+    than 17 digits come out as doubles there, and ``NaN`` as text. The text of a part that is a
+    string comes without its quotes, so kinds are told by the brackets around the parts.
     """
     text = F.col(raw)
-    parsed = frame.withColumn("_in_array", parse_in_array(text)).withColumn(
-        "_held", is_one_json_value(F.col("_in_array"), text)
-    )
-    read = parsed.withColumn("_text", F.when(~F.col("_held"), document_text(text))).withColumn(
-        "_items", F.from_json("_text", "array<string>", READ_AS_TEXT)
+    in_array = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<variant>", READ_AS_TEXT)
+    one = F.col("_in_array") if whole else F.lit(None).cast("array<variant>")
+    value = F.when(F.size(one) == 1, F.get(one, F.lit(0)))
+    # A null may be all of the document; an array of nothing is what blank text gives.
+    is_blank = text.rlike(rf"\A{_SPACE}\z")
+    ends = _well_formed('{"d":', text, "}")
+    parsed = frame.withColumns({"_in_array": in_array, "_one": ends & ~is_blank}).withColumns(
+        {"_value": value, "_cut": F.col("_one") & F.coalesce(F.size(one) < 0, F.lit(True))}
     )
-    held, value = F.col("_held"), F.col("_in_array")
+    # For the two scans that admit a single value only see is_one_json_value.
+    cut = F.col("_cut") & _well_formed('{"d":[', text, "]}")
+    parts = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<array<string>>", READ_AS_TEXT)
+    parsed = parsed.withColumn("_cut", F.coalesce(cut, F.lit(False)))
+    parsed = parsed.withColumn("_parts", F.when(F.col("_cut"), F.get(parts, F.lit(0))))
+    held = F.col("_one") & (F.size(one) == 1)
+    value = F.col("_value")
     is_pair = (
-        is_array_at(value, "$[0]")
-        & variant_at(value, "$[0][1]").isNotNull()
-        & variant_at(value, "$[0][2]").isNull()
+        is_array_at(value, "$")
+        & variant_at(value, "$[1]").isNotNull()
+        & variant_at(value, "$[2]").isNull()
     )
-    items = F.from_json(F.get("_items", F.lit(1)), "array<string>", READ_AS_TEXT)
     null = F.parse_json(F.lit("null"))
-    records = F.transform(items, lambda item: F.coalesce(_variant_of(item), null))
-    metadata = _variant_of(F.get("_items", F.lit(0)))
-    return read.withColumns(
+    records = F.from_json(F.get("_parts", F.lit(1)), "array<variant>", READ_AS_TEXT)
+    records = F.transform(records, lambda item: F.coalesce(item, null))
+    metadata = F.from_json(F.get("_parts", F.lit(0)), "variant", READ_AS_TEXT)
+    starts_with_object = text.rlike(rf"\A{_SPACE}\[{_SPACE}\{{")
+    ends_in_array = _without_end(text).endswith("]")
+    two = F.col("_cut") & (F.size("_parts") == 2)
+    return parsed.withColumns(
         {
-            "_is_json": held | F.col("_text").isNotNull(),
-            "_is_pair": F.when(held, is_pair).otherwise(F.coalesce(F.size("_items") == 2, F.lit(False))),
-            "_metadata": F.when(held, variant_at(value, "$[0][0]")).otherwise(metadata),
-            "_records": F.when(held, array_at(value, "$[0][1]")).otherwise(records),
-            "_evidence": F.when(held, F.to_json(variant_at(value, "$[0]"))).otherwise(F.col("_text")),
+            "_is_json": F.coalesce(held | F.col("_cut"), F.lit(False)),
+            "_is_pair": F.coalesce(F.when(F.col("_cut"), two).otherwise(held & is_pair), F.lit(False)),
+            "_metadata": F.when(~F.col("_cut"), variant_at(value, "$[0]")).when(two & starts_with_object, metadata),
+            "_records": F.when(~F.col("_cut"), array_at(value, "$[1]")).when(two & ends_in_array, records),
+            "_evidence": F.when(held, F.to_json(F.coalesce(value, null))).otherwise(text),
         }
-    ).drop("_in_array", "_held", "_text", "_items")
+    ).drop("_in_array", "_one", "_value", "_cut", "_parts")
 
 
-def _variant_of(text: Column) -> Column:
-    return F.from_json(text, "variant", READ_AS_TEXT)
+def _without_end(raw: Column) -> Column:
+    """The text before the last bracket or brace, without white space at its end."""
+    space = F.lit(" \t\r\n")
+    trimmed = F.rtrim(raw, space)
+    return F.rtrim(F.left(trimmed, F.char_length(trimmed) - 1), space)
 
 
 def whole_number(value: Column) -> Column:

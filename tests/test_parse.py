@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from lakegate.functions.json_text import with_page_parts
 from lakegate.operators.parse import parse_documents
 from tests.conftest import document, record, without
 
@@ -184,6 +185,45 @@ def test_numbers_that_json_does_not_know_spoil_no_other_record(documents):
     assert rows[1]["observation_value_raw"] == "4050" and rows[1]["observation_year_raw"] == "2023"
 
 
+def test_a_neighbour_changes_no_record(documents):
+    """Odd numbers, long texts and spelled-out JSON beside a record leave its row as it is."""
+    own = [
+        json.dumps(record()),
+        json.dumps(json.dumps(record())),  # a string that spells an object
+        '"[1]"', "7", "1e30", "null", "[1]", "{}", json.dumps(without("country")),
+        json.dumps(record(value=0.1, extra="x")),
+    ]
+    neighbours = ["NaN", '{"a":NaN}', json.dumps(record(value=float("inf"))), json.dumps("y" * 100_000), '"]]"']
+    plain = events(documents(("a", "[{}, [" + ", ".join(own) + "] ]")))
+    for neighbour in neighbours:
+        beside = events(documents(("a", "[{},[" + ",".join([*own, neighbour]) + "]]\n")))
+        assert beside[: len(own)] == plain
+    assert [r["rejection_reason"] for r in plain[:7]] == [None] + ["RECORD_NOT_OBJECT"] * 6
+
+
+def test_parts_that_are_strings_are_no_page(documents):
+    texts = ['[{},"[{}]"]', '["{}","[]"]', '"[{},[]]"', '[{},"[]]"]', '[{},[]],"d":[]', "[{},[]]}", "", " "]
+    rows = events(*[documents(*((str(i), text) for i, text in enumerate(texts)))])
+    reasons = {r["source_file"]: r["rejection_reason"].split(":")[0] for r in rows}
+    shape, malformed = "INVALID_DOCUMENT_SHAPE", "MALFORMED_JSON"
+    assert reasons == {**{str(i): shape for i in range(4)}, **{str(i): malformed for i in (4, 5, 6, 7)}}
+
+
+def test_pages_read_in_parts_are_those_read_whole(documents):
+    """What a document beyond the size of a variant goes through, on small ones."""
+    records = [record(), json.dumps(record()), "[1]", 7, None, [], {}, without("country"), record(value=0.25, more=1)]
+    texts = [document(*records), f" [ null , {json.dumps(records)} ] ", "[{},[]]", "[1,[{}]]", "[[],[1]]", '["{}","[]"]']
+    texts += ['[{},"[{}]"]', '"[{},[]]"', "[{},{}]", "[{}]", "[{},[],[]]", "{}", "7", "null", "", "[{},[]] x", '[1],"d":[2]']
+    frame = documents(*((str(i), text) for i, text in enumerate(texts)))
+    parts = ["_is_json", "_is_pair", F.to_json("_metadata").alias("m"), F.col("_records").cast("array<string>").alias("r")]
+
+    def opened(whole):
+        rows = with_page_parts(frame, whole=whole).select("source_file", *parts).collect()
+        return {r.source_file: (r._is_json, r._is_pair, r.m if (r.m or "").startswith("{") else None, r.r) for r in rows}
+
+    assert opened(False) == opened(True)
+
+
 def test_requires_document_columns(spark):
     frame = spark.createDataFrame([("a",)], "source_file string")
     with pytest.raises(ValueError, match=r"Documents DataFrame is missing columns: \['raw_text'\]"):
