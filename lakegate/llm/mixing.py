@@ -4,30 +4,29 @@ Weights are whole units of a period. Block j of a source with q of the period's
 the release time floor(j Q / q) and the deadline ceil((j + 1) Q / q), in slots of one block.
 Earliest deadline first among the released blocks meets every deadline, so at any slot a
 source is less than one block away from its target. The schedule repeats after a period:
-one period is laid out once (``PERIOD`` slots, whatever the data), and every block of the
-corpus finds its slot in it, in parallel. The period is longer only if the caller gives
-weights to more sources than it holds.
+one period is laid out once, by one task that holds a row per source, and every block of the
+corpus finds its slot in it, in parallel. A period has ``PERIOD`` slots, or eight times as many
+as there are sources: every source, however small, has windows of its own.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Iterator, Mapping
 from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakegate.llm.common import ranked, table
+from lakegate.plans.staging import stage
 
 PERIOD = 1 << 16
 BLOCK_ROWS = 16
 MAX_SHARE = 1 / 3
-# Sources below the largest ones share the slots of one entry of the period, in hash order, so
-# that one period holds any number of them. They are never capped, and given weights name theirs.
-NAMED_SOURCES = 4096
+_ROWS = 1 << 16
 
 
 def units(weights: list[float], period: int = PERIOD) -> list[int]:
@@ -35,15 +34,16 @@ def units(weights: list[float], period: int = PERIOD) -> list[int]:
     spare = period - len(weights)
     if spare < 0:
         raise ValueError("more sources than slots in a period")
-    total = Fraction(0)
     exact = [Fraction(w) for w in weights]
-    total = sum(exact, total)
-    shares = [w / total * spare for w in exact]
-    whole = [int(s) for s in shares]
-    by_rest = sorted(range(len(weights)), key=lambda i: (whole[i] - shares[i], i))
-    for i in by_rest[: spare - sum(whole)]:
-        whole[i] += 1
-    return [1 + w for w in whole]
+    scale = math.lcm(*{w.denominator for w in exact})
+    whole = [int(w * scale) for w in exact]
+    total = sum(whole)
+    parts = [divmod(w * spare, total) for w in whole]
+    by_rest = sorted(range(len(weights)), key=lambda i: (-parts[i][1], i))
+    out = [1 + p for p, _ in parts]
+    for i in by_rest[: spare - sum(p for p, _ in parts)]:
+        out[i] += 1
+    return out
 
 
 def one_period(share: list[int]) -> list[list[int]]:
@@ -64,156 +64,145 @@ def one_period(share: list[int]) -> list[list[int]]:
     return slots
 
 
-def capped(counts: list[int], max_share: float, pooled: int = 0) -> tuple[list[float], list[bool]]:
-    """Natural shares with none above ``max_share`` (or an equal share, if that is more); who was capped.
-
-    With ``pooled`` the last count is that of so many smaller sources together. Fewer than
-    1 / limit sources can be over, so none of these is if that many larger ones are listed.
-    """
-    sources = len(counts) + max(pooled - 1, 0)
-    limit = max(max_share, 1 / sources)
-    single = range(len(counts) - (pooled > 0))
+def capped(counts: list[int], max_share: float) -> tuple[list[float], list[bool]]:
+    """Natural shares with none above ``max_share`` (or an equal share, if that is more); who was capped."""
+    limit = max(max_share, 1 / len(counts))
     over: set[int] = set()
     while True:
         rest = sum(n for i, n in enumerate(counts) if i not in over)
         left = 1 - limit * len(over)
-        more = {i for i in single if i not in over and counts[i] * left > limit * rest * (1 + 1e-9)}
-        if not more or len(over | more) == sources:
+        more = {i for i, n in enumerate(counts) if i not in over and n * left > limit * rest * (1 + 1e-9)}
+        if not more or len(over | more) == len(counts):
             weights = [limit if i in over else left * n / rest for i, n in enumerate(counts)]
             return weights, [i in over for i in range(len(counts))]
         over |= more
 
 
-@dataclass(frozen=True)
-class Plan:
-    """One period: units and slots of each source, and the slot at which the mix ends for it."""
-
-    sources: list[str | None]
-    units: list[int]
-    slots: list[list[int]]
-    ends: list[int]
-
-
-def plan(
-    counts: Mapping[str | None, int],
+def lay_out(
+    counts: Mapping[str, int],
     weights: Mapping[str, float] | None,
-    max_share: float,
+    max_share: float | None,
     block_rows: int,
-    period: int = PERIOD,
-    pooled: int = 0,
-) -> Plan:
-    """Lay out a period. With ``weights`` the mix ends when the first source runs out.
-
-    Without, weights are the sources' own shares, none above ``max_share``; every source that was
-    not capped is in the mix to its last block, and a capped one up to its share of the rows
-    mixed. The count of None, if there is one, is that of ``pooled`` smaller sources.
+    period: int,
+) -> Iterator[tuple[str, int, list[int], int | None]]:
+    """For each source its name, units, slots in a period, and the slot at which the mix ends for it (None: never).
+
+    With ``weights`` the mix ends when the first source runs out. Without, weights are the
+    sources' own shares, and each is in the mix to its last block. With ``max_share`` no weight
+    is above it, and a source that had more is in the mix up to its share of the rows mixed.
     """
-    names = sorted((n for n in counts if weights is None or weights.get(n, 0) > 0), key=lambda n: (n is None, n))
+    names = sorted(n for n in counts if weights is None or weights.get(n, 0) > 0)
     if not names:
-        return Plan([], [], [], [])
-    if weights is None:
-        wanted, over = capped([counts[n] for n in names], max_share, pooled)
+        return
+    over = [False] * len(names)
+    if weights is not None:
+        wanted: list[float] = [float(weights[n]) for n in names]
+    elif max_share is not None:
+        wanted, over = capped([counts[n] for n in names], max_share)
     else:
-        wanted, over = [float(weights[n]) for n in names], [False] * len(names)
-    share = units(wanted, period)
+        wanted = [counts[n] for n in names]
+    share = units(wanted, max(period, 1 << (8 * len(names)).bit_length()))
+    turn = sum(share)
     slots = one_period(share)
 
     def end(i: int, rows: float) -> int:
         block = math.ceil(rows / block_rows) - 1
-        return block // share[i] * period + slots[i][block % share[i]] + 1
+        return block // share[i] * turn + slots[i][block % share[i]] + 1
 
+    ends: list[int | None] = [None] * len(names)
     if weights is not None:
-        return Plan(names, share, slots, [min(end(i, counts[n]) for i, n in enumerate(names))] * len(names))
-    # Small sources fill no whole blocks, so a capped one is cut by rows and not where they end.
-    rows = sum(counts[n] for n, cut in zip(names, over) if not cut)
-    left = sum(w for w, cut in zip(wanted, over) if not cut)
-    kept = [wanted[i] / left * rows if cut else counts[names[i]] for i, cut in enumerate(over)]
-    return Plan(names, share, slots, [end(i, n) for i, n in enumerate(kept)])
+        ends = [min(end(i, counts[n]) for i, n in enumerate(names))] * len(names)
+    elif any(over):
+        # Small sources fill no whole blocks, so a capped one is cut by rows and not where they end.
+        rows = sum(counts[n] for n, cut in zip(names, over) if not cut)
+        left = sum(w for w, cut in zip(wanted, over) if not cut)
+        ends = [end(i, wanted[i] / left * rows) if cut else None for i, cut in enumerate(over)]
+    yield from zip(names, share, slots, ends)
+
+
+_PERIOD = "named string, q long, ends long, turn long, k long, at long"
+
+
+def _layout(weights: Mapping[str, float] | None, max_share: float | None, block_rows: int, period: int):
+    """One period from the counts of all sources: a row per slot."""
+
+    def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, int] = {}
+        for batch in batches:
+            counts.update(zip(batch.column("source").to_pylist(), batch.column("count").to_pylist()))
+        laid = list(lay_out(counts, weights, max_share, block_rows, period))
+        turn = sum(q for _, q, _, _ in laid)
+        for name, q, slots, end in laid:
+            for low in range(0, q, _ROWS):
+                own = slots[low : low + _ROWS]
+                of_source = ((name, pa.string()), (q, pa.int64()), (end, pa.int64()), (turn, pa.int64()))
+                same = [pa.array([v] * len(own), kind) for v, kind in of_source]
+                places = [pa.array(range(low, low + len(own)), pa.int64()), pa.array(own, pa.int64())]
+                yield pa.RecordBatch.from_arrays([*same, *places], names=[c.split()[0] for c in _PERIOD.split(", ")])
+
+    return lay
 
 
 def schedule(
     docs: DataFrame,
     weights: Mapping[str, float] | None = None,
-    max_share: float = MAX_SHARE,
+    max_share: float | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Every row of ``docs``: doc_id, source, block, slot, release, deadline, in_mix.
 
     ``block`` numbers the source's blocks of ``block_rows`` documents (in hash order of
-    ``doc_id``), ``slot`` is the block's place in the mix; ``in_mix`` is false for the surplus
-    of a source beyond the end of the mix. A null source is a source of its own, named by the
-    empty text together with the sources so named. Sources that ``weights`` does not name, or
-    gives no weight, have null slots and are not in the mix. Rows that repeat are scheduled
-    each. An empty table gives no rows. Only ``doc_id`` and ``source`` are read.
-
-    Without ``weights``, the sources below the ``NAMED_SOURCES`` largest are laid out together:
-    their documents are numbered in common blocks and all of them are in the mix. With
-    ``weights`` every source they name has blocks of its own, and the period grows with them.
+    ``doc_id``), ``slot`` is the block's place in the mix; ``in_mix`` is false beyond the end of
+    the mix. A null source is a source of its own, named by the empty text together with the
+    sources so named. Weights are the sources' own shares, and all rows are in the mix, unless
+    ``weights`` gives others: the mix ends when the first source runs out, and sources without a
+    weight have null slots and are not in it. With ``max_share`` no source has a larger weight,
+    and its surplus is not in the mix. Rows that repeat are scheduled each. An empty table gives
+    no rows. Only ``doc_id`` and ``source`` are read.
     """
-    spark = docs.sparkSession
     slim = docs.select("doc_id", F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"))
     sizes = slim.groupBy("source").count()
-    pooled = 0
-    if weights is None:
-        total = sizes.agg(F.count("count").alias("sources"), F.sum("count").alias("rows")).first()
-        # Fewer sources than this can be above the cap: all that can are among the largest.
-        above = int(1 / max(max_share, 1 / max(total["sources"], 1))) + 1
-        largest = sizes.orderBy(F.desc("count"), "source").limit(max(NAMED_SOURCES, above)).collect()
-        counts: dict[str | None, int] = {r["source"]: r["count"] for r in largest}
-        pooled = total["sources"] - len(counts)
-        named = spark.createDataFrame([(n,) for n in counts], "_mixed string")
-        # Null is the entry of all smaller sources.
-        slim = slim.join(F.broadcast(named), F.col("source") == F.col("_mixed"), "left")
-        if pooled:
-            counts[None] = total["rows"] - sum(counts.values())
-    else:
-        named = spark.createDataFrame([(n,) for n, w in weights.items() if w > 0], "_named string")
-        found = sizes.join(F.broadcast(named), F.col("source") == F.col("_named"), "left_semi").collect()
-        counts = {r["source"]: r["count"] for r in found}
-        slim = slim.withColumn("_mixed", F.col("source"))
-    period = max(PERIOD, 1 << (8 * len(counts)).bit_length())
-    made = plan(counts, weights, max_share, block_rows, period, pooled)
-    # As long as the period and the named sources: both may be broadcast whatever the data.
-    places = spark.createDataFrame(
-        [(n, k, s) for n, own in zip(made.sources, made.slots) for k, s in enumerate(own)],
-        "_place string, _k long, _slot long",
-    )
-    shares = spark.createDataFrame(list(zip(made.sources, made.units, made.ends)), "_share string, _q long, _end long")
-    rows = ranked(slim, "_mixed", F.col("doc_id"), [F.xxhash64("doc_id"), F.col("doc_id")])
+    # One row per source: the schedule is one sequence, whoever lays it out.
+    period = sizes.repartition(1).mapInArrow(_layout(weights, max_share, block_rows, PERIOD), _PERIOD)
+    period = stage(period, "mix-period")
+    shares = period.where("k = 0").select("named", "q", "ends", "turn")
+    places = period.select(F.col("named").alias("_place"), "k", "at")
+    rows = ranked(slim, "source", F.col("doc_id"), [F.xxhash64("doc_id"), F.col("doc_id")])
     rows = rows.withColumn("block", (F.col("rank") / block_rows).cast("long"))
-    rows = rows.join(F.broadcast(shares), F.col("_mixed").eqNullSafe(F.col("_share")), "left")
-    rows = rows.withColumn("_at", F.col("block") % F.col("_q"))
-    rows = rows.join(
-        F.broadcast(places), F.col("_mixed").eqNullSafe(F.col("_place")) & (F.col("_at") == F.col("_k")), "left"
-    )
-    turn, block = F.lit(period), F.col("block")
+    rows = rows.join(shares, F.col("source") == F.col("named"), "left").withColumn("_k", F.col("block") % F.col("q"))
+    rows = rows.join(places, (F.col("source") == F.col("_place")) & (F.col("_k") == F.col("k")), "left")
+    slot = F.expr("block div q * turn + at")
     return rows.select(
         "doc_id",
         "source",
         "block",
-        (F.floor(block / F.col("_q")) * turn + F.col("_slot")).alias("slot"),
-        F.expr(f"(block * {period}L) div _q").alias("release"),
-        F.expr(f"((block + 1) * {period}L + _q - 1) div _q").alias("deadline"),
-        "_end",
-    ).select("*", F.coalesce(F.col("slot") < F.col("_end"), F.lit(False)).alias("in_mix")).drop("_end")
+        slot.alias("slot"),
+        F.expr("(block * turn) div q").alias("release"),
+        F.expr("((block + 1) * turn + q - 1) div q").alias("deadline"),
+        (slot.isNotNull() & F.coalesce(slot < F.col("ends"), F.lit(True))).alias("in_mix"),
+    )
 
 
 def mix(
-    docs: DataFrame, weights: Mapping[str, float] | None = None, max_share: float = MAX_SHARE
+    docs: DataFrame, weights: Mapping[str, float] | None = None, max_share: float | None = None
 ) -> DataFrame:
-    """``docs`` without the surplus of the sources that have more than their target.
+    """``docs`` in the order of their slots; without those beyond the end of the mix, if weights ask for it.
 
-    Rows are told by ``doc_id``: rows that repeat one leave together, and a row without one
-    stays. An empty table stays empty; all columns are kept.
+    Rows are told by ``doc_id``: rows that repeat one stand together, at the first of their slots,
+    as do rows without one. An empty table stays empty; all columns are kept. Partitions are
+    ranges of slots, in order, so written files hold the interleave.
     """
-    surplus = schedule(docs, weights, max_share).where(~F.col("in_mix"))
-    surplus = surplus.select(F.col("doc_id").alias("_surplus"))
-    return docs.join(surplus, F.col("doc_id") == F.col("_surplus"), "left_anti")
+    planned = schedule(docs, weights, max_share).where("in_mix")
+    slots = planned.groupBy(F.col("doc_id").alias("_id")).agg(F.min("slot").alias("_slot"))
+    own = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_own"))
+    placed = own.join(slots, F.col("_own").eqNullSafe(F.col("_id")))
+    ordered = placed.repartitionByRange("_slot", F.xxhash64("_own")).sortWithinPartitions("_slot", F.xxhash64("_own"))
+    return ordered.select("_row.*")
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its place in a mix in which no source has more than a third."""
-    return schedule(table(spark, sf_dir, "documents"))
+    return schedule(table(spark, sf_dir, "documents"), max_share=MAX_SHARE)
 
 
 QUERIES = {"op4_mixing": (op4_mixing, None)}

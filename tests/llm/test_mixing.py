@@ -38,7 +38,8 @@ def docs(spark, sizes, extra=()):
 
 
 def test_hot_source_is_cut_to_its_target_and_the_rest_stays_whole(spark):
-    rows = mixing.schedule(docs(spark, [("hot", 4000), ("a", 700), ("b", 500), (None, 300)]), block_rows=4).collect()
+    frame = docs(spark, [("hot", 4000), ("a", 700), ("b", 500), (None, 300)])
+    rows = mixing.schedule(frame, max_share=1 / 3, block_rows=4).collect()
     assert len(rows) == 5500
     mixed = Counter(r.source for r in rows if r.in_mix)
     assert (mixed["a"], mixed["b"], mixed[""]) == (700, 500, 300)
@@ -70,35 +71,79 @@ def test_empty_repeated_and_null_ids(spark):
     assert mixing.schedule(same).count() == 6 and mixing.mix(same).count() == 6
 
 
-def test_many_small_sources_are_never_capped_as_one(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "NAMED_SOURCES", 2)
-    tail = [(f"site{i}", 2) for i in range(600)]
-    frame = docs(spark, [("hot", 1000), ("a", 50), ("\0rest", 40), *tail])
-    rows = mixing.schedule(frame, block_rows=4).collect()
-    assert len(rows) == 2290
-    mixed = Counter(r.source for r in rows if r.in_mix)
-    assert all(mixed[s] == n for s, n in [("a", 50), ("\0rest", 40), *tail])
-    assert abs(mixed["hot"] - 645) <= 8
-    assert all(r.release <= r.slot < r.deadline for r in rows)
-    assert max(Counter(r.slot for r in rows).values()) == 4
-    assert mixing.mix(frame).count() == 1290 + 656  # 41 blocks of 16
-    # All sources above the cap are found, however few are named.
-    weights, over = mixing.capped([40, 40, 20], 0.3, pooled=10)
-    assert over == [True, True, False] and math.isclose(weights[2], 0.4)
-    both = docs(spark, [("x", 400), ("y", 390), ("w", 3), *((f"s{i}", 10) for i in range(20))])
-    mixed = Counter(r.source for r in mixing.schedule(both, max_share=0.3, block_rows=2).collect() if r.in_mix)
-    assert mixed["w"] == 3 and sum(n for s, n in mixed.items() if s[0] == "s") == 200
-    assert abs(mixed["x"] - 152) <= 6 and abs(mixed["y"] - 152) <= 6
+def test_more_sources_than_any_cap_have_windows_of_their_own(spark):
+    """Less than one block of deviation for each of 5,000 sources, at every slot."""
+    tail = [(f"site{i}", 1 + i % 7) for i in range(5000)]
+    frame = docs(spark, [("hot", 9000), ("a", 50), *tail])
+    rows = mixing.schedule(frame, block_rows=2).collect()
+    sizes = Counter(r.source for r in rows)
+    assert sizes == {"hot": 9000, "a": 50, **dict(tail)}
+    assert all(r.in_mix and r.release <= r.slot < r.deadline for r in rows)
+    blocks = Counter((r.source, r.block) for r in rows)
+    assert len({r.slot for r in rows}) == len(blocks) and max(blocks.values()) == 2
+    # A block inside its window is less than a block away from its source's line.
+    turn = max(mixing.PERIOD, 1 << (8 * len(sizes)).bit_length())
+    names = sorted(sizes)
+    share = dict(zip(names, mixing.units([sizes[n] for n in names], turn)))
+    for r in rows:
+        q = share[r.source]
+        assert r.block * turn / q - 1 < r.slot < (r.block + 1) * turn / q
+        assert r.slot * q / turn - 1 < r.block + 1 and r.block < (r.slot + 1) * q / turn
+    # Nothing leaves unless weights ask for it, whatever the sizes.
+    assert mixing.mix(frame).count() == len(rows)
+
+
+def test_mix_is_written_in_the_order_of_slots(spark, tmp_path):
+    frame = docs(spark, [("a", 600), ("b", 300), ("c", 100)], [(None, None, "t"), (5, "a", "u")])
+    mixed = mixing.mix(frame)
+    assert mixed.columns == frame.columns and mixed.count() == 1002
+    slot = {r.doc_id: r.slot for r in mixing.schedule(frame).collect() if r.doc_id != 5}
+    mixed.write.parquet(str(tmp_path / "mixed"))
+    files = sorted((tmp_path / "mixed").glob("part-*"))
+    order = [i for f in files for i in spark.read.parquet(str(f)).toPandas()["doc_id"]]
+    own = [slot[i] for i in order if i == i and i != 5]
+    assert own == sorted(own) and len(own) == 999  # 5 stands at the first slot of its rows
+    # A source has its share of any stretch, give or take a block of 16 at either end.
+    source = {r.doc_id: r.source for r in frame.collect()}
+    stretch = Counter(source[i] for i in order[200:700] if i == i)
+    assert abs(stretch["a"] - 300) <= 40 and abs(stretch["b"] - 150) <= 40
 
 
 def test_given_weights_reach_sources_of_any_size(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "NAMED_SOURCES", 2)
     frame = docs(spark, [("big", 300), ("large", 200), ("small", 40), ("least", 20)])
     rows = mixing.schedule(frame, {"small": 2, "least": 1}, block_rows=1).collect()
     mixed = Counter(r.source for r in rows if r.in_mix)
     assert set(mixed) == {"small", "least"}
     assert mixed["small"] >= 39 and mixed["least"] >= 19
+    assert {r.source for r in mixing.mix(frame, {"small": 2, "least": 1}).collect()} == {"small", "least"}
     monkeypatch.setattr(mixing, "PERIOD", 2)
     rows = mixing.schedule(frame, {"small": 2, "least": 1, "big": 1}, block_rows=1).collect()
     mixed = Counter(r.source for r in rows if r.in_mix)
     assert set(mixed) == {"small", "least", "big"}
+
+
+def test_query_against_a_plain_schedule(spark):
+    """Earliest deadline first over the query's own weights, walked slot by slot for the whole mix."""
+    sf_dir = "/root/testdata/sf0.001"
+    rows = mixing.op4_mixing(spark, sf_dir).collect()
+    sizes = Counter(r.source or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect())
+    assert Counter(r.source for r in rows) == sizes
+    names = sorted(sizes)
+    weights, over = mixing.capped([sizes[n] for n in names], mixing.MAX_SHARE)
+    share = mixing.units(weights, mixing.PERIOD)
+    turn = sum(share)
+    blocks = {n: -(-sizes[n] // mixing.BLOCK_ROWS) for n in names}
+    found = {(r.source, r.block): r.slot for r in rows}
+    assert set(found) == {(n, b) for n in names for b in range(blocks[n])}
+    nexts, plain = dict.fromkeys(names, 0), {}
+    for slot in range(max(found.values()) + 1):
+        ready = [
+            (-(-(nexts[n] + 1) * turn // q), i, n)
+            for i, (n, q) in enumerate(zip(names, share))
+            if nexts[n] * turn // q <= slot
+        ]
+        _, _, n = min(ready)
+        plain[n, nexts[n]] = slot
+        nexts[n] += 1
+    assert {k: plain[k] for k in found} == found
+    assert not any(over) and all(r.in_mix for r in rows)
