@@ -62,6 +62,11 @@ def source_fingerprint(
     return content_sha256(body)
 
 
+def manifest_bucket(run_id: Column) -> Column:
+    """One of sixteen buckets a run's manifests are kept in."""
+    return F.substring(F.md5(run_id.cast("binary")), 1, 1)
+
+
 def manifest_folder(root: str) -> str:
     return f"{root.rstrip('/')}/{SOURCE_PREFIX}"
 

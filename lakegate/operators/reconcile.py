@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakegate.functions.casts import lenient_long
@@ -12,6 +12,8 @@ from lakegate.operators.landing import page_numbers
 
 # Pages one expansion step writes; a run of any length is cut into such blocks.
 PAGE_BLOCK = 10_000
+# Pages of a run that are put in order together.
+PAGE_SPAN = 1 << 20
 
 
 def total_in_metadata(raw_text: Column) -> Column:
@@ -87,6 +89,37 @@ def missing_pages(runs: DataFrame, landed: DataFrame) -> DataFrame:
     )
 
 
+def missing_page_ranges(runs: DataFrame, landed: DataFrame) -> DataFrame:
+    """Stretches of expected pages that never landed: ``run_id, from_page, to_page``.
+
+    The work follows the pages there are, whatever number is declared: a page is compared with
+    the one before it. Pages are ordered in blocks of ``PAGE_SPAN`` numbers, so no run is sorted
+    in one task; the last page before a block comes from the blocks' own ends.
+    ``runs`` holds ``run_id, start_page, pages_expected``, ``landed`` ``run_id, page``. A page
+    that landed twice counts once; pages outside the expected ones do not count.
+    """
+    wanted = runs.filter(F.col("pages_expected") >= F.col("start_page")).select(
+        "run_id", F.col("start_page").cast("bigint").alias("_from"), F.col("pages_expected").cast("bigint").alias("_to")
+    )
+    page = F.col("page").cast("bigint").alias("page")
+    inside = landed.select("run_id", page).join(wanted, "run_id").filter(F.col("page").between(F.col("_from"), F.col("_to")))
+    inside = inside.select("run_id", "page", F.floor(F.col("page") / PAGE_SPAN).alias("_block")).distinct()
+    ends = inside.groupBy("run_id", "_block").agg(F.max("page").alias("_last"))
+    order = Window.partitionBy("run_id").orderBy("_block")
+    before = ends.select("run_id", "_block", F.lag("_last").over(order).alias("_before"))
+    own = Window.partitionBy("run_id", "_block").orderBy("page")
+    steps = inside.withColumn("_prior", F.lag("page").over(own)).join(before, ["run_id", "_block"]).select(
+        "run_id", "page", F.coalesce("_prior", "_before").alias("_prior")
+    )
+    first = F.coalesce(F.col("_prior") + 1, F.col("_from"))
+    gaps = steps.join(wanted, "run_id").filter(first < F.col("page"))
+    gaps = gaps.select("run_id", first.alias("from_page"), (F.col("page") - 1).alias("to_page"))
+    reached = ends.groupBy("run_id").agg(F.max("_last").alias("_last"))
+    rest = wanted.join(reached, "run_id", "left").withColumn("from_page", F.coalesce(F.col("_last") + 1, F.col("_from")))
+    rest = rest.filter(F.col("from_page") <= F.col("_to")).select("run_id", "from_page", F.col("_to").alias("to_page"))
+    return gaps.union(rest)
+
+
 def expected_from_landed(landed: DataFrame) -> DataFrame:
     """Pages each run should have: the count declared by its last landed page."""
     return landed.groupBy("run_id").agg(

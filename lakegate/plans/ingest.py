@@ -31,7 +31,7 @@ from lakegate.operators.runs import (
 )
 from lakegate.plans.staging import stage
 from lakegate.sinks import write_landing, write_manifest_objects, write_manifests
-from lakegate.sources.documents import read_landing_table
+from lakegate.sources.documents import of_runs, read_landing_table
 from lakegate.sources.tables import read_manifests
 
 API_ERROR = "ApiResponseError"
@@ -126,7 +126,7 @@ def run_ingest(
     checked = stage(with_fingerprint(validate_requests(requests, defaults), defaults), "requests")
     valid = checked.filter(F.col("request_error").isNull())
     # Staged because the manifests it is decided on are replaced further down.
-    decisions = stage(admit_runs(valid, read_manifests(spark, manifest_root)), "decisions")
+    decisions = stage(admit_runs(valid, read_manifests(spark, manifest_root, valid.select("run_id"))), "decisions")
     # Identical requests at the same moment are all let in, and make one run.
     active = decisions.filter(F.col("decision").isin(NEW, RESUME)).dropDuplicates(["run_id"])
     active = stage(active, "active-runs")
@@ -138,7 +138,7 @@ def run_ingest(
     inside = within_run(slim, F.col("problem").isNull())
     sound = inside.filter(F.col("problem").isNull())
     disposed = stage(
-        disposition(sound, _landed_index(spark, landing_path, active), order_by="page"), "disposed-pages"
+        disposition(sound, _landed_index(spark, landing_path, decisions), order_by="page"), "disposed-pages"
     )
 
     failures = stage(first_failures(active, inside, disposed), "run-failures")
@@ -178,19 +178,20 @@ def _started(active: DataFrame) -> DataFrame:
     return run_manifests(runs, nothing)
 
 
-def _landed_index(spark: SparkSession, landing_path: str, active: DataFrame) -> DataFrame:
-    """Paths and checksums of what landed on the landing dates of the active runs.
+def _landed_index(spark: SparkSession, landing_path: str, decisions: DataFrame) -> DataFrame:
+    """Paths and checksums of what the active runs landed before.
 
-    A run's pages land under the date of its first start, so only those dates'
-    partitions can hold one; their number is that of days, not of runs or pages.
+    A run's pages land under the date of its first start. The keys of the active runs meet the
+    partition columns of the landing table in a join, by which Spark prunes its partitions.
     """
-    moment = utc_wall_time(F.col("started_at"), dict(active.dtypes)["started_at"])
-    days = [r.day for r in active.select(F.date_format(moment, "yyyyMMdd").alias("day")).distinct().collect()]
     try:
         landed = read_landing_table(spark, landing_path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], "path string, sha256 string")
-    date = F.concat("year", "month", "day")
-    return landed.filter(date.isin(days)).select("path", "sha256")
+    active = decisions.filter(F.col("decision").isin(NEW, RESUME))
+    moment = utc_wall_time(F.col("started_at"), dict(active.dtypes)["started_at"])
+    parts = {"year": "yyyy", "month": "MM", "day": "dd"}
+    keys = active.select("run_id", *(F.date_format(moment, form).alias(name) for name, form in parts.items()))
+    return of_runs(landed, keys.distinct()).select("path", "sha256")

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import time
 from urllib.parse import urlparse
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
-from lakegate.functions.identifiers import manifest_folder, manifest_objects_folder
+from lakegate.functions.identifiers import manifest_bucket, manifest_folder, manifest_objects_folder
 from lakegate.operators.curate import TransformResult
 from lakegate.operators.landing import CONFLICT, CONTENT_DIFFERS, WRITTEN, LandingConflictError
 from lakegate.operators.quality import DataQualityResult, result_json
+from lakegate.plans.staging import stage
+from lakegate.sources.tables import manifest_versions, read_manifest_objects
 
 CREATE_ONLY = "errorifexists"
 
@@ -54,11 +58,24 @@ def write_transform_result(
 
 
 def write_quality_result(spark: SparkSession, result: DataQualityResult, path: str) -> None:
-    """One JSON text per run; an existing result is never replaced."""
+    """One JSON object per run, created only if there is none: an existing result stays.
+
+    The file system's own exclusive create decides, so of two writers one fails.
+    """
     if not urlparse(path).path.strip("/"):
         raise ValueError(f"Expected a path below a bucket or folder, got {path!r}")
-    body = spark.createDataFrame([(result_json(result),)], "value string")
-    body.coalesce(1).write.mode(CREATE_ONLY).text(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    try:
+        stream = files.create(target, False)
+    except Py4JJavaError as error:
+        if files.exists(target):
+            raise FileExistsError(f"A quality result exists already: {path}") from error
+        raise
+    try:
+        stream.write(bytearray(result_json(result).encode("utf-8")))
+    finally:
+        stream.close()
 
 
 def write_landing(pages: DataFrame, path: str) -> None:
@@ -81,22 +98,53 @@ def write_landing(pages: DataFrame, path: str) -> None:
 
 
 def write_manifests(manifests: DataFrame, root: str) -> None:
-    """Replace the manifests of exactly the runs in ``manifests``."""
-    (
-        manifests.hint("rebalance", F.col("run_id"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id")
-        .json(manifest_folder(root))
-    )
+    """A newer version of the manifest of each run in ``manifests``.
+
+    Versions are appended, a file per bucket of run ids at most, and the newest of a run
+    counts (see :func:`lakegate.sources.tables.read_manifests`).
+    """
+    _write_lines(manifests.withColumn("version", F.lit(_next_version())), root, "append")
 
 
 def write_manifest_objects(objects: DataFrame, root: str) -> None:
-    """Replace the object parts of exactly the runs in ``objects``."""
-    (
-        objects.hint("rebalance", F.col("run_id"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id")
-        .parquet(manifest_objects_folder(root))
-    )
+    """A newer version of the object parts of each run in ``objects``."""
+    _write_parts(objects.withColumn("version", F.lit(_next_version())), root, "append")
+
+
+def compact_manifests(spark: SparkSession, root: str) -> None:
+    """Leave the newest version of every run only, bucket by bucket.
+
+    The newest versions are staged first; a bucket is then replaced as a whole. To be run while
+    no ingest writes.
+    """
+    _write_lines(stage(manifest_versions(spark, root), "newest-manifests"), root, "overwrite")
+    parts = read_manifest_objects(spark, root)
+    if parts is not None:
+        _write_parts(stage(parts, "newest-objects"), root, "overwrite")
+
+
+def _next_version() -> int:
+    """Later than all before it in this process, and as far as clocks agree in others."""
+    global _LAST_VERSION
+    _LAST_VERSION = max(time.time_ns(), _LAST_VERSION + 1)
+    return _LAST_VERSION
+
+
+def _write_lines(manifests: DataFrame, root: str, mode: str) -> None:
+    bucket = manifest_bucket(F.col("run_id")).alias("bucket")
+    line = F.to_json(F.struct(*manifests.columns), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
+    lines = manifests.select(line.alias("value"), bucket)
+    _by_bucket(lines, mode).text(manifest_folder(root))
+
+
+def _write_parts(objects: DataFrame, root: str, mode: str) -> None:
+    parts = objects.withColumn("bucket", manifest_bucket(F.col("run_id")))
+    _by_bucket(parts, mode).parquet(manifest_objects_folder(root))
+
+
+def _by_bucket(frame: DataFrame, mode: str) -> DataFrameWriter:
+    writer = frame.hint("rebalance", F.col("bucket")).write.mode(mode)
+    return writer.option("partitionOverwriteMode", "dynamic").partitionBy("bucket")
+
+
+_LAST_VERSION = 0

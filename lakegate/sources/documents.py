@@ -62,6 +62,16 @@ def read_landing_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LANDING_TABLE_SCHEMA).parquet(path)
 
 
+def of_runs(pages: DataFrame, runs: DataFrame) -> DataFrame:
+    """Pages of the landing table whose run is among ``runs``, a frame of distinct keys.
+
+    ``runs`` holds ``run_id`` and, if known, ``year, month, day``. The join is on partition
+    columns alone: where ``runs`` is filtered, Spark prunes the partitions it reads by it.
+    """
+    keys = [name for name in ("year", "month", "day", "run_id") if name in runs.columns]
+    return pages.join(runs.select(*keys), keys, "left_semi").select(*pages.columns)
+
+
 def landed_documents(pages: DataFrame) -> DataFrame:
     """Rows of the landing table as documents."""
     return pages.select(F.col("path").alias("source_file"), "raw_text")

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegate.functions.identifiers import manifest_folder
+from lakegate.functions.identifiers import manifest_bucket, manifest_folder, manifest_objects_folder
 from lakegate.functions.json_text import object_at
 from lakegate.records import INDICATOR_OBSERVATIONS, RecordSpec
 
@@ -28,32 +28,60 @@ def read_processed(
     return spark.read.schema(schema).parquet(path).select(*spec.processed_columns)
 
 
-def read_manifests(spark: SparkSession, manifest_root: str) -> DataFrame:
-    """Run manifests, one row per run; an absent folder holds none.
+def read_manifests(spark: SparkSession, manifest_root: str, runs: DataFrame | None = None) -> DataFrame:
+    """The newest manifest of each run; an absent folder holds none.
 
-    A manifest file that is not a JSON object fails the read.
+    With ``runs`` (a frame with ``run_id``) only the buckets of those runs are read. A line that
+    is not a JSON object fails the read.
     """
-    try:
-        files = spark.read.option("recursiveFileLookup", "true").text(
-            manifest_folder(manifest_root), wholetext=True
-        )
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], MANIFEST_SCHEMA)
-    file_path = F.col("_metadata.file_path")
-    parsed = files.select(file_path.alias("file_path"), F.try_parse_json("value").alias("value"))
+    return manifest_versions(spark, manifest_root, runs).drop("version")
+
+
+def manifest_versions(spark: SparkSession, manifest_root: str, runs: DataFrame | None = None) -> DataFrame:
+    """:func:`read_manifests` with the ``version`` each manifest was written under."""
+    fields = f"{MANIFEST_SCHEMA}, version bigint"
+    lines = _in_buckets(spark, "text", "value string, bucket string", manifest_folder(manifest_root), runs)
+    if lines is None:
+        return spark.createDataFrame([], fields)
+    parsed = lines.select(F.col("_metadata.file_path").alias("file_path"), F.try_parse_json("value").alias("value"))
     checked = F.when(object_at(F.col("value")).isNotNull(), F.col("value")).otherwise(
         F.raise_error(
             F.concat(F.lit("Manifest must contain a JSON object: "), F.col("file_path"))
         ).cast("variant")
     )
-    fields = F.variant_get(checked, "$", f"struct<{_as_struct(MANIFEST_SCHEMA)}>")
-    read = parsed.select("file_path", fields.alias("manifest")).select("file_path", "manifest.*")
-    run_id = F.regexp_extract("file_path", r"/run_id=([^/]+)/", 1)
-    return read.withColumn("run_id", F.coalesce("run_id", F.when(run_id != "", run_id))).drop(
-        "file_path"
-    )
+    read = parsed.select(F.variant_get(checked, "$", f"struct<{_as_struct(fields)}>").alias("manifest"))
+    newest = read.groupBy("manifest.run_id").agg(F.max_by("manifest", "manifest.version").alias("manifest"))
+    return newest.select("manifest.*")
+
+
+def read_manifest_objects(
+    spark: SparkSession, manifest_root: str, runs: DataFrame | None = None
+) -> DataFrame | None:
+    """The newest object parts of each run: ``run_id, part, objects, version``; None if none was ever written."""
+    entry = "struct<page:int,record_count:bigint,source_bytes:bigint,path:string,sha256:string,disposition:string>"
+    schema = f"run_id string, part int, objects array<{entry}>, version bigint, bucket string"
+    parts = _in_buckets(spark, "parquet", schema, manifest_objects_folder(manifest_root), runs)
+    if parts is None:
+        return None
+    newest = parts.groupBy(F.col("run_id").alias("_run")).agg(F.max("version").alias("_newest"))
+    kept = parts.join(newest, (F.col("run_id") == F.col("_run")) & (F.col("version") == F.col("_newest")))
+    return kept.select("run_id", "part", "objects", "version")
+
+
+def _in_buckets(
+    spark: SparkSession, form: str, schema: str, folder: str, runs: DataFrame | None
+) -> DataFrame | None:
+    """The files of a store in the buckets of ``runs`` (at most sixteen), or in all; None if there is no store."""
+    try:
+        held = spark.read.schema(schema).format(form).load(folder)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    if runs is None:
+        return held
+    wanted = runs.select(manifest_bucket(F.col("run_id")).alias("bucket")).distinct().collect()
+    return held.where(F.col("bucket").isin([r["bucket"] for r in wanted]))
 
 
 def _as_struct(schema: str) -> str:

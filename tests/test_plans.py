@@ -41,8 +41,7 @@ def bases(tmp_path):
 
 
 def quality_json(tmp_path, run_id):
-    (part,) = (tmp_path / f"quality/run_id={run_id}/result.json").glob("part-*")
-    return json.loads(part.read_text(encoding="utf-8"))
+    return json.loads((tmp_path / f"quality/run_id={run_id}/result.json").read_text(encoding="utf-8"))
 
 
 def test_run_output_path():
@@ -79,8 +78,9 @@ def test_passing_run_publishes(spark, documents, tmp_path):
     assert written["status"] == "PASS" and written["expected_row_count"] == 2
     assert [r["status"] for r in written["rules"]] == ["PASS"] * 8
     # Evidence and outputs are create-only.
-    with pytest.raises(AnalysisException):
+    with pytest.raises(FileExistsError, match="A quality result exists already"):
         run_curation(spark, frame, run_id="ok", **bases(tmp_path))
+    assert quality_json(tmp_path, "ok") == written
 
 
 def test_failing_run_writes_evidence_and_rejects_only(spark, documents, tmp_path):
@@ -302,9 +302,9 @@ def test_a_run_that_breaks_off_after_landing_resumes_where_it_was(spark, tmp_pat
 
 def test_manifest_files_must_hold_objects(spark, tmp_path):
     assert read_manifests(spark, str(tmp_path / "none")).count() == 0
-    folder = tmp_path / "m/world_bank"
+    folder = tmp_path / "m/world_bank/bucket=0"
     folder.mkdir(parents=True)
-    (folder / "run_id=x.json").write_text("[1]", encoding="utf-8")
+    (folder / "part.json").write_text("[1]", encoding="utf-8")
     with pytest.raises(Exception, match="Manifest must contain a JSON object"):
         read_manifests(spark, str(tmp_path / "m")).collect()
 

@@ -23,6 +23,7 @@ from lakegate.operators.quality import (
 from lakegate.operators.reconcile import (
     declared_total,
     expected_from_landed,
+    missing_page_ranges,
     missing_pages,
     page_metrics,
 )
@@ -36,9 +37,9 @@ from lakegate.operators.runs import (
 )
 from lakegate.plans.curation import run_curation
 from lakegate.plans.ingest import run_ingest
-from lakegate.plans.staging import staging_root
-from lakegate.sinks import write_transform_result
-from lakegate.sources.documents import read_documents
+from lakegate.plans.staging import stage, staging_root
+from lakegate.sinks import write_landing, write_transform_result
+from lakegate.sources.documents import of_runs, read_documents, read_landing_table
 from lakegate.sources.tables import read_manifests, read_processed
 from workloads.curation import QUERIES as CURATION
 from workloads.fixtures import PAGE_SIZE, indicator_documents, table, with_documents
@@ -392,6 +393,23 @@ _PATH_SQL = f"""'landing/world_bank/year=' || strftime(ingested_at, '%Y') || '/m
   || strftime(ingested_at, '%m') || '/day=' || strftime(ingested_at, '%d') || '/run_id='
   || printf('run-%05d', page // {PAGES_PER_RUN}) || '/sp_pop_totl_page_'
   || printf('%05d', page % {PAGES_PER_RUN} + 1) || '.json'"""
+def missing_page_ranges_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same pages as stretches; runs declare four pages more than they have."""
+    landed = _run_pages(spark, sf_dir).filter(F.minute("ingested_at") >= 20).select("run_id", "page")
+    runs = landed.select("run_id", F.lit(1).alias("start_page"), F.lit(PAGES_PER_RUN + 4).alias("pages_expected"))
+    return missing_page_ranges(runs.distinct(), landed)
+
+
+def scan_one_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed pages of chosen runs, of whose partitions alone the landing table is read."""
+    folder = _folder(spark, "landing")
+    pages = with_checksum(with_landing_keys(_run_pages(spark, sf_dir)))
+    write_landing(pages.withColumn("disposition", F.lit("WRITTEN")), folder)
+    runs = pages.select("run_id").distinct().filter(F.col("run_id").endswith("3"))
+    found = of_runs(read_landing_table(spark, folder), stage(runs, "chosen-runs").filter(F.col("run_id") > ""))
+    return found.select("run_id", "path", "page", "sha256")
+
+
 _PAGES_CTE = f"""
 pages AS (SELECT page, ingested_at, raw_text, {_PATH_SQL} AS path,
   printf('run-%05d', page // {PAGES_PER_RUN}) AS run_id,
@@ -649,6 +667,24 @@ QUERIES = {
             WHERE NOT EXISTS (SELECT 1 FROM seen WHERE seen.run_id = runs.run_id AND seen.run_page = n)""",
         ),
     ),
+    "missing_page_ranges": (
+        missing_page_ranges_query,
+        _with_pages(
+            ctes=f""", seen AS (SELECT run_id, run_page FROM pages WHERE minute(ingested_at) >= 20),
+            gone AS (SELECT run_id, n FROM (SELECT DISTINCT run_id FROM seen) r, range(1, {PAGES_PER_RUN} + 5) AS g(n)
+              WHERE NOT EXISTS (SELECT 1 FROM seen WHERE seen.run_id = r.run_id AND seen.run_page = n)),
+            islands AS (SELECT run_id, n, n - row_number() OVER (PARTITION BY run_id ORDER BY n) AS island FROM gone)""",
+            select="""SELECT run_id, CAST(min(n) AS BIGINT) AS from_page, CAST(max(n) AS BIGINT) AS to_page
+            FROM islands GROUP BY run_id, island""",
+        ),
+    ),
+    "scan_one_run": (
+        scan_one_run,
+        _with_pages(
+            """SELECT run_id, path, run_page AS page, sha256(raw_text) AS sha256 FROM pages
+            WHERE run_id LIKE '%3'"""
+        ),
+    ),
     "page_contract_violations": (page_contract_violations, _CONTRACT_SQL),
     "config_fingerprint": (
         config_fingerprint,
