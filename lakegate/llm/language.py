@@ -13,14 +13,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakegate.llm.common import fold, list_array, mix64, rows_at_most, table
 
-#: At most so many documents are learned from, taken in hash order of the id.
-SAMPLE_ROWS = 20_000
+#: At most so many documents of each language are learned from, taken in hash order of the id.
+SAMPLE_ROWS = 5_000
 #: Trigrams are counted in so many hash buckets.
 BUCKETS = 1 << 15
 #: Cost of a switch of language, in nats.
@@ -125,18 +125,27 @@ class Model:
 
 
 def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Learn from at most ``sample_rows`` documents with a language outside the held-out fold."""
+    """Learn from at most ``sample_rows`` documents of each language outside the held-out fold.
+
+    Every language that has a document there is learned, however rare it is. (Of rows that share
+    the last id of a sample all are taken.)
+    """
     known = docs.where(F.col("lang").isNotNull() & (fold(F.col("doc_id")) != 2))
-    first = known.select(F.xxhash64("doc_id").alias("_order")).orderBy("_order").limit(sample_rows)
-    edge = first.agg(F.max("_order")).first()[0]
-    if edge is None:
+    known = known.select(F.col("lang").cast("string").alias("lang"), "text", F.xxhash64("doc_id").alias("_order"))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("_order"))
+    taken = known.select("lang", "_order").withColumn("_number", first).where(F.col("_number") <= sample_rows)
+    # One row per language.
+    edges = taken.groupBy("lang").agg(F.max("_order").alias("_edge"))
+    edges = {r["lang"]: r["_edge"] for r in edges.collect()}
+    if not edges:
         return Model([], np.zeros((BUCKETS, 0)), np.zeros((len(SCRIPT_NAMES), 0), bool))
-    sample = known.where(F.xxhash64("doc_id") <= edge).select(F.col("lang").cast("string").alias("lang"), "text")
+    held = docs.sparkSession.createDataFrame(list(edges.items()), "_lang string, _edge long")
+    sample = known.join(F.broadcast(held), (F.col("lang") == F.col("_lang")) & (F.col("_order") <= F.col("_edge")))
+    sample = sample.select("lang", "text")
     counts = sample.mapInArrow(_counted, "lang string, place long, n long")
     # At most one row per language, bucket and script.
     rows = counts.groupBy("lang", "place").agg(F.sum("n").alias("n")).toArrow()
-    present = sample.select("lang").distinct().collect()
-    languages = sorted({r["lang"] for r in present})
+    languages = sorted(edges)
     number = {lang: i for i, lang in enumerate(languages)}
     grams = np.zeros((BUCKETS, len(languages)))
     scripts = np.zeros((len(SCRIPT_NAMES), len(languages)))
@@ -169,8 +178,11 @@ class _WordScores:
         starts = np.concatenate(([0], np.cumsum([len(w) for w in words])))[:-1]
         each = self.model.grams[_trigrams(points)[inner]]
         summed = np.add.reduceat(each, starts, axis=0)
-        # Only languages that use the script of a word's first letter are candidates, if any does.
-        allowed = self.model.scripts[scripts_of(points[1:-1][inner])[starts]]
+        # Only languages that use the scripts of all of a word's letters are candidates, or, if
+        # none does, those that use one of them.
+        letters = self.model.scripts[scripts_of(points[1:-1][inner])]
+        allowed, some = (f.reduceat(letters, starts, axis=0) for f in (np.logical_and, np.logical_or))
+        allowed = np.where(allowed.any(axis=1, keepdims=True), allowed, some)
         allowed = allowed | ~allowed.any(axis=1, keepdims=True)
         summed = np.where(allowed, summed, summed.min(axis=1, keepdims=True) - 20.0)
         # Only differences count; the best candidate is 0.

@@ -71,3 +71,28 @@ def test_query_on_held_out_documents(spark):
     assert len(rows) == len(truth)
     held = [r for r in rows if r.held_out]
     assert sum(r.lang_pred == truth[r.doc_id] for r in held) >= 0.97 * len(held)
+
+
+def test_a_rare_language_is_learned_beside_a_common_one(spark):
+    common = "the quick brown fox jumps over the lazy dog and then they walk through that thick wood"
+    rare = "kaj nun la rapida vulpo saltas trans la mallaborema hundo kaj poste ili iras tra densa arbaro"
+    ids = [i for i in range(2000) if i % 400 != 7]
+    rows = [(i, common, "en") for i in ids] + [(i, rare, "eo") for i in (2001, 2002, 2003, 2004, 2005)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs, sample_rows=3)
+    assert model.languages == ["en", "eo"]
+    found = {r.doc_id: r.lang_pred for r in language.identify(docs, model).collect()}
+    assert found[2001] == "eo" and found[0] == "en"
+
+
+def test_all_letters_of_a_word_narrow_its_languages():
+    scripts = np.zeros((len(language.SCRIPT_NAMES), 3), bool)
+    names = language.SCRIPT_NAMES
+    latin, cyrillic = names.index("Latin"), names.index("Cyrillic")
+    scripts[latin] = [True, False, True]
+    scripts[cyrillic] = [False, True, True]
+    grams = np.zeros((language.BUCKETS, 3))
+    known = language._WordScores(language.Model(["a", "b", "c"], grams, scripts))
+    (rows,) = known.numbers([["abc", "где", "abгд", "γδ"]])
+    best = [set(np.flatnonzero(known.scores[r] == 0)) for r in rows]
+    assert best == [{0, 2}, {1, 2}, {2}, {0, 1, 2}]
