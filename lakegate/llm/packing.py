@@ -60,13 +60,21 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in shown else chr(next(others)) for b in range(256)]
 
 
+# Texts by which a vocabulary's treatment of white space, case and letters shows.
+_PROBES = (
+    "two words", " at  the edges ", "Tab\tand\nline\r\n end", "Upper CASE Words, here; (so) it's 3.5 or 1,000!",
+    "ÀÉ naïve Straße groß żółw", "mixed2words x-y a_b e@f.org", "a b c d", "the The THE tHe",
+)
+
+
 class Words(dict):
     """Token ids, as little-endian 32-bit integers, of texts between ASCII white space.
 
-    The vocabulary drops white space and never joins what it separates, so a text's ids are
+    If the vocabulary drops white space and never joins what it separates, a text's ids are
     those of its words one after the other, and words that repeat are looked up. A plain word,
-    letters and then punctuation, goes to the merges directly; any other one through the
-    whole tokenizer.
+    letters and then punctuation, goes to the merges directly, if that gives what the whole
+    tokenizer gives; any other one goes through that. Probes tell both of a vocabulary; with
+    any other kind whole texts are encoded.
     """
 
     def __init__(self, path: str):
@@ -75,6 +83,17 @@ class Words(dict):
         self.merges = self.tokenizer.model
         self.tails: dict[str, bytes] = {"": b""}
         self.byte_letters = _byte_letters()
+        self.plain = self.by_word = False
+        apart = [self._encoded(w) for text in _PROBES for w in text.split()]
+        self.by_word = b"".join(apart) == b"".join(map(self._encoded, _PROBES))
+        if self.by_word:
+            self.plain = True
+            try:
+                self.plain = [self[w.encode()] for text in _PROBES for w in text.split()] == apart
+            except (AttributeError, TypeError, ValueError):  # a model without merges
+                self.plain = False
+            self.clear()
+            self.tails = {"": b""}
 
     def _encoded(self, text: str) -> bytes:
         found = self.tokenizer.encode(text, add_special_tokens=False)
@@ -83,7 +102,7 @@ class Words(dict):
     def __missing__(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
         letters = text.rstrip(punctuation)
-        if letters.isalpha() and max(letters) < _PLAIN_LETTERS and "İ" not in letters:
+        if self.plain and letters.isalpha() and max(letters) < _PLAIN_LETTERS and "İ" not in letters:
             tail = text[len(letters) :]
             if tail not in self.tails:
                 if len(self.tails) >= _CACHED_TAILS:
@@ -103,6 +122,8 @@ class Words(dict):
         return ids
 
     def ids(self, text: bytes) -> bytes:
+        if not self.by_word:
+            return self._encoded(text.decode("utf-8", "replace"))
         return b"".join(map(self.__getitem__, text.split()))
 
 

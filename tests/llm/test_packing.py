@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import zlib
 
+from pathlib import Path
+
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
@@ -61,3 +63,26 @@ def test_buckets_hold_equal_lengths(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.where("length <> shiftleft(1, bucket)").count() == 0
     assert back.count() == packing.pack(frame(spark, TEXTS)).count()
+
+
+def test_ids_of_every_public_vocabulary_are_those_of_whole_texts():
+    """Vocabularies that keep white space, case or joined words are encoded text by text."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    texts = ["two words", "  Ünder the\tBridge,\n\n don't x-1 ", "a  b", "", " ", "ÀÉ 漢字 \U0001f600 end.", "a" * 300]
+    names = sorted(p.name for p in Path(public_tokenizers.path(packing.VOCABULARY)).parent.glob("*.json"))
+    checked, by_word = 0, {}
+    for name in names:
+        try:
+            tokenizer = Tokenizer.from_file(str(public_tokenizers.path(name)))
+        except Exception:  # not a tokenizer file
+            continue
+        known = packing.Words(str(public_tokenizers.path(name)))
+        by_word[name] = known.by_word
+        for text in texts:
+            expected = np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            assert known.ids(text.encode()) == expected, (name, text)
+        checked += 1
+    assert by_word[packing.VOCABULARY] and packing.words(packing.VOCABULARY).plain
+    assert checked >= 1
