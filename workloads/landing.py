@@ -265,11 +265,11 @@ CASE c_custkey % 23
   WHEN 1 THEN '["not","an","object"]'
   WHEN 2 THEN NULL
   WHEN 3 THEN '{"speed":1,"run_id":"a","colour":2}'
-  WHEN 4 THEN '{"country":"USA/../../"}'
+  WHEN 4 THEN '{"country":"P?Q=1"}'
   WHEN 5 THEN '{"per_page":true}'
   WHEN 6 THEN '{"start_page":0}'
   WHEN 7 THEN '{"per_page":"5"}'
-  WHEN 8 THEN '{"run_id":"","country":"CAN;USA"}'
+  WHEN 8 THEN '{"run_id":"","country":"PQR;ST"}'
   WHEN 9 THEN '{"run_id":"-bad"}'
   WHEN 10 THEN '{"country":null}'
   WHEN 11 THEN '{"start_page":2.0}'
@@ -278,7 +278,7 @@ CASE c_custkey % 23
   WHEN 14 THEN '{"country":"X"}'
   WHEN 15 THEN '{"run_id":5}'
   WHEN 16 THEN 'null'
-  ELSE '{"run_id":"r-' || CAST(c_custkey AS STRING) || '","country":"CAN","start_page":2,"per_page":'
+  ELSE '{"run_id":"r-' || CAST(c_custkey AS STRING) || '","country":"PQR","start_page":2,"per_page":'
        || CAST(c_custkey AS STRING) || '}' END
 """
 
@@ -311,7 +311,7 @@ SELECT c_custkey,
   CASE WHEN request_error IS NULL THEN
     CASE WHEN m IN (2, 8, 16) THEN 'req-' ELSE 'r-' END || c_custkey END AS run_id,
   CASE WHEN request_error IS NULL THEN
-    CASE WHEN m IN (2, 16) THEN 'USA' WHEN m = 8 THEN 'CAN;USA' ELSE 'CAN' END END AS country,
+    CASE WHEN m IN (2, 16) THEN 'USA' WHEN m = 8 THEN 'PQR;ST' ELSE 'PQR' END END AS country,
   CASE WHEN request_error IS NULL THEN 'SP.POP.TOTL' END AS indicator,
   CASE WHEN request_error IS NULL THEN
     CAST(CASE WHEN m IN (2, 8, 16) THEN 1 ELSE 2 END AS BIGINT) END AS start_page,
