@@ -29,7 +29,7 @@ from lakegate.sources.documents import (
     read_run_documents,
 )
 from lakegate.sources.tables import read_manifests, read_processed
-from tests.conftest import document, record, without
+from tests.conftest import SAMPLE, document, record, without
 
 
 def usa(year, **overrides):
@@ -44,6 +44,21 @@ def quality_json(tmp_path, run_id):
     return json.loads((tmp_path / f"quality/run_id={run_id}/result.json").read_text(encoding="utf-8"))
 
 
+def test_processed_rows_pass_one_exchange_without_their_texts(documents):
+    twice = documents(("a", document(usa(2023), usa(2023), 7)), ("b", document(usa(2023))))
+    processed = transform_documents(twice).processed
+    assert processed.count() == 1
+    text = plan(processed)
+    assert text.count("Exchange hashpartitioning") == 1 and "Window" not in text
+    below = text[text.index("Exchange hashpartitioning") :].splitlines()
+    keys = below[0]
+    assert all(name in keys for name in ("country_iso3_code", "indicator_id", "observation_year"))
+    # The partial aggregate, directly under the exchange, has met every row of a task; neither
+    # it nor its sort holds a record's text.
+    assert "partial_min_by" in below[1] and "raw_record" not in "".join(below[1:4])
+    assert "Generate inline" in below[4] or "Generate inline" in below[3]
+
+
 def test_run_output_path():
     assert run_output_path("s3://b/processed/", "jr_1") == "s3://b/processed/run_id=jr_1"
 
@@ -61,7 +76,7 @@ def test_round_trip_from_files(spark, tmp_path):
     result = transform_documents(read_documents(spark, str(tmp_path / "landing")))
     write_transform_result(result, str(tmp_path / "p"), str(tmp_path / "r"))
     row = read_processed(spark, str(tmp_path / "p")).first()
-    assert (row.country_iso3_code, row.observation_year) == ("QNR", 2024)
+    assert (row.country_iso3_code, row.observation_year) == (SAMPLE["country_iso3_code"], 2024)
     assert list((tmp_path / "p").glob("observation_year=2024"))
     assert spark.read.json(str(tmp_path / "r")).first().rejection_reason == "RECORD_NOT_OBJECT"
     with pytest.raises(AnalysisException):
