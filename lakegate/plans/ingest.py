@@ -31,6 +31,7 @@ from lakegate.operators.runs import (
 )
 from lakegate.plans.staging import stage
 from lakegate.sinks import write_landing, write_manifest_objects, write_manifests
+from lakegate.sinks.objects import claimed_runs
 from lakegate.sources.documents import of_runs, read_landing_table
 from lakegate.sources.tables import read_manifests
 
@@ -121,10 +122,20 @@ def run_ingest(
     refused, and an interrupted one resumes: its pages that landed before come
     out as ``EXISTING``. Every run that is let in has a RUNNING manifest before
     its first page lands, so a run that breaks off anywhere resumes under its
-    first landing date.
+    first landing date. Runs are claimed before their manifests are read: while
+    one ingest works on a run, another of that run is refused with
+    :class:`~lakegate.sinks.objects.RunClaimedError` and lands nothing.
     """
     checked = stage(with_fingerprint(validate_requests(requests, defaults), defaults), "requests")
     valid = checked.filter(F.col("request_error").isNull())
+    with claimed_runs(spark, valid.select("run_id"), manifest_root):
+        return _land(spark, valid, pages, landing_path, manifest_root)
+
+
+def _land(
+    spark: SparkSession, valid: DataFrame, pages: DataFrame, landing_path: str, manifest_root: str
+) -> IngestOutcome:
+    """Decide on valid requests, land pages and write manifests while the runs are claimed."""
     # Staged because the manifests it is decided on are replaced further down.
     decisions = stage(admit_runs(valid, read_manifests(spark, manifest_root, valid.select("run_id"))), "decisions")
     # Identical requests at the same moment are all let in, and make one run.

@@ -5,7 +5,6 @@ from __future__ import annotations
 import time
 from urllib.parse import urlparse
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +13,7 @@ from lakegate.operators.curate import TransformResult
 from lakegate.operators.landing import CONFLICT, CONTENT_DIFFERS, WRITTEN, LandingConflictError
 from lakegate.operators.quality import DataQualityResult, result_json
 from lakegate.plans.staging import stage
+from lakegate.sinks.objects import create_object
 from lakegate.sources.tables import manifest_versions, read_manifest_objects
 
 CREATE_ONLY = "errorifexists"
@@ -58,24 +58,10 @@ def write_transform_result(
 
 
 def write_quality_result(spark: SparkSession, result: DataQualityResult, path: str) -> None:
-    """One JSON object per run, created only if there is none: an existing result stays.
-
-    The file system's own exclusive create decides, so of two writers one fails.
-    """
+    """One JSON object per run, created only if there is none: an existing result stays."""
     if not urlparse(path).path.strip("/"):
         raise ValueError(f"Expected a path below a bucket or folder, got {path!r}")
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    try:
-        stream = files.create(target, False)
-    except Py4JJavaError as error:
-        if files.exists(target):
-            raise FileExistsError(f"A quality result exists already: {path}") from error
-        raise
-    try:
-        stream.write(bytearray(result_json(result).encode("utf-8")))
-    finally:
-        stream.close()
+    create_object(spark, path, result_json(result), "A quality result")
 
 
 def write_landing(pages: DataFrame, path: str) -> None:
