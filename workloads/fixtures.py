@@ -18,9 +18,11 @@ RECORD_TEXT = """
 CASE WHEN event_id % 127 = 5 THEN '7' ELSE
   '{"indicator":'
   || CASE WHEN event_id % 131 = 5 THEN '"flat"'
-     ELSE '{"id":"EV.' || upper(event_type) || '","value":"Event ' || event_type || '"}' END
+     ELSE '{"id":"' || CASE WHEN event_id % 139 = 5 THEN ' ' ELSE 'EV.' || upper(event_type) END
+          || '","value":"Event ' || event_type || '"}' END
   || ',"country":{"id":"u' || CAST(user_id % 90 AS STRING)
-  || '","value":"User ' || CAST(user_id % 90 AS STRING) || '"}'
+  || '","value":"User ' || CAST(user_id % 90 AS STRING) || '"'
+  || CASE WHEN event_id % 149 = 5 THEN ',"zone":"z"' ELSE '' END || '}'
   || ',"countryiso3code":"'
   || CASE WHEN event_id % 109 = 5 THEN '  ' ELSE ' u' || CAST(user_id % 90 AS STRING) END
   || '","date":'
@@ -76,7 +78,7 @@ def indicator_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             "page",
             "ingested_at",
-            F.format_string("mem://page-%05d.json", "page").alias("source_file"),
+            F.format_string("mem://page-%010d.json", "page").alias("source_file"),
             F.expr(DOCUMENT_TEXT).alias("raw_text"),
         )
     )
@@ -96,7 +98,7 @@ bodies AS (
          (SELECT count(*) FROM events) AS total, records FROM paged),
 texts AS (SELECT page, ingested_at, {BODY_TEXT} AS body FROM bodies),
 docs AS (
-  SELECT page, ingested_at, printf('mem://page-%05d.json', page) AS source_file,
+  SELECT page, ingested_at, printf('mem://page-%010d.json', page) AS source_file,
          {DOCUMENT_TEXT} AS raw_text FROM texts)
 """
 
@@ -104,11 +106,12 @@ docs AS (
 EVENT_CTES = f"""
 ev AS (
   SELECT *, event_id // {PAGE_SIZE} AS page, CAST(event_id % {PAGE_SIZE} AS INTEGER) AS idx,
-         printf('mem://page-%05d.json', event_id // {PAGE_SIZE}) AS source_file FROM events),
+         printf('mem://page-%010d.json', event_id // {PAGE_SIZE}) AS source_file FROM events),
 readable AS (SELECT * FROM ev WHERE page % 41 <> 3 AND page % 43 <> 3),
 judged AS (
   SELECT *,
-    'EV.' || upper(event_type) AS indicator_id, 'Event ' || event_type AS indicator_name,
+    CASE WHEN event_id % 139 = 5 THEN '' ELSE 'EV.' || upper(event_type) END AS indicator_id,
+    'Event ' || event_type AS indicator_name,
     'U' || CAST(user_id % 90 AS VARCHAR) AS country_id,
     'User ' || CAST(user_id % 90 AS VARCHAR) AS country_name,
     CASE WHEN event_id % 109 = 5 THEN '' ELSE 'U' || CAST(user_id % 90 AS VARCHAR) END AS iso3,
@@ -116,9 +119,12 @@ judged AS (
          ELSE CAST(1960 + event_id % 60 AS INTEGER) END AS yr,
     CASE WHEN event_id % 97 = 5 OR event_id % 101 = 5 THEN NULL ELSE value END AS val,
     CASE WHEN event_id % 137 = 5 THEN NULL ELSE 0 END AS dec,
-    event_id % 113 = 5 AS has_extra,
+    event_id % 113 = 5 OR event_id % 149 = 5 AS has_extra,
+    concat_ws(',', CASE WHEN event_id % 149 = 5 THEN 'country.zone' END,
+              CASE WHEN event_id % 113 = 5 THEN 'record.aa_new,record.zz_new' END) AS extra_fields,
     CASE WHEN event_id % 127 = 5 THEN 'RECORD_NOT_OBJECT'
          WHEN event_id % 131 = 5 THEN 'INVALID_NESTED_OBJECT'
+         WHEN event_id % 139 = 5 THEN 'NULL_INDICATOR_ID'
          WHEN event_id % 109 = 5 THEN 'NULL_COUNTRY_ISO3_CODE'
          WHEN event_id % 103 = 5 THEN 'NULL_OBSERVATION_YEAR'
          WHEN event_id % 107 = 5 THEN 'INVALID_OBSERVATION_YEAR'
@@ -140,7 +146,8 @@ CANONICAL_RECORD = """
 CASE WHEN event_id % 127 = 5 THEN '7' ELSE
   '{' || CASE WHEN event_id % 113 = 5 THEN '"aa_new":"n",' ELSE '' END
   || '"country":{"id":"u' || CAST(user_id % 90 AS VARCHAR)
-  || '","value":"User ' || CAST(user_id % 90 AS VARCHAR) || '"}'
+  || '","value":"User ' || CAST(user_id % 90 AS VARCHAR) || '"'
+  || CASE WHEN event_id % 149 = 5 THEN ',"zone":"z"' ELSE '' END || '}'
   || ',"countryiso3code":"'
   || CASE WHEN event_id % 109 = 5 THEN '  ' ELSE ' u' || CAST(user_id % 90 AS VARCHAR) END
   || '","date":'
@@ -149,7 +156,8 @@ CASE WHEN event_id % 127 = 5 THEN '7' ELSE
           || CASE WHEN event_id % 7 = 0 THEN '.0' ELSE '' END || '"' END
   || ',"decimal":' || CASE WHEN event_id % 137 = 5 THEN '"x"' ELSE '0' END
   || ',"indicator":' || CASE WHEN event_id % 131 = 5 THEN '"flat"'
-     ELSE '{"id":"EV.' || upper(event_type) || '","value":"Event ' || event_type || '"}' END
+     ELSE '{"id":"' || CASE WHEN event_id % 139 = 5 THEN ' ' ELSE 'EV.' || upper(event_type) END
+          || '","value":"Event ' || event_type || '"}' END
   || ',"obs_status":"","unit":" people ","value":'
   || CASE WHEN event_id % 97 = 5 THEN 'null' WHEN event_id % 101 = 5 THEN '"not-a-number"'
      WHEN event_id % 2 = 0 THEN rtrim(rtrim(CAST(value AS VARCHAR), '0'), '.')

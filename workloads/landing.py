@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,7 +60,7 @@ def _iso(column: str) -> F.Column:
 def _run_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixture documents as pages of runs of ``PAGES_PER_RUN`` pages each."""
     return indicator_documents(spark, sf_dir).select(
-        F.format_string("run-%05d", F.floor(F.col("page") / PAGES_PER_RUN)).alias("run_id"),
+        F.format_string("run-%010d", F.floor(F.col("page") / PAGES_PER_RUN)).alias("run_id"),
         (F.col("page") % PAGES_PER_RUN + 1).cast("int").alias("page"),
         F.lit(INDICATOR).alias("indicator"),
         "ingested_at",
@@ -72,6 +73,21 @@ def _run_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Documents and keys
 
 
+def declared_totals_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The declared total of all pages, and of the same pages when every seventh declares its number."""
+    documents = indicator_documents(spark, sf_dir)
+    own = F.concat(F.lit('"total":'), F.col("page").cast("string"))
+    text = F.regexp_replace(F.col("raw_text"), F.lit('"total":[0-9]+'), own)
+    differing = documents.withColumn("raw_text", F.when(F.col("page") % 7 == 1, text).otherwise(F.col("raw_text")))
+    return reduce(
+        DataFrame.unionByName,
+        [
+            declared_total(pages).withColumn("pages", F.lit(name))
+            for name, pages in (("alike", documents), ("differing", differing))
+        ],
+    )
+
+
 def declared_total_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return declared_total(indicator_documents(spark, sf_dir))
 
@@ -336,7 +352,7 @@ def _run_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    number = F.substring("run_id", 5, 5).cast("int")
+    number = F.substring_index("run_id", "-", -1).cast("int")
     runs = (
         _run_pages(spark, sf_dir)
         .groupBy("run_id")
@@ -391,7 +407,7 @@ def run_manifest_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _PATH_SQL = f"""'landing/world_bank/year=' || strftime(ingested_at, '%Y') || '/month='
   || strftime(ingested_at, '%m') || '/day=' || strftime(ingested_at, '%d') || '/run_id='
-  || printf('run-%05d', page // {PAGES_PER_RUN}) || '/sp_pop_totl_page_'
+  || printf('run-%010d', page // {PAGES_PER_RUN}) || '/sp_pop_totl_page_'
   || printf('%05d', page % {PAGES_PER_RUN} + 1) || '.json'"""
 def missing_page_ranges_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same pages as stretches; runs declare four pages more than they have."""
@@ -412,7 +428,7 @@ def scan_one_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _PAGES_CTE = f"""
 pages AS (SELECT page, ingested_at, raw_text, {_PATH_SQL} AS path,
-  printf('run-%05d', page // {PAGES_PER_RUN}) AS run_id,
+  printf('run-%010d', page // {PAGES_PER_RUN}) AS run_id,
   CAST(page % {PAGES_PER_RUN} + 1 AS INTEGER) AS run_page,
   CASE WHEN page % 41 = 3 OR page % 43 = 3 THEN 0
        ELSE (SELECT count(*) FROM events e WHERE e.event_id // {PAGE_SIZE} = page) END AS record_count
@@ -486,9 +502,9 @@ def clean_documents(spark: SparkSession, sf_dir: str, pages_per_run: int | None
     )
     size = pages_per_run or 1
     return paged.select(
-        F.format_string("batch-%05d", F.floor(F.col("document") / size)).alias("run_id"),
+        F.format_string("batch-%010d", F.floor(F.col("document") / size)).alias("run_id"),
         (F.col("document") % size + 1).cast("int").alias("page"),
-        F.format_string("mem://customer-%05d.json", "document").alias("source_file"),
+        F.format_string("mem://customer-%010d.json", "document").alias("source_file"),
         F.concat(
             F.lit('[{"page":'),
             (F.col("document") % size + 1).cast("string"),
@@ -537,7 +553,7 @@ def ingest_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     folder = _folder(spark, "ingest")
     pages = clean_documents(spark, sf_dir, pages_per_run=4).select("run_id", "page", "raw_text")
-    number = F.substring("run_id", 7, 5).cast("int")
+    number = F.substring_index("run_id", "-", -1).cast("int")
     runs = pages.select("run_id").distinct()
 
     def requests(moment: str, per_page: F.Column) -> DataFrame:
@@ -564,7 +580,7 @@ def ingest_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     folder = _folder(spark, "outcomes")
     sound = clean_documents(spark, sf_dir, pages_per_run=4).select("run_id", "page", "raw_text")
-    kind = F.substring("run_id", 7, 5).cast("int") % 7
+    kind = F.substring_index("run_id", "-", -1).cast("int") % 7
     requests = sound.select("run_id").distinct().select(
         F.to_json(F.struct("run_id")).alias("request_text"),
         F.col("run_id").alias("default_run_id"),
@@ -601,10 +617,20 @@ def ingest_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "declared_total": (declared_total_query, "SELECT count(*) AS expected_rows FROM events"),
+    "declared_totals_agree": (
+        declared_totals_agree,
+        f"""WITH n AS (SELECT count(*) AS total FROM events),
+        told AS (SELECT total, CASE WHEN page % 7 = 1 THEN page ELSE total END AS other
+                 FROM (SELECT DISTINCT event_id // {PAGE_SIZE} AS page FROM events), n
+                 WHERE page % 41 <> 3 AND page % 43 <> 3)
+        SELECT 'alike' AS pages, CASE WHEN min(total) = max(total) THEN min(total) END AS expected_rows FROM told
+        UNION ALL
+        SELECT 'differing', CASE WHEN min(other) = max(other) THEN min(other) END FROM told""",
+    ),
     "page_metrics": (
         page_metrics_query,
         _with_pages(
-            """SELECT printf('mem://page-%05d.json', page) AS source_file,
+            """SELECT printf('mem://page-%010d.json', page) AS source_file,
             CASE WHEN page % 41 = 3 OR page % 43 = 3 THEN NULL ELSE CAST(page + 1 AS BIGINT) END AS returned_page,
             CASE WHEN page % 41 = 3 OR page % 43 = 3 THEN NULL
                  ELSE CAST((SELECT ceil(count(*) / 25.0) FROM events) AS BIGINT) END AS total_pages,
@@ -765,7 +791,7 @@ QUERIES = {
         r AS (SELECT document // 4 AS n, count(*) AS present FROM d GROUP BY ALL),
         -- A run of fewer than four pages never completes: its next page is absent.
         s AS (SELECT *, present = 4 AS whole FROM r)
-        SELECT printf('batch-%05d', n) AS run_id,
+        SELECT printf('batch-%010d', n) AS run_id,
         CASE WHEN NOT whole THEN 'FAILED' ELSE 'COMPLETED' END AS status,
         n % 3 = 1 OR (NOT whole AND n % 3 = 0) AS replayed, present AS pages_landed,
         '2024-01-01 00:00:00' AS started_at,
@@ -780,12 +806,12 @@ QUERIES = {
         s AS (SELECT *, CASE WHEN kind IN (1, 6) THEN 1 WHEN kind = 5 THEN 2
             WHEN kind = 2 THEN CASE WHEN present < 2 THEN 2 END
             WHEN kind = 4 AND present >= 3 THEN 3 WHEN present < 4 THEN present + 1 END AS stop FROM r)
-        SELECT printf('batch-%05d', n) AS run_id,
+        SELECT printf('batch-%010d', n) AS run_id,
         CASE WHEN stop IS NULL THEN 'COMPLETED' ELSE 'FAILED' END AS status,
         CAST(coalesce(stop - 1, CASE WHEN kind = 2 THEN 2 ELSE 4 END) AS BIGINT) AS pages_landed,
         CASE WHEN kind = 6 THEN 'LandingConflictError' WHEN stop IS NOT NULL THEN 'ApiResponseError' END AS error_type,
         CASE WHEN kind = 6 THEN 'Landing object already exists with different content: '
-            || 'landing/world_bank/year=2024/month=01/day=01/run_id=' || printf('batch-%05d', n)
+            || 'landing/world_bank/year=2024/month=01/day=01/run_id=' || printf('batch-%010d', n)
             || '/sp_pop_totl_page_00001.json'
           WHEN kind = 4 AND stop = 3 AND present >= 3 THEN 'World Bank API returned invalid JSON'
           WHEN stop IS NOT NULL THEN 'Page ' || stop || ' was not returned' END AS error_message FROM s""",
