@@ -5,7 +5,7 @@ applied once to the shingles, the second after a circular shift by the coordinat
 Documents with the same shingle set are one class with one representative. Classes that
 share a band are candidates; links are confirmed on full shingle sets, and components follow.
 
-No group is expanded into pairs. First every class of a bucket is compared with the bucket's
+No group is expanded into pairs of rows. First every class of a bucket is compared with the bucket's
 smallest one. Components then show which buckets still hold several, and what meets there is
 compared in blocks, component against component. Every link between classes that share a
 bucket is so either found or lies inside a component already.
@@ -34,7 +34,7 @@ class Settings:
     """``percent``: least Jaccard similarity of a link, in hundredths.
 
     ``bands`` and ``rows`` must make a miss at that similarity unlikely: with s = percent/100
-    it is (1 - s^rows)^bands, 5e-7 for the defaults and 3e-7 for those of ``op9``.
+    it is (1 - s^rows)^bands, 5e-7 for the defaults and 2e-7 for those of ``op9``.
     """
 
     words: int = 5
@@ -217,7 +217,8 @@ def _linked_across(members: DataFrame, roots: DataFrame, sets: DataFrame, settin
     Components that meet in a bucket form a family. The nodes of a family's mixed buckets are
     dealt into blocks of bounded rows and shingles, a large component into blocks of its own,
     and blocks are compared two by two, except those of one component. Only links that join
-    components leave a comparison, so nothing grows with the square of a group.
+    components leave a comparison. The comparisons themselves, and the copies of sets they
+    read, do grow with the square of a family's blocks (of 256 rows each).
     """
     labelled = members.join(roots, "node", "left").select(
         "bucket", "node", F.coalesce("root", "node").alias("root")

@@ -224,7 +224,8 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in rows_at_most(batches, 1024):
         rows = [features(t) for t in bytes_of(batch.column("text"))]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("label"), pa.array(rows, pa.list_(pa.float64()))], names=["label", "x"]
+            [batch.column("_id"), batch.column("label"), pa.array(rows, pa.list_(pa.float64()))],
+            names=["_id", "label", "x"],
         )
 
 
@@ -232,16 +233,20 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     """Fit on at most ``sample_rows`` labelled documents outside the held-out fold.
 
     ``labels`` has doc_id and quality; rows with a null in either are left out. Only texts
-    are features. The sample is the first rows by hash of the id, so it is the same again.
+    are features. The sample is the first rows by hash of the id, so it is the same again: a
+    label given twice counts once, and of documents that share an id the one with the least
+    features counts.
     """
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
     known = known.where(fold(F.col("doc_id")) != 2).select(
         F.col("doc_id").alias("_id"), (F.col("quality") > 0).cast("int").alias("label")
     )
-    sample = known.orderBy(F.xxhash64("_id"), "_id", "label").limit(sample_rows)
+    sample = known.distinct().orderBy(F.xxhash64("_id"), "_id", "label").limit(sample_rows)
     # The sample has at most sample_rows rows of two numbers.
-    chosen = docs.join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).select("label", "text")
-    rows = chosen.mapInArrow(_featured, "label int, x array<double>").limit(2 * sample_rows).collect()
+    chosen = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).select("_id", "label", "text")
+    kind = labels.schema["doc_id"].dataType.simpleString()
+    featured = chosen.mapInArrow(_featured, f"_id {kind}, label int, x array<double>")
+    rows = featured.groupBy("_id", "label").agg(F.min("x").alias("x")).collect()
     x = np.array([r["x"] for r in rows], float).reshape(len(rows), len(FEATURES))
     y = np.array([r["label"] for r in rows], float)
     order = np.lexsort((y, *x.T))

@@ -79,3 +79,18 @@ def test_accepted_keeps_columns_and_handles_odd_rows(spark):
     kept = quality.accepted(docs, model)
     assert kept.columns == docs.columns and kept.count() == 3
     assert quality.scored(docs.limit(0), model).collect() == []
+
+
+def test_repeated_rows_and_clashing_columns_give_one_model(spark):
+    """However rows repeat and are dealt, every labelled id counts once for each of its labels."""
+    rng = random.Random(5)
+    texts = [(i % 300, "word " * rng.randrange(1, 40) + rng.choice(("end.", "END")), 0, "x") for i in range(900)]
+    labels = [(i, int(i % 3 > 0)) for i in range(300)] * 3
+    tables = set()
+    for parts in (1, 5):
+        rng.shuffle(texts)
+        docs = spark.createDataFrame(texts, "doc_id long, text string, label int, _id string").repartition(parts)
+        known = spark.createDataFrame(labels, "doc_id int, quality int").repartition(parts)
+        model = quality.train(docs, known, sample_rows=150)
+        tables.add(b"".join(t.tobytes() for t in model.tables) + np.float64(model.intercept).tobytes())
+    assert len(tables) == 1
