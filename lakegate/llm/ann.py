@@ -3,14 +3,18 @@
 Vectors become binary codes by learned rotations: principal axes, turned until the signs of
 the turned vectors lose as little as possible. A code is split into substrings, each with an
 index from value to rows. By the pigeonhole principle a code within Hamming radius r of the
-query's has a substring within r / (number of substrings): probing those entries of every
-index finds all codes within the radius. Their vectors are then ranked by exact cosines.
+query's is near in some substring: if substring j is probed up to distance t(j) and the
+t(j) + 1 add up to r + 1, no code within the radius is missed. Which substrings are probed how
+far is chosen per query, by the rows that the index holds at each distance. The vectors
+found are then ranked by exact cosines.
 
-Rows are dealt into blocks with an index each, and queries visit every block, in blocks too.
+Rows are dealt into blocks, each moved once and indexed once. Queries visit every block in a
+stream behind its rows, so a task holds one block and one batch of queries.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,8 +31,10 @@ BITS = 256
 SUBSTRING_BITS = 16
 #: The radius holds this share of the true neighbours in the sample.
 COVERED = 0.985
-DATA_BLOCK = 8192
-QUERY_BLOCK = 2048
+#: Rows with one index; a batch of queries is copied to every block, so blocks are large.
+DATA_BLOCK = 32768
+#: With few rows, blocks are smaller, down to so many rows, until every core has one.
+LEAST_BLOCK = 2048
 
 _ONES = np.bitwise_count(np.arange(1 << SUBSTRING_BITS, dtype=np.uint32)).astype(np.uint8)
 
@@ -89,8 +95,8 @@ def usable(vector: Column, size: int | None = None) -> Column:
     return F.coalesce(fine if size is None else fine & (F.size(vector) == size), F.lit(False))
 
 
-def _matrix(column: pa.ChunkedArray, size: int) -> np.ndarray:
-    return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, size)
+def _matrix(column: pa.Array, size: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, size)
 
 
 class MultiIndex:
@@ -102,60 +108,99 @@ class MultiIndex:
         for column in codes.T:
             values, group = np.unique(column, return_inverse=True)
             order = np.argsort(group, kind="stable")
-            ends = np.cumsum(np.bincount(group, minlength=len(values)))
-            self.tables.append((values, order, ends))
+            self.tables.append((values, order, np.bincount(group, minlength=len(values))))
+
+    @staticmethod
+    def reaches(held: np.ndarray, radius: int) -> np.ndarray:
+        """How far to probe each substring, -1 for not at all: the cheapest by ``held``.
+
+        ``held`` counts the rows of each substring's index at each distance. Every step of
+        one substring by one costs the rows there; ``radius`` + 1 steps miss nothing.
+        """
+        # A step counts as dear as the dearest before it: then no step is taken before those.
+        dear = np.maximum.accumulate(held, axis=1)
+        steps = np.argsort(dear, axis=None, kind="stable")[: radius + 1] // held.shape[1]
+        return np.bincount(steps, minlength=len(held)) - 1
+
+    def visited(self, code: np.ndarray, radius: int) -> np.ndarray:
+        """Numbers of the rows that probing reads: all within ``radius``, and others."""
+        apart = [_ONES[values ^ part] for part, (values, _, _) in zip(code, self.tables)]
+        held = np.array(
+            [
+                np.bincount(far, weights=counts, minlength=SUBSTRING_BITS + 1)
+                for far, (_, _, counts) in zip(apart, self.tables)
+            ]
+        )
+        seen = np.zeros(len(self.words), bool)
+        for far, reach, (_, order, counts) in zip(apart, self.reaches(held, radius), self.tables):
+            seen[order[np.repeat(far <= reach, counts)]] = True
+        return np.flatnonzero(seen)
 
     def within(self, code: np.ndarray, radius: int) -> np.ndarray:
         """Numbers of all rows whose code is within ``radius`` of ``code``."""
-        seen = np.zeros(len(self.words), bool)
-        reach = radius // len(self.tables)
-        for part, (values, order, ends) in zip(code, self.tables):
-            probed = _ONES[values ^ part] <= reach
-            rows_of = np.repeat(probed, np.diff(ends, prepend=0))
-            seen[order[rows_of]] = True
-        rows = np.flatnonzero(seen)
+        rows = self.visited(code, radius)
         apart = np.bitwise_count(self.words[rows] ^ code.view(np.uint64)).sum(axis=1)
         return rows[apart <= radius]
 
 
-def _searcher(model: Model, size: int, k: int):
-    def first_of_each(ids: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """One vector per id: the first by its components."""
+class _Block:
+    """The rows of one block with their index."""
+
+    def __init__(self, model: Model, ids: np.ndarray, x: np.ndarray):
+        # One vector per id: the first by its components.
         order = np.lexsort((*x.T[::-1], ids))
         ids, x = ids[order], x[order]
-        first = np.concatenate(([True], ids[1:] != ids[:-1])) if len(ids) else np.empty(0, bool)
-        return ids[first], x[first]
-
-    def search_block(rows: pa.Table) -> pa.Table:
-        asks = rows["asks"].to_numpy(zero_copy_only=False)
-        all_ids, x = rows["vec_id"].to_numpy(), _matrix(rows["vector"], size)
-        ids, vectors = first_of_each(all_ids[~asks], x[~asks])
-        query_ids, queries = first_of_each(all_ids[asks], x[asks])
-        found: tuple[list, list, list] = ([], [], [])
-        if len(ids) and len(query_ids):
-            index = MultiIndex(model.codes(vectors))
-            lengths = np.sqrt((vectors * vectors).sum(axis=1))
-            for query_id, query, code in zip(query_ids, queries, model.codes(queries)):
-                radius, wanted = model.radius, min(k, len(ids) - int(query_id in ids))
-                while True:
-                    near = index.within(code, radius)
-                    near = near[ids[near] != query_id]
-                    if len(near) >= wanted or radius >= BITS:
-                        break
-                    radius = min(BITS, radius + SUBSTRING_BITS)
-                dots = (vectors[near] * query).sum(axis=1)
-                scores = dots / (lengths[near] * np.sqrt((query * query).sum()))
-                best = np.lexsort((ids[near], -scores))[:k]
-                found[0].extend([query_id] * len(best))
-                found[1].extend(ids[near][best])
-                found[2].extend(scores[best])
-        return pa.table(
-            {
-                "query_id": pa.array(found[0], pa.int64()),
-                "vec_id": pa.array(found[1], pa.int64()),
-                "score": pa.array(found[2], pa.float64()),
-            }
-        )
+        first = np.concatenate(([True], ids[1:] != ids[:-1]))
+        self.ids, self.x = ids[first], x[first]
+        self.model, self.index = model, MultiIndex(model.codes(self.x))
+        self.lengths = np.sqrt((self.x * self.x).sum(axis=1))
+
+    def nearest(self, query_id: int, query: np.ndarray, code: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and cosines of the ``k`` nearest within the radius, which grows until there are ``k``."""
+        radius, wanted = self.model.radius, min(k, len(self.ids) - int(query_id in self.ids))
+        while True:
+            near = self.index.within(code, radius)
+            near = near[self.ids[near] != query_id]
+            if len(near) >= wanted or radius >= BITS:
+                break
+            radius = min(BITS, radius + SUBSTRING_BITS)
+        dots = (self.x[near] * query).sum(axis=1)
+        scores = dots / (self.lengths[near] * np.sqrt((query * query).sum()))
+        best = np.lexsort((self.ids[near], -scores))[:k]
+        return self.ids[near][best], scores[best]
+
+
+def _searcher(model: Model, size: int, k: int):
+    def search_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of one block, sorted: first those to index, then the queries by id."""
+        ids, vectors, block, last = [], [], None, None
+        for batch in batches:
+            asks = batch.column("asks").to_numpy(zero_copy_only=False)
+            own, x = batch.column("vec_id").to_numpy(), _matrix(batch.column("vector"), size)
+            if not asks.all():
+                if block is not None:
+                    raise ValueError("a row to index came after a query")
+                ids.append(own[~asks])
+                vectors.append(x[~asks])
+            if not asks.any() or not ids:
+                continue
+            if block is None:
+                block = _Block(model, np.concatenate(ids), np.concatenate(vectors))
+                vectors.clear()
+            found: tuple[list, list, list] = ([], [], [])
+            asked = x[asks]
+            for query_id, query, code in zip(own[asks], asked, model.codes(asked)):
+                if query_id == last:  # a repeated id: its first vector has been searched
+                    continue
+                last = query_id
+                near, scores = block.nearest(query_id, query, code, k)
+                found[0].extend([query_id] * len(near))
+                found[1].extend(near)
+                found[2].extend(scores)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64()), pa.array(found[2], pa.float64())],
+                names=["query_id", "vec_id", "score"],
+            )
 
     return search_block
 
@@ -184,22 +229,17 @@ def search(base: DataFrame, queries: DataFrame, k: int = 5, vector: str = "embed
     size = max(set(sizes), key=lambda s: (sizes.count(s), s))
     model = fit(np.array([r["vector"] for r in sample if len(r["vector"]) == size], float), k)
     rows, asked = clean(base, size), clean(queries, size)
-    blocks = -(-max(rows.count(), 1) // DATA_BLOCK)
-    query_blocks = -(-max(asked.count(), 1) // QUERY_BLOCK)
-
-    def dealt(count: int) -> Column:
-        return F.pmod(F.xxhash64("vec_id"), F.lit(count)).cast("int")
-
-    def every(count: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-
-    left = rows.withColumn("block", dealt(blocks)).withColumn("query_block", every(query_blocks))
-    right = asked.withColumn("query_block", dealt(query_blocks)).withColumn("block", every(blocks))
-    columns = ("block", "query_block", "vec_id", "vector")
-    both = left.select(*columns, F.lit(False).alias("asks")).union(
-        right.select(*columns, F.lit(True).alias("asks"))
+    held = max(rows.count(), 1)
+    cores = base.sparkSession.sparkContext.defaultParallelism
+    blocks = max(-(-held // DATA_BLOCK), min(cores, -(-held // LEAST_BLOCK)))
+    dealt = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    both = rows.select("vec_id", "vector", dealt.alias("block"), F.lit(False).alias("asks")).union(
+        asked.select("vec_id", "vector", every.alias("block"), F.lit(True).alias("asks"))
     )
-    found = both.groupBy("block", "query_block").applyInArrow(
+    # Sorted so that a block's rows come before its queries, and equal query ids together.
+    streams = both.repartition(blocks, "block").sortWithinPartitions("block", "asks", "vec_id", "vector")
+    found = streams.groupBy("block").applyInArrow(
         _searcher(model, size, k), "query_id long, vec_id long, score double"
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
