@@ -6,9 +6,10 @@ Documents with the same shingle set are one class with one representative. Class
 share a band are candidates; links are confirmed on full shingle sets, and components follow.
 
 No group is expanded into pairs of rows. First every class of a bucket is compared with the bucket's
-smallest one. Components then show which buckets still hold several, and what meets there is
-compared in blocks, component against component. Every link between classes that share a
-bucket is so either found or lies inside a component already.
+smallest one. Components then show which buckets still hold several; there all are compared with
+another leader, a few times over, and what then still meets is compared in blocks, component
+against component, where two blocks share a bucket. Every link between classes that share a bucket
+is so either found or lies inside a component already.
 """
 
 from __future__ import annotations
@@ -49,6 +50,9 @@ OP9 = Settings(words=3, percent=85, bands=48, rows=8)
 BLOCK_ROWS = 256
 BLOCK_SHINGLES = 500_000
 
+#: So often a mixed bucket gets another leader before its blocks are compared.
+LEADER_TURNS = 2
+
 _CACHED_WORDS = 150_000
 _ROWS = 256
 
@@ -211,56 +215,89 @@ def _block_comparer(settings: Settings):
     return compare
 
 
-def _linked_across(members: DataFrame, roots: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
-    """Links between components that share a bucket, enough to join those that belong together.
-
-    Components that meet in a bucket form a family. The nodes of a family's mixed buckets are
-    dealt into blocks of bounded rows and shingles, a large component into blocks of its own,
-    and blocks are compared two by two, except those of one component. Only links that join
-    components leave a comparison. The comparisons themselves, and the copies of sets they
-    read, do grow with the square of a family's blocks (of 256 rows each).
-    """
+def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """(bucket, node, root, low) of the buckets with several components, ``low`` the least root."""
     labelled = members.join(roots, "node", "left").select(
         "bucket", "node", F.coalesce("root", "node").alias("root")
     )
     several = labelled.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("_high"))
     mixed = labelled.join(several.where("low < _high").drop("_high"), "bucket")
-    mixed = stage(mixed.select("node", "root", "low").distinct(), "mixed-buckets")
+    return stage(mixed.select("bucket", "node", "root", "low").distinct(), "mixed-buckets")
+
+
+def _with_leader(mixed: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of each bucket's leader of this turn and its nodes of other components.
+
+    The leader is the node with the least hash, so buckets of the same nodes have the same one.
+    """
+    first = F.min_by(F.struct("node", "root"), F.xxhash64("node", F.lit(turn))).alias("_leader")
+    paired = mixed.join(mixed.groupBy("bucket").agg(first), "bucket").where("root <> _leader.root")
+    a, b = F.greatest("node", "_leader.node"), F.least("node", "_leader.node")
+    return paired.select(a.alias("a"), b.alias("b")).distinct()
+
+
+def _dealt(mixed: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, root, block, whole): nodes in blocks of bounded rows and shingles.
+
+    Components that meet in a bucket form a family; blocks are cut inside families. A large
+    component has blocks of its own, named by ``whole``. All other nodes stay with those of
+    their largest bucket, so that few blocks share one.
+    """
     family = components(mixed.select(F.col("root").alias("a"), F.col("low").alias("b")).distinct())
     family = family.select(F.col("node").alias("_root"), F.col("root").alias("_family"))
-    pool = mixed.select("node", "root").distinct().join(family, F.col("root") == F.col("_root"), "left")
-    pool = pool.select("node", "root", F.coalesce("_family", "root").alias("family"))
+    held = mixed.groupBy("bucket").agg(F.count(F.lit(1)).alias("_held"))
+    homes = mixed.join(held, "bucket").groupBy("node", "root").agg(
+        F.max(F.struct("_held", "bucket")).getField("bucket").alias("home")
+    )
     sized = sets.select(F.col("doc_id").alias("_node"), F.size("shingles").alias("size"))
-    pool = stage(pool.join(sized, F.col("node") == F.col("_node")).drop("_node"), "families")
+    pool = homes.join(family, F.col("root") == F.col("_root"), "left").join(
+        sized, F.col("node") == F.col("_node")
+    )
+    pool = stage(pool.select("node", "root", F.coalesce("_family", "root").alias("family"), "home", "size"), "families")
 
     load = (F.count(F.lit(1)).alias("rows"), F.sum("size").alias("load"))
     blocks_of = F.ceil(F.greatest(F.col("rows") / BLOCK_ROWS, F.col("load") / BLOCK_SHINGLES)).cast("int")
-    large = pool.groupBy("root").agg(*load).select(F.col("root").alias("_large"), (blocks_of > 1).alias("_own"))
-    dealt = pool.join(large, F.col("root") == F.col("_large")).withColumn(
-        "unit", F.when(F.col("_own"), F.col("root"))
+
+    def large(rows: DataFrame, name: str, label: str) -> DataFrame:
+        return rows.groupBy(name).agg(*load).where(blocks_of > 1).select(F.col(name).alias(label))
+
+    rows = pool.join(large(pool, "root", "whole"), F.col("root") == F.col("whole"), "left")
+    others = rows.where(F.col("whole").isNull())
+    rows = rows.join(large(others, "home", "_wide"), F.col("home") == F.col("_wide"), "left")
+    unit = F.when(F.col("whole").isNotNull(), F.xxhash64(F.lit("component"), "whole")).otherwise(
+        F.when(F.col("_wide").isNotNull(), F.xxhash64(F.lit("bucket"), "_wide"))
     )
-    units = dealt.groupBy("family", "unit").agg(*load).select(
+    rows = rows.withColumn("unit", unit)
+    units = rows.groupBy("family", "unit").agg(*load).select(
         F.col("family").alias("_family"), F.col("unit").alias("_unit"), blocks_of.alias("blocks")
     )
     same = (F.col("family") == F.col("_family")) & F.col("unit").eqNullSafe(F.col("_unit"))
-    dealt = dealt.join(units, same).select(
-        "node",
-        "root",
-        F.xxhash64("family", "unit", F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("block"),
-    )
-    blocks = units.select(
-        "_family", "_unit", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("n")
-    ).select(
-        F.col("_family").alias("family"),
-        F.col("_unit").alias("unit"),
-        F.xxhash64("_family", "_unit", F.col("n").cast("long")).alias("block"),
-    )
-    other = blocks.select(F.col("family"), F.col("unit").alias("unit2"), F.col("block").alias("block2"))
-    pairs = blocks.join(other, "family").where(
-        (F.col("block") <= F.col("block2"))
-        & (F.col("unit").isNull() | ~F.col("unit").eqNullSafe(F.col("unit2")))
-    )
-    pairs = stage(pairs.select("block", "block2", F.xxhash64("block", "block2").alias("pair")), "block-pairs")
+    key = F.when(F.col("unit").isNull(), F.xxhash64("home")).otherwise(F.xxhash64("node"))
+    block = F.xxhash64("family", "unit", F.pmod(key, F.col("blocks")))
+    return stage(rows.join(units, same).select("node", "root", block.alias("block"), "whole"), "blocks")
+
+
+def _block_pairs(mixed: DataFrame, dealt: DataFrame) -> DataFrame:
+    """(block, block2) that share a mixed bucket, a block with itself too, unless of one component."""
+    ours = mixed.select("bucket", "node").join(dealt, "node").select("bucket", "block", "whole").distinct()
+    ours = stage(ours, "bucket-blocks")
+    other = ours.select("bucket", F.col("block").alias("block2"), F.col("whole").alias("_whole"))
+    apart = F.coalesce(F.col("whole") != F.col("_whole"), F.lit(True))
+    pairs = ours.join(other, "bucket").where((F.col("block") <= F.col("block2")) & apart)
+    return pairs.select("block", "block2").distinct()
+
+
+def _linked_across(mixed: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """Links between components that share a bucket, enough to join those that belong together.
+
+    Blocks of nodes are compared two by two where they share a mixed bucket, except those of one
+    component. Only links that join components leave a comparison. What is compared, and
+    the copies of sets that are read, grow with the square of the blocks (of 256 rows each) of one
+    bucket in which components remain apart after all leaders; nothing grows so with a family.
+    """
+    dealt = _dealt(mixed, sets)
+    pairs = _block_pairs(mixed, dealt).withColumn("pair", F.xxhash64("block", "block2"))
+    pairs = stage(pairs, "block-pairs")
     first = dealt.join(pairs, "block").select("node", "root", "pair", F.lit(False).alias("second"))
     second = dealt.join(
         pairs.where("block <> block2").select(F.col("block2").alias("block"), "pair"), "block"
@@ -311,7 +348,16 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     links = stage(_confirmed(stars, sets, settings), "links")
     roots = components(links)
 
-    more = stage(_linked_across(members, roots, sets, settings), "links")
+    mixed = _mixed(members, roots)
+    for turn in range(LEADER_TURNS):
+        pairs = stage(_with_leader(mixed, turn), "pairs")
+        more = stage(_confirmed(pairs, sets, settings), "links")
+        if more.isEmpty():
+            break
+        links = links.union(more)
+        roots = components(links)
+        mixed = _mixed(mixed.select("bucket", "node"), roots)
+    more = stage(_linked_across(mixed, sets, settings), "links")
     if not more.isEmpty():
         roots = components(links.union(more))
 

@@ -75,6 +75,33 @@ def test_blocks_find_what_the_leaders_miss(spark, monkeypatch):
     assert found == by_hand(rows, minhash.OP9)
 
 
+@pytest.mark.parametrize("turns", [0, 1])
+def test_blocks_alone_find_all_links(spark, monkeypatch, turns):
+    """Without further leaders the blocks, and pairs of those that share a bucket, miss nothing."""
+    monkeypatch.setattr(minhash, "LEADER_TURNS", turns)
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", 3)
+    rows = corpus(5)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(frame, minhash.OP9).collect()}
+    assert found == by_hand(rows, minhash.OP9)
+
+
+def test_blocks_follow_shared_buckets(spark, monkeypatch):
+    """A chain of buckets is one family of many blocks, of which only neighbours are compared."""
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", 4)
+    size = 200
+    rows = [(b, n, n, b) for b in range(size) for n in (b, b + 1)]  # bucket b holds nodes b and b + 1
+    mixed = spark.createDataFrame(rows, "bucket long, node long, root long, low long")
+    sets = spark.createDataFrame([(n, [n]) for n in range(size + 1)], "doc_id long, shingles array<long>")
+    dealt = minhash._dealt(mixed, sets)
+    block = {r.node: r.block for r in dealt.collect()}
+    assert sorted(block) == list(range(size + 1)) and len(set(block.values())) > 20
+    pairs = {(r.block, r.block2) for r in minhash._block_pairs(mixed, dealt).collect()}
+    meeting = {tuple(sorted((block[b], block[b + 1]))) for b in range(size)}
+    assert pairs == meeting | {(b, b) for b in block.values()}
+    assert len(pairs) < len(set(block.values())) ** 2 / 4
+
+
 def test_null_ids_repeated_rows_and_empty_table(spark):
     rows = [(None, "a b c d e f"), (2, "a b c d e f"), (2, "a b c d e f"), (1, "x"), (5, "a b c d e f")]
     found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
