@@ -10,6 +10,7 @@ from lakegate.operators.quality import (
     evaluate_quality,
 )
 from lakegate.operators.reconcile import declared_total
+from lakegate.plans.compaction import compact_files
 from lakegate.plans.curation import run_curation
 from lakegate.plans.ingest import run_ingest
 from lakegate.records import INDICATOR_OBSERVATIONS, Field, RecordSpec
@@ -26,6 +27,7 @@ __all__ = [
     "RuleResult",
     "TransformResult",
     "classify_documents",
+    "compact_files",
     "declared_total",
     "evaluate_quality",
     "parse_documents",

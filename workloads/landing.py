@@ -9,6 +9,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakegate.functions.identifiers import SOURCE_PREFIX
 from lakegate.operators.curate import transform_documents
 from lakegate.operators.landing import (
     disposition,
@@ -36,6 +37,7 @@ from lakegate.operators.runs import (
     validate_requests,
     with_fingerprint,
 )
+from lakegate.plans.compaction import compact_files, landing_path
 from lakegate.plans.curation import run_curation
 from lakegate.plans.ingest import run_ingest
 from lakegate.plans.staging import stage, staging_root
@@ -426,6 +428,25 @@ def scan_one_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("run_id", "path", "page", "sha256")
 
 
+def compacted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file per page, all brought into the landing table, twice; its rows."""
+    files, landed = _folder(spark, "files"), _folder(spark, "landing")
+    layout = ["year", "month", "day", "run_id", "page"]
+    pages = with_landing_keys(_run_pages(spark, sf_dir))
+    pages.select("raw_text", *layout).write.partitionBy(*layout).text(f"{files}/{SOURCE_PREFIX}")
+
+    def named(file: F.Column) -> F.Column:
+        # Spark names its files itself: the page is a folder, and the name follows from it.
+        name = F.concat(
+            F.lit("/sp_pop_totl_page_"), F.lpad(F.regexp_extract(file, r"/page=(\d+)/", 1), 5, "0"), F.lit(".json")
+        )
+        return F.concat(F.regexp_replace(landing_path(file), r"/page=.*$", ""), name)
+
+    for _ in range(2):
+        compact_files(spark, files, landed, locate=named)
+    return read_landing_table(spark, landed).select("run_id", "path", "page", "sha256")
+
+
 _PAGES_CTE = f"""
 pages AS (SELECT page, ingested_at, raw_text, {_PATH_SQL} AS path,
   printf('run-%010d', page // {PAGES_PER_RUN}) AS run_id,
@@ -711,6 +732,12 @@ QUERIES = {
             WHERE run_id LIKE '%3'"""
         ),
     ),
+    "compacted_files": (
+        compacted_files,
+        _with_pages(
+            "SELECT run_id, path, run_page AS page, sha256(raw_text || chr(10)) AS sha256 FROM pages"
+        ),
+    ),
     "page_contract_violations": (page_contract_violations, _CONTRACT_SQL),
     "config_fingerprint": (
         config_fingerprint,
