@@ -22,7 +22,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Every file below ``path`` as one UTF-8 document.
 
     Partition directories are not turned into columns. Bytes that are not UTF-8
-    become replacement characters.
+    become replacement characters. Spark lists no files of zero bytes, so there is no row for them.
     """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
