@@ -35,8 +35,8 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of a power of two of tokens."""
-    return packing.pack(docs)
+    """Sequences of a power of two of tokens, numbered in the order of the mix."""
+    return packing.pack(mixing.with_place(docs), place="place")
 
 
 STAGES = [

@@ -17,7 +17,7 @@ from collections.abc import Iterator, Mapping
 from fractions import Fraction
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakegate.llm.common import ranked, table
@@ -200,6 +200,24 @@ def mix(
     return ordered.select("_row.*")
 
 
+def with_place(docs: DataFrame, name: str = "place") -> DataFrame:
+    """``docs``, read from the files of a written :func:`mix`, with each row's place in the mix: 0, 1, ...
+
+    Readers take files in an order of their own; the mix is in the number of a file and the row
+    within it. No row moves: the rows of each file are counted, one row per file is summed up.
+    Any other written Parquet folder is numbered in the same way, in the order it was written.
+    """
+    file = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)-", 1).try_cast("long")
+    part = F.regexp_extract(F.col("_metadata.file_name"), r"[.-]c(\d+)\.", 1).try_cast("long")
+    named = F.struct(file.alias("file"), part.alias("part"), F.col("_metadata.file_path").alias("path"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = docs.groupBy(named.alias("_file")).agg(F.count(F.lit(1)).alias("_rows"))
+    starts = sizes.select(F.col("_file.path").alias("_path"), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    own = docs.select("*", F.col("_metadata.file_path").alias("_own"), F.col("_metadata.row_index").alias("_row"))
+    placed = own.join(F.broadcast(starts), F.col("_own") == F.col("_path"))
+    return placed.select(*docs.columns, (F.col("_start") + F.col("_row")).alias(name))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its place in a mix in which no source has more than a third."""
     return schedule(table(spark, sf_dir, "documents"), max_share=MAX_SHARE)

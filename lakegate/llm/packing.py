@@ -33,6 +33,8 @@ _CACHED_BYTES = 48
 _CACHED_TAILS = 10_000
 # The row number of a task takes the lower bits of a sequence id, the task's number the rest.
 _TASK_BITS = 33
+# The same for a document with a place: a text of 2 GB has fewer pieces than this.
+_PIECE_BITS = 21
 
 PIECES = T.StructType(
     [
@@ -144,20 +146,23 @@ def binary_lengths(tokens: int, longest: int = LONGEST) -> list[int]:
     return [longest] * (tokens // longest) + digits
 
 
-def _packer(vocabulary: str, end: int, longest: int):
+def _packer(vocabulary: str, end: int, longest: int, place: str | None):
     def pack_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, last = words(vocabulary), np.uint32(end).astype("<u4").tobytes()
         sequence = TaskContext.get().partitionId() << _TASK_BITS
         for batch in rows_at_most(batches, 256):
-            out: tuple[list, ...] = ([], [], [], [], [])
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), bytes_of(batch.column("text"))):
+            out: tuple[list, ...] = ([], [], [], [], [], [])
+            places = batch.column(place).to_pylist() if place else [None] * batch.num_rows
+            for doc_id, at, text in zip(batch.column("doc_id").to_pylist(), places, bytes_of(batch.column("text"))):
                 ids = known.ids(text) + last
                 start = 0
-                for length in binary_lengths(len(ids) // 4, longest):
+                for k, length in enumerate(binary_lengths(len(ids) // 4, longest)):
                     piece = ids[4 * start : 4 * (start + length)]
-                    for column, value in zip(out, (doc_id, start, length, piece, len(ids) // 4)):
+                    number = sequence if at is None else (at << _PIECE_BITS) + k
+                    for column, value in zip(out, (doc_id, start, length, piece, len(ids) // 4, number)):
                         column.append(value)
                     start += length
+                    sequence += 1
             count = len(out[0])
             lengths = np.array(out[2], np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -167,18 +172,19 @@ def _packer(vocabulary: str, end: int, longest: int):
                     pa.array(lengths),
                     pa.array(out[3], pa.binary()),
                     pa.array(out[4], pa.int64()),
-                    pa.array(np.arange(sequence, sequence + count)),
+                    pa.array(out[5], pa.int64()),
                     pa.array(np.zeros(count, np.int64)),
                     pa.array(np.log2(np.maximum(lengths, 1)).astype(np.int32)),
                 ],
                 names=PIECES.names,
             )
-            sequence += count
 
     return pack_rows
 
 
-def pack(docs: DataFrame, vocabulary: str = VOCABULARY, end: int = END, longest: int = LONGEST) -> DataFrame:
+def pack(
+    docs: DataFrame, vocabulary: str = VOCABULARY, end: int = END, longest: int = LONGEST, place: str | None = None
+) -> DataFrame:
     """The pieces of all rows of ``docs``, each a sequence of its own; no shuffle.
 
     doc_id, start (tokens of the document before it), length, ids (little-endian unsigned
@@ -186,10 +192,12 @@ def pack(docs: DataFrame, vocabulary: str = VOCABULARY, end: int = END, longest:
     bucket (log2 of the length). ``vocabulary`` names a public vocabulary or is an absolute
     path on every executor; ``longest`` is a power of two. Null and empty texts are the end
     token alone. A null ``doc_id`` stays null; rows that repeat are packed each. An empty
-    table gives no pieces. Only ``doc_id`` and ``text`` are read.
+    table gives no pieces. Only ``doc_id`` and ``text`` are read, and ``place`` if given: a long
+    column that numbers the rows from 0. Sequences are then numbered in the order of places and,
+    within a document, of pieces, whichever task packs them.
     """
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return slim.mapInArrow(_packer(vocabulary, end, longest), PIECES)
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *([place] if place else []))
+    return slim.mapInArrow(_packer(vocabulary, end, longest, place), PIECES)
 
 
 def write_buckets(pieces: DataFrame, path: str) -> None:

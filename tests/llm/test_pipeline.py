@@ -97,3 +97,23 @@ def test_stages_take_odd_rows_and_empty_tables(spark, tmp_path, empty):
 
 def test_shingles_helper():
     assert shingles("a B c", 2) == {(b"a", b"b"), (b"b", b"c")}
+
+
+def test_the_mix_decides_the_order_of_sequences(spark, tmp_path):
+    """Documents of many files, the largest file not the first: sequence ids follow the slots of the mix."""
+    rows = [(i, " ".join(["word"] * (1 + i % 5 * 300)), "en", "ab"[i % 3 == 0], 0) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    slot = {r.doc_id: r.slot for r in mixing.schedule(docs).collect()}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        corpus_pipeline.source_mix(spark, docs, "").write.parquet(str(tmp_path / "mixed"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list((tmp_path / "mixed").glob("part-*"))) > 2
+    mixed = spark.read.parquet(str(tmp_path / "mixed"))
+    pieces = corpus_pipeline.packed(spark, mixed, "").select("doc_id", "start", "sequence_id").collect()
+    assert len({p.sequence_id for p in pieces}) == len(pieces)
+    order = [(p.doc_id, p.start) for p in sorted(pieces, key=lambda p: p.sequence_id)]
+    assert [slot[i] for i, _ in order] == sorted(slot[i] for i, _ in order)
+    assert all(a[0] != b[0] or a[1] < b[1] for a, b in zip(order, order[1:]))
+    assert sorted(r.place for r in mixing.with_place(mixed).collect()) == list(range(900))
