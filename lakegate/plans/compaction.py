@@ -18,6 +18,8 @@ from lakegate.sources.documents import read_landing_table
 #: A task reads so much, counting each file as that much more than it holds.
 TASK_BYTES = 128 << 20
 FILE_BYTES = 64 << 10
+#: Folders of one level are listed by so many tasks; Spark starts up to 10,000, of milliseconds each.
+LIST_TASKS = 64
 
 
 def landing_path(file: Column, root: str = "landing") -> Column:
@@ -31,9 +33,14 @@ def packed_scans(spark: SparkSession, task_bytes: int = TASK_BYTES, file_bytes:
     """Scans that start inside pack files into tasks by size; the session's settings come back after.
 
     Spark sorts the files by size and fills tasks one by one, but takes every file for 4 MB
-    unless told otherwise: 32 files to a task, 600,000 tasks for 100 GB in files of 5 KB.
+    unless told otherwise: 32 files to a task, 600,000 tasks for 100 GB in files of 5 KB. Readers
+    made inside also list their folders in ``LIST_TASKS`` tasks a level.
     """
-    wanted = {"spark.sql.files.maxPartitionBytes": task_bytes, "spark.sql.files.openCostInBytes": file_bytes}
+    wanted = {
+        "spark.sql.files.maxPartitionBytes": task_bytes,
+        "spark.sql.files.openCostInBytes": file_bytes,
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": LIST_TASKS,
+    }
     before = {name: spark.conf.get(name, None) for name in wanted}
     for name, value in wanted.items():
         spark.conf.set(name, str(value))
@@ -85,13 +92,13 @@ def compact_files(
     """
     with packed_scans(spark, task_bytes, file_bytes):
         pages = stage(file_pages(spark, folder, locate), "compacted-files")
-    strange = pages.filter(F.col("run_id").isNull() | F.col("page").isNull()).count()
-    if strange:
-        raise ValueError(f"{strange} files below {folder} are not named like landed pages")
-    try:
-        landed = read_landing_table(spark, table)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        landed = pages.limit(0)
-    write_landing(disposition(pages, landed, order_by="page"), table)
+        strange = pages.filter(F.col("run_id").isNull() | F.col("page").isNull()).count()
+        if strange:
+            raise ValueError(f"{strange} files below {folder} are not named like landed pages")
+        try:
+            landed = read_landing_table(spark, table)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            landed = pages.limit(0)
+        write_landing(disposition(pages, landed, order_by="page"), table)

@@ -8,7 +8,10 @@ as arithmetic over ``event_id`` and never looks at the text.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import os
+from collections.abc import Iterator, Sequence
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 PAGE_SIZE = 25
@@ -84,6 +87,32 @@ def indicator_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def write_files(pages: DataFrame, layout: Sequence[str], folder: str) -> None:
+    """The ``raw_text`` of every row, and a line end, as a file of its own below ``folder``.
+
+    A file is ``a=1/b=2/c=3.txt`` by the columns of ``layout``. On a local file system the tasks
+    write it themselves, as a landing does: Hadoop starts up to six processes there for a file in
+    a folder of its own (permissions of folder, file and checksum). Elsewhere Spark writes it, as ``a=1/b=2/c=3/part-...``.
+    """
+    root = folder.removeprefix("file://").removeprefix("file:")
+    if not root.startswith("/"):
+        pages.select("raw_text", *layout).write.partitionBy(*layout).text(folder)
+        return
+
+    def put(rows: Iterator[Row]) -> None:
+        for row in rows:
+            *outer, name = (f"{column}={row[column]}" for column in layout)
+            place = os.path.join(root, *outer)
+            os.makedirs(place, exist_ok=True)
+            # A reader sees no hidden file, and a task that runs twice leaves one whole file.
+            draft = os.path.join(place, f".{name}.{os.getpid()}")
+            with open(draft, "wb") as file:
+                file.write(row["raw_text"].encode() + b"\n")
+            os.replace(draft, os.path.join(place, f"{name}.txt"))
+
+    pages.select("raw_text", *layout).foreachPartition(put)
+
+
 # ---------------------------------------------------------------------------
 # DuckDB side
 

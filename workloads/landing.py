@@ -37,7 +37,7 @@ from lakegate.operators.runs import (
     validate_requests,
     with_fingerprint,
 )
-from lakegate.plans.compaction import compact_files, landing_path
+from lakegate.plans.compaction import compact_files, landing_path, packed_scans
 from lakegate.plans.curation import run_curation
 from lakegate.plans.ingest import run_ingest
 from lakegate.plans.staging import stage, staging_root
@@ -45,10 +45,12 @@ from lakegate.sinks import write_landing, write_transform_result
 from lakegate.sources.documents import of_runs, read_documents, read_landing_table
 from lakegate.sources.tables import read_manifests, read_processed
 from workloads.curation import QUERIES as CURATION
-from workloads.fixtures import PAGE_SIZE, indicator_documents, table, with_documents
+from workloads.fixtures import PAGE_SIZE, indicator_documents, table, with_documents, write_files
 
 INDICATOR = "SP.POP.TOTL"
 PAGES_PER_RUN = 40
+# A folder is listed by one task.
+FILES_PER_FOLDER = 1000
 
 
 def _folder(spark: SparkSession, name: str) -> str:
@@ -469,14 +471,14 @@ def _with_pages(select: str, ctes: str = "") -> str:
 def scan_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One file per document, written and scanned back whole."""
     folder = _folder(spark, "documents")
-    indicator_documents(spark, sf_dir).select("page", "raw_text").write.partitionBy("page").text(
-        folder
-    )
-    documents = read_documents(spark, folder)
-    return documents.select(
-        F.regexp_extract("source_file", r"/page=(\d+)/", 1).cast("bigint").alias("page"),
-        F.sha2(F.col("raw_text").cast("binary"), 256).alias("sha256"),
-    )
+    pages = indicator_documents(spark, sf_dir).withColumn("block", F.expr(f"page div {FILES_PER_FOLDER}"))
+    write_files(pages, ["block", "page"], folder)
+    with packed_scans(spark):
+        scanned = read_documents(spark, folder).select(
+            F.regexp_extract("source_file", r"/page=(\d+)[./]", 1).cast("bigint").alias("page"),
+            F.sha2(F.col("raw_text").cast("binary"), 256).alias("sha256"),
+        )
+        return stage(scanned, "scanned-documents")
 
 
 def _written(spark: SparkSession, sf_dir: str) -> str:
