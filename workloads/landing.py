@@ -435,18 +435,19 @@ def compacted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files, landed = _folder(spark, "files"), _folder(spark, "landing")
     layout = ["year", "month", "day", "run_id", "page"]
     pages = with_landing_keys(_run_pages(spark, sf_dir))
-    pages.select("raw_text", *layout).write.partitionBy(*layout).text(f"{files}/{SOURCE_PREFIX}")
+    write_files(pages, layout, f"{files}/{SOURCE_PREFIX}")
 
     def named(file: F.Column) -> F.Column:
-        # Spark names its files itself: the page is a folder, and the name follows from it.
+        # The name, or a folder where Spark names the file, tells the page; the landed name follows from it.
         name = F.concat(
-            F.lit("/sp_pop_totl_page_"), F.lpad(F.regexp_extract(file, r"/page=(\d+)/", 1), 5, "0"), F.lit(".json")
+            F.lit("/sp_pop_totl_page_"), F.lpad(F.regexp_extract(file, r"/page=(\d+)[./]", 1), 5, "0"), F.lit(".json")
         )
         return F.concat(F.regexp_replace(landing_path(file), r"/page=.*$", ""), name)
 
     for _ in range(2):
         compact_files(spark, files, landed, locate=named)
-    return read_landing_table(spark, landed).select("run_id", "path", "page", "sha256")
+    with packed_scans(spark):
+        return read_landing_table(spark, landed).select("run_id", "path", "page", "sha256")
 
 
 _PAGES_CTE = f"""
