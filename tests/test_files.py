@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from lakegate.plans.compaction import LIST_TASKS, packed_scans
 from lakegate.sources.documents import read_documents
-from workloads.fixtures import write_files
+from workloads import landing
+from workloads.fixtures import indicator_documents, write_files
 from workloads.landing import scan_documents
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -57,3 +58,18 @@ def test_many_folders_are_listed_in_few_tasks(spark, tmp_path):
     ]
     assert tasks and max(tasks) <= LIST_TASKS
     assert documents.count() == 3 * LIST_TASKS
+
+
+def test_a_round_trip_parses_its_documents_once(spark, monkeypatch):
+    made = indicator_documents(spark, SF_DIR).select("source_file", "raw_text").collect()
+    passed = spark.sparkContext.accumulator(0)
+
+    def count(text):
+        passed.add(1)
+        return text
+
+    counted = F.udf(count, "string").asNondeterministic()
+    documents = spark.createDataFrame(made).withColumn("raw_text", counted("raw_text"))
+    monkeypatch.setattr(landing, "indicator_documents", lambda *_: documents)
+    assert landing.processed_roundtrip(spark, SF_DIR).count() > 0
+    assert passed.value == len(made) == 40

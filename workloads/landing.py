@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakegate.functions.identifiers import SOURCE_PREFIX
-from lakegate.operators.curate import transform_documents
 from lakegate.operators.landing import (
     disposition,
     landing_path_columns,
@@ -38,7 +37,7 @@ from lakegate.operators.runs import (
     with_fingerprint,
 )
 from lakegate.plans.compaction import compact_files, landing_path, packed_scans
-from lakegate.plans.curation import run_curation
+from lakegate.plans.curation import run_curation, stage_classified
 from lakegate.plans.ingest import run_ingest
 from lakegate.plans.staging import stage, staging_root
 from lakegate.sinks import write_landing, write_transform_result
@@ -483,8 +482,9 @@ def scan_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _written(spark: SparkSession, sf_dir: str) -> str:
+    """Both outputs, from documents that are read and parsed once, as in a curation run."""
     folder = _folder(spark, "curated")
-    result = transform_documents(indicator_documents(spark, sf_dir))
+    result, _ = stage_classified(indicator_documents(spark, sf_dir), "roundtrip")
     write_transform_result(result, f"{folder}/processed", f"{folder}/rejected")
     return folder
 
