@@ -86,3 +86,36 @@ def test_ids_of_every_public_vocabulary_are_those_of_whole_texts():
         checked += 1
     assert by_word[packing.VOCABULARY] and packing.words(packing.VOCABULARY).plain
     assert checked >= 1
+
+
+def test_words_alike_but_for_case_and_punctuation_are_merged_once():
+    known = packing.Words(str(public_tokenizers.path(packing.VOCABULARY)))
+    whole, merges, merged = known.tokenizer, known.merges, []
+
+    class Merges:
+        @staticmethod
+        def tokenize(spelled):
+            merged.append(spelled)
+            return merges.tokenize(spelled)
+
+    known.merges = Merges
+    text = "Grünstein stone, STONE (x) stone. GRÜNSTEIN!! Stone stone"
+    expected = np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert known.ids(text.encode()) == known.ids(text.encode()) == expected
+    assert len(merged) == len(set(merged)) == 2
+
+
+def test_ids_stay_right_while_words_are_given_up(monkeypatch):
+    small = {"WORDS_AT_ONCE": 7, "SLOT_BITS": 3, "KEPT_IDS": 20}
+    for name, value in {**small, "CACHED_WORDS": 2, "CACHED_STEMS": 3, "CACHED_TAILS": 2}.items():
+        monkeypatch.setattr(packing, f"_{name}", value)
+    known = packing.Words(str(public_tokenizers.path(packing.VOCABULARY)))
+    words = [
+        "The", "the,", "Über", "über!", "x-y", "n3", "don't", "end.)", "end", "ab\x00", "ab", "\x00", "ſt", "İx", "ÉTÉ;",
+        "--", "seventh", "eightlet", "ninelette", "fifteen-letters", "fifteen-letters\x00", "sixteen-letters.", "w" * 60,
+    ]
+    texts = ["", " "] + ["\t".join(words[(k * i) % len(words)] for i in range(1, 30)) + " " * (k % 2) for k in range(40)]
+    expected = [known.tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    assert known.ids_of([t.encode() for t in texts]) == [np.array(ids, "<u4").tobytes() for ids in expected]
+    assert len(known) <= 2 and len(known.stems) <= 3 and len(known.older_stems) <= 3 and len(known.tails) <= 2
+    assert known.ids_of([]) == [] and known.ids_of([b""]) == [b""]
