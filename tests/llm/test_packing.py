@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import zlib
 
 from pathlib import Path
@@ -105,6 +106,22 @@ def test_words_alike_but_for_case_and_punctuation_are_merged_once():
     assert len(merged) == len(set(merged)) == 2
 
 
+def test_what_a_worker_holds_of_many_words_stays_small():
+    """Workers outlive their tasks, so what each holds counts against the executor in every later step."""
+    known = packing.Words(str(public_tokenizers.path(packing.VOCABULARY)))
+    letters = np.frombuffer(b"abcdefghijklmnopqrst", np.uint8)
+    many = [letters[np.arange(400_000) // 20**k % 20] for k in range(5)]
+    spaced = np.column_stack([*many, np.full(400_000, ord(" "), np.uint8)])
+    distinct = spaced.tobytes()
+    known.ids_of([distinct])
+    caches = (known, known.stems, known.older_stems, known.tails)
+    held = sum(sys.getsizeof(c) + sum(map(sys.getsizeof, [*c.keys(), *c.values()])) for c in caches)
+    assert held + known.slots.nbytes + known.kept.nbytes < 130e6
+    last = distinct[-600:]
+    expected = known.tokenizer.encode(last.decode(), add_special_tokens=False).ids
+    assert np.frombuffer(known.ids(last), "<u4").tolist() == expected
+
+
 def test_ids_stay_right_while_words_are_given_up(monkeypatch):
     small = {"WORDS_AT_ONCE": 7, "SLOT_BITS": 3, "KEPT_IDS": 20}
     for name, value in {**small, "CACHED_WORDS": 2, "CACHED_STEMS": 3, "CACHED_TAILS": 2}.items():
