@@ -29,7 +29,7 @@ VOCABULARY = "word_bpe_49k.json"
 END = 1
 LONGEST = 2048
 
-# An executor's Python workers outlive their tasks, with all they hold: about 130 MB each.
+# An executor's Python workers outlive their tasks, with all they hold: about 80 MB each.
 _CACHED_WORDS = 100_000
 _CACHED_STEMS = 100_000
 _CACHED_BYTES = 48
@@ -37,8 +37,8 @@ _CACHED_TAILS = 10_000
 _PUNCTUATION = punctuation.encode()
 # Words up to so many bytes are looked up in arrays: slots of four 64-bit integers, and ids.
 _KEY_BYTES = 15
-_SLOT_BITS = 21
-_KEPT_IDS = 1 << 23
+_SLOT_BITS = 20
+_KEPT_IDS = 1 << 22
 _WORDS_AT_ONCE = 1 << 16
 _WHITE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 _MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)

@@ -116,7 +116,7 @@ def test_what_a_worker_holds_of_many_words_stays_small():
     known.ids_of([distinct])
     caches = (known, known.stems, known.older_stems, known.tails)
     held = sum(sys.getsizeof(c) + sum(map(sys.getsizeof, [*c.keys(), *c.values()])) for c in caches)
-    assert held + known.slots.nbytes + known.kept.nbytes < 130e6
+    assert held + known.slots.nbytes + known.kept.nbytes < 80e6
     last = distinct[-600:]
     expected = known.tokenizer.encode(last.decode(), add_special_tokens=False).ids
     assert np.frombuffer(known.ids(last), "<u4").tolist() == expected
