@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,22 @@ def rows_at_most(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Re
             yield batch.slice(start, rows)
 
 
+def giving_back(task: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """The same task; at its end, what Arrow has freed but kept goes back to the system.
+
+    A Python worker outlives its task, and would hold that memory through all later steps.
+    """
+
+    @wraps(task)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return run
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A permutation of the 64-bit integers that spreads every input bit."""
     x = x ^ (x >> np.uint64(32))

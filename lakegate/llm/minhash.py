@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakegate.llm.common import bytes_of, list_array, mix64, rows_at_most, table
+from lakegate.llm.common import bytes_of, giving_back, list_array, mix64, rows_at_most, table
 from lakegate.llm.components import components
 from lakegate.plans.staging import stage
 
@@ -122,6 +122,7 @@ def _bands(least: np.ndarray, settings: Settings) -> np.ndarray:
 
 
 def _signer(settings: Settings):
+    @giving_back
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_at_most(batches, 1024):
             sizes, classes, lengths, bands = [], [], [], []
@@ -148,6 +149,7 @@ def _signer(settings: Settings):
 
 
 def _set_maker(words: int):
+    @giving_back
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_at_most(batches, 256):
             sets = [shingles(t, words).view(np.int64) for t in bytes_of(batch.column("text"))]

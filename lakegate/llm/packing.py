@@ -22,14 +22,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from lakegate.llm.common import bytes_of, mix64, table
+from lakegate.llm.common import bytes_of, giving_back, mix64, table
 from lakegate.llm.words import parts
 
 VOCABULARY = "word_bpe_49k.json"
 END = 1
 LONGEST = 2048
 
-# An executor's Python workers outlive their tasks, with all they hold: about 80 MB each.
+# An executor's Python workers outlive their tasks, with all they hold.
 _CACHED_WORDS = 100_000
 _CACHED_STEMS = 100_000
 _CACHED_BYTES = 48
@@ -40,6 +40,8 @@ _KEY_BYTES = 15
 _SLOT_BITS = 20
 _KEPT_IDS = 1 << 22
 _WORDS_AT_ONCE = 1 << 16
+# Texts are packed in parts of about so many bytes: their word borders, ids and pieces are held at once.
+_PART_BYTES = 1 << 20
 _WHITE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 _MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 # The row number of a task takes the lower bits of a sequence id, the task's number the rest.
@@ -251,10 +253,11 @@ def binary_lengths(tokens: int, longest: int = LONGEST) -> list[int]:
 
 
 def _packer(vocabulary: str, end: int, longest: int, place: str | None):
+    @giving_back
     def pack_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, last = words(vocabulary), np.uint32(end).astype("<u4").tobytes()
         sequence = TaskContext.get().partitionId() << _TASK_BITS
-        for batch in parts(batches):
+        for batch in parts(batches, most=_PART_BYTES):
             out: tuple[list, ...] = ([], [], [], [], [], [])
             places = batch.column(place).to_pylist() if place else [None] * batch.num_rows
             found = known.ids_of(bytes_of(batch.column("text")))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakegate.llm.common import bytes_of, fold, rows_at_most, table
+from lakegate.llm.common import bytes_of, fold, giving_back, rows_at_most, table
 
 #: At most so many labelled rows are fitted on, taken in hash order of the id.
 SAMPLE_ROWS = 20_000
@@ -220,6 +220,7 @@ def fit(
     return model
 
 
+@giving_back
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in rows_at_most(batches, 1024):
         rows = [features(t) for t in bytes_of(batch.column("text"))]
@@ -254,6 +255,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 
 
 def _scorer(model: Additive):
+    @giving_back
     def score_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_at_most(batches, 1024):
             texts = bytes_of(pc.struct_field(batch.column("row"), "text"))

@@ -113,14 +113,16 @@ def words(column: pa.Array, kinds: np.ndarray) -> Words:
     return Words(data, begin, end, text, fresh, len(column))
 
 
-def parts(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``PART_BYTES`` of text; a longer text is one of its own."""
+def parts(
+    batches: Iterator[pa.RecordBatch], column: str = "text", most: int | None = None
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``most`` bytes of text (``PART_BYTES``); a longer text is one of its own."""
     for batch in batches:
         texts = batch.column(column).cast(pa.large_binary()).fill_null(b"")
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
         low = 0
         while low < batch.num_rows:
-            high = int(np.searchsorted(offsets, offsets[low] + PART_BYTES, "right")) - 1
+            high = int(np.searchsorted(offsets, offsets[low] + (most or PART_BYTES), "right")) - 1
             high = min(max(high, low + 1), batch.num_rows)
             yield batch.slice(low, high - low)
             low = high
