@@ -17,6 +17,14 @@ from lakegate.sinks.objects import create_object
 from lakegate.sources.tables import manifest_versions, read_manifest_objects
 
 CREATE_ONLY = "errorifexists"
+#: A local disk is written without checksum files (Parquet pages hold checksums of their own): one
+#: process a file, where Hadoop starts three otherwise. No other file system reads these.
+LOCAL_FILES = {
+    "fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem",
+    "fs.file.impl.disable.cache": "true",
+}
+#: No two texts are alike, so that a dictionary of them is work for nothing.
+WHOLE_TEXTS = {"parquet.enable.dictionary#raw_text": "false"}
 
 
 def run_output_path(base: str, run_id: str) -> str:
@@ -72,12 +80,17 @@ def write_landing(pages: DataFrame, path: str) -> None:
     conflict = pages.filter(F.col("disposition") == CONFLICT).select("path").first()
     if conflict is not None:
         raise LandingConflictError(f"{CONTENT_DIFFERS}{conflict.path}")
+    append_landing(pages.filter(F.col("disposition") == WRITTEN), path)
+
+
+def append_landing(pages: DataFrame, path: str) -> None:
+    """Append pages that are known to be new, as one file per run and day unless that is very large."""
     layout = ["year", "month", "day", "run_id"]
     (
-        pages.filter(F.col("disposition") == WRITTEN)
-        .select("path", "sha256", "indicator", "page", "raw_text", *layout)
+        pages.select("path", "sha256", "indicator", "page", "raw_text", *layout)
         .hint("rebalance", *[F.col(name) for name in layout])
         .write.mode("append")
+        .options(**LOCAL_FILES, **WHOLE_TEXTS)
         .partitionBy(*layout)
         .parquet(path)
     )

@@ -7,7 +7,8 @@ import hashlib
 import pytest
 
 from lakegate.operators.landing import LandingConflictError
-from lakegate.plans.compaction import compact_files, file_pages, packed_scans
+from lakegate.plans import compaction
+from lakegate.plans.compaction import LIST_TASKS, TABLE_IN_TURN, compact_files, file_pages, packed_scans
 from lakegate.sources.documents import read_landing_table
 
 
@@ -83,3 +84,61 @@ def test_changed_and_strange_files_land_nothing(spark, tmp_path):
     with pytest.raises(ValueError, match="1 files"):
         compact_files(spark, str(files), table)
     assert read_landing_table(spark, table).count() == 1
+
+
+def test_only_new_texts_are_moved(spark, tmp_path, monkeypatch):
+    """All pages new: no join; some: the new ones alone; none: nothing is read again."""
+    files, table = tmp_path / "files", str(tmp_path / "table")
+    plans = []
+
+    def append(pages, path):
+        plans.append(pages._jdf.queryExecution().optimizedPlan().toString())
+        written(pages, path)
+
+    written = compaction.append_landing
+    monkeypatch.setattr(compaction, "append_landing", append)
+    for page in range(1, 6):
+        put(files, f"r{page % 2}", page, b"[%d]" % page)
+    compact_files(spark, str(files), table)
+    put(files, "late", 1, b"later")
+    compact_files(spark, str(files), table)
+    compact_files(spark, str(files), table)
+    whole, some, none = plans
+    assert "Join" not in whole and "parquet" in whole
+    assert "Join LeftSemi" in some
+    assert none.startswith("LocalRelation <empty>")
+    assert len(held(spark, table)) == read_landing_table(spark, table).count() == 6
+
+
+def test_a_run_is_one_file_without_a_checksum_file(spark, tmp_path):
+    """Each file beside it, and its permissions, cost a process on a local disk."""
+    files, table = tmp_path / "files", tmp_path / "table"
+    for page in range(1, 13):
+        put(files, f"r{page % 3}", page, b"[%d]" % page)
+    compact_files(spark, str(files), str(table))
+    runs = sorted(table.glob("year=2033/month=07/day=04/run_id=*"))
+    assert [[f.suffix for f in run.iterdir()] for run in runs] == [[".parquet"]] * 3
+    assert len(held(spark, str(table))) == 12
+
+
+def test_a_level_of_folders_is_listed_in_two_tasks_a_core(spark, tmp_path):
+    days, runs = TABLE_IN_TURN + 1, 40
+    for day in range(days):
+        for run in range(runs):
+            place = tmp_path / f"day={day:02d}/run_id={run}"
+            place.mkdir(parents=True)
+            (place / "page").write_text("x")
+    tracker = spark.sparkContext.statusTracker()
+
+    def tasks(in_turn):
+        """Tasks of every job that lists."""
+        seen = set(tracker.getJobIdsForGroup(None))
+        with packed_scans(spark, in_turn=in_turn):
+            assert file_pages(spark, str(tmp_path)).count() == days * runs
+            jobs = set(tracker.getJobIdsForGroup(None)) - seen
+        stages = [tracker.getStageInfo(s) for job in jobs for s in tracker.getJobInfo(job).stageIds]
+        return [s.numTasks for s in stages if s and s.name.startswith("load")]
+
+    cores = spark.sparkContext.defaultParallelism
+    assert tasks(None) == [min(2 * cores, LIST_TASKS)] * days
+    assert len(tasks(TABLE_IN_TURN)) == 1

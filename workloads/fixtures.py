@@ -103,10 +103,14 @@ def write_files(pages: DataFrame, layout: Sequence[str], folder: str) -> None:
         for row in rows:
             *outer, name = (f"{column}={row[column]}" for column in layout)
             place = os.path.join(root, *outer)
-            os.makedirs(place, exist_ok=True)
             # A reader sees no hidden file, and a task that runs twice leaves one whole file.
             draft = os.path.join(place, f".{name}.{os.getpid()}")
-            with open(draft, "wb") as file:
+            try:
+                file = open(draft, "wb")
+            except FileNotFoundError:
+                os.makedirs(place, exist_ok=True)
+                file = open(draft, "wb")
+            with file:
                 file.write(row["raw_text"].encode() + b"\n")
             os.replace(draft, os.path.join(place, f"{name}.txt"))
 

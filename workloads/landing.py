@@ -36,7 +36,7 @@ from lakegate.operators.runs import (
     validate_requests,
     with_fingerprint,
 )
-from lakegate.plans.compaction import compact_files, landing_path, packed_scans
+from lakegate.plans.compaction import TABLE_IN_TURN, compact_files, landing_path, packed_scans
 from lakegate.plans.curation import run_curation, stage_classified
 from lakegate.plans.ingest import run_ingest
 from lakegate.plans.staging import stage, staging_root
@@ -445,7 +445,7 @@ def compacted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     for _ in range(2):
         compact_files(spark, files, landed, locate=named)
-    with packed_scans(spark):
+    with packed_scans(spark, in_turn=TABLE_IN_TURN):
         return read_landing_table(spark, landed).select("run_id", "path", "page", "sha256")
 
 
