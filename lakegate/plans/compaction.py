@@ -19,7 +19,7 @@ from lakegate.operators.landing import (
     landing_path_columns,
 )
 from lakegate.plans.staging import stage
-from lakegate.sinks import append_landing
+from lakegate.sinks import WHOLE_TEXTS, append_landing
 from lakegate.sources.documents import read_landing_table
 
 #: What the disposition of a page depends on.
@@ -115,7 +115,7 @@ def compact_files(
     files lands nothing.
     """
     with packed_scans(spark, task_bytes, file_bytes):
-        pages = stage(file_pages(spark, folder, locate), "compacted-files")
+        pages = stage(file_pages(spark, folder, locate), "compacted-files", options=WHOLE_TEXTS)
         strange = pages.filter(F.col("run_id").isNull() | F.col("page").isNull()).count()
         if strange:
             raise ValueError(f"{strange} files below {folder} are not named like landed pages")

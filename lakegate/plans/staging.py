@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,11 +32,13 @@ def staging_root(spark: SparkSession) -> str:
     return f"{warehouse}/_staging"
 
 
-def stage(frame: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """Write ``frame`` once and read it back: later actions scan the columns they need."""
+def stage(
+    frame: DataFrame, name: str, partition_by: str | None = None, options: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Write ``frame`` once (with writer ``options``) and read it back: later actions scan the columns they need."""
     spark = frame.sparkSession
     path = f"{staging_root(spark)}/lakegate/{name}-{uuid4().hex}"
-    writer = frame.write.mode("errorifexists")
+    writer = frame.write.mode("errorifexists").options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
