@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from importlib.util import find_spec
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
@@ -13,12 +14,13 @@ from lakegate.operators.curate import TransformResult
 from lakegate.operators.landing import CONFLICT, CONTENT_DIFFERS, WRITTEN, LandingConflictError
 from lakegate.operators.quality import DataQualityResult, result_json
 from lakegate.plans.staging import stage
+from lakegate.sinks.local import append_partitions, local_folder
 from lakegate.sinks.objects import create_object
 from lakegate.sources.tables import manifest_versions, read_manifest_objects
 
 CREATE_ONLY = "errorifexists"
-#: A local disk is written without checksum files (Parquet pages hold checksums of their own): one
-#: process a file, where Hadoop starts three otherwise. No other file system reads these.
+#: A local disk is written without checksum files (Parquet pages hold checksums of their own): two
+#: processes a file and its folder, where Hadoop starts three otherwise. No other file system reads these.
 LOCAL_FILES = {
     "fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem",
     "fs.file.impl.disable.cache": "true",
@@ -84,16 +86,22 @@ def write_landing(pages: DataFrame, path: str) -> None:
 
 
 def append_landing(pages: DataFrame, path: str) -> None:
-    """Append pages that are known to be new, as one file per run and day unless that is very large."""
+    """Append pages that are known to be new, as one file per run and day unless that is very large.
+
+    On a local disk the tasks write the files, where pyarrow is installed.
+    """
     layout = ["year", "month", "day", "run_id"]
-    (
+    spark = pages.sparkSession
+    rows = (
         pages.select("path", "sha256", "indicator", "page", "raw_text", *layout)
         .hint("rebalance", *[F.col(name) for name in layout])
-        .write.mode("append")
-        .options(**LOCAL_FILES, **WHOLE_TEXTS)
-        .partitionBy(*layout)
-        .parquet(path)
     )
+    default = spark._jsparkSession.sessionState().newHadoopConf().get("fs.defaultFS")
+    folder = local_folder(path, default)
+    if folder and find_spec("pyarrow"):
+        append_partitions(rows, layout, folder, plain=["raw_text"])
+    else:
+        rows.write.mode("append").options(**LOCAL_FILES, **WHOLE_TEXTS).partitionBy(*layout).parquet(path)
 
 
 def write_manifests(manifests: DataFrame, root: str) -> None:
